@@ -1,0 +1 @@
+"""Empty on purpose: every operator of this engine is a batch operator."""
