@@ -11,6 +11,11 @@ def words(text: str) -> Column:
     return F.array_remove(F.split(text, " "), "")
 
 
+def up_to(n: Column) -> Column:
+    """0, 1, .. n - 1; null, which explodes to no rows, when n is 0."""
+    return F.when(n > 0, F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+
 def window_count(n: Column, window_size: int, stride: int) -> Column:
     """Overlapping windows of window_size + 1 tokens over n tokens, the last one perhaps short."""
     reach = max(window_size + 1, stride)
@@ -46,18 +51,3 @@ def argmax(scores: Column) -> Column:
 
 def zeros(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
-
-
-def micro(x: Column) -> Column:
-    """Millionths as a whole number, rounded half up: sums of it are exact in any order."""
-    return F.floor(x.cast("double") * 1000000 + 0.5).cast("long")
-
-
-def micro_sum(vector: Column) -> Column:
-    return F.aggregate(vector, F.lit(0).cast("long"), lambda total, x: total + micro(x))
-
-
-def micro_weighted_sum(vector: Column) -> Column:
-    """Depends on the order of the elements, unlike micro_sum."""
-    weighted = F.transform(vector, lambda x, i: micro(x) * (i + 1))
-    return F.aggregate(weighted, F.lit(0).cast("long"), lambda total, x: total + x)

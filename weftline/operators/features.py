@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.config import WindowConfig
 from weftline.functions.arrays import one_hot, pad_right, zeros
+from weftline.functions.network import gather
 from weftline.functions.positional import add_vector, positional_vector
 from weftline.operators.lookup import lookup
 from weftline.operators.tokens import token_occurrences
 from weftline.operators.windows import segment_windows, segments
-from weftline.session import other_columns
+from weftline.session import by_key, fits_broadcast, other_columns, share
 
 _INDEX_ROW_BYTES = 64
 
@@ -48,7 +51,7 @@ def _segment_rows(tokens: DataFrame, config: WindowConfig) -> tuple[DataFrame, l
     """
     parts = segments(tokens, config)
     keys = other_columns(parts, "tokens")
-    return token_occurrences(parts.repartition(*keys)), keys
+    return token_occurrences(by_key(parts, *keys)), keys
 
 
 def pad_entry(vocab: DataFrame, config: WindowConfig) -> tuple[int, list[float]]:
@@ -110,10 +113,55 @@ def add_positions(samples: DataFrame, config: WindowConfig) -> DataFrame:
     return samples.withColumn("features", add_vector(F.col("features"), vector))
 
 
+def embedding_matrix(vocab: DataFrame, config: WindowConfig) -> np.ndarray | None:
+    """Vectors by index with one zero row at the end, or None beyond the broadcast bound."""
+    size = vocab.agg(F.max("token_index")).first()[0]
+    rows = 0 if size is None else size + 1
+    if not fits_broadcast(rows + 1, 4 * config.embedding_dim):
+        return None
+    matrix = np.zeros((rows + 1, config.embedding_dim), np.float32)
+    if rows:
+        table = vocab.select("token_index", "vector").toArrow()
+        vectors = table["vector"].combine_chunks().flatten().to_numpy()
+        matrix[table["token_index"].to_numpy()] = vectors.reshape(-1, config.embedding_dim)
+    return matrix
+
+
+def gatherer(spark: SparkSession, matrix: np.ndarray, config: WindowConfig):
+    """Function from an Arrow list array of indices to feature rows with positions."""
+    positions = positional_vector(spark, config.window_size, config.embedding_dim, config.positional)
+    shared = share(spark, (matrix, np.array(positions, np.float32)))
+
+    def features(index: pa.Array) -> np.ndarray:
+        vectors, offsets = shared.value
+        return gather(vectors, index.flatten().to_numpy().reshape(len(index), -1)) + offsets
+
+    return features
+
+
+def gather_features(samples: DataFrame, matrix: np.ndarray, config: WindowConfig) -> DataFrame:
+    """Replace input_index by features with positions, an Arrow batch at a time."""
+    to_features = gatherer(samples.sparkSession, matrix, config)
+
+    @F.arrow_udf("array<float>")
+    def gathered(index: pa.Array) -> pa.Array:
+        rows = to_features(index)
+        bounds = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(rows.ravel()))
+
+    return samples.withColumn("features", gathered("input_index")).drop("input_index")
+
+
 def one_hot_labels(samples: DataFrame, vocab_size: int) -> DataFrame:
     return samples.withColumn("label", one_hot(F.col("target_index"), vocab_size))
 
 
 def training_samples(tokens: DataFrame, vocab: DataFrame, config: WindowConfig) -> DataFrame:
-    """Keys, window_no, features with positions, target_index."""
-    return add_positions(embed_windows(tokens, vocab, config), config)
+    """Keys, window_no, features with positions, target_index.
+
+    Vectors within the broadcast bound are gathered by index; others are joined.
+    """
+    matrix = embedding_matrix(vocab, config)
+    if matrix is None:
+        return add_positions(embed_windows(tokens, vocab, config), config)
+    return gather_features(index_samples(tokens, vocab, config), matrix, config)

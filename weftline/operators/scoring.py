@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from weftline.config import MISSING_TOKEN, WindowConfig
 from weftline.functions.arrays import argmax, pad_right
-from weftline.functions.network import forward, gather
-from weftline.functions.positional import positional_vector
-from weftline.operators.features import token_index
+from weftline.functions.network import forward
+from weftline.operators.features import gatherer, token_index
 from weftline.operators.lookup import lookup
 from weftline.operators.tokens import token_occurrences
-from weftline.session import fits_broadcast, other_columns, share
+from weftline.session import by_key, other_columns, share
 
 _TOKEN_ROW_BYTES = 64
 
@@ -29,26 +28,12 @@ def query_windows(tokens: DataFrame, config: WindowConfig) -> DataFrame:
 def index_windows(windows: DataFrame, vocab: DataFrame) -> DataFrame:
     """Keys, input_index: the input tokens as vocabulary indices, -1 when missing."""
     keys = other_columns(windows, "input")
-    rows = token_occurrences(windows.repartition(*keys).withColumnRenamed("input", "tokens"))
+    rows = token_occurrences(by_key(windows, *keys).withColumnRenamed("input", "tokens"))
     found = token_index(rows, vocab)
     members = F.sort_array(F.collect_list(F.struct("pos", F.col("token_index").cast("int").alias("index"))))
     return found.groupBy(*keys).agg(members["index"].alias("input_index"))
 
 
-def embedding_matrix(vocab: DataFrame, config: WindowConfig) -> np.ndarray | None:
-    """Vectors by index with one zero row at the end, or None beyond the broadcast bound."""
-    size = vocab.agg(F.max("token_index")).first()[0]
-    rows = 0 if size is None else size + 1
-    if not fits_broadcast(rows + 1, 4 * config.embedding_dim):
-        return None
-    matrix = np.zeros((rows + 1, config.embedding_dim), np.float32)
-    if rows:
-        table = vocab.select("token_index", "vector").toArrow()
-        vectors = table["vector"].combine_chunks().flatten().to_numpy()
-        matrix[table["token_index"].to_numpy()] = vectors.reshape(-1, config.embedding_dim)
-    return matrix
-
-
 def score(
     samples: DataFrame,
     parameters: dict[str, np.ndarray],
@@ -65,12 +50,11 @@ def score(
     if matrix is None:
         column, to_features = "features", _dense
     else:
-        positions = np.array(positional_vector(spark, config.window_size, config.embedding_dim, config.positional))
-        column, to_features = "input_index", _gatherer(share(spark, (matrix, positions)))
+        column, to_features = "input_index", gatherer(spark, matrix, config)
 
     @F.arrow_udf("array<double>")
     def network(values: pa.Array) -> pa.Array:
-        out = forward(shared.value, to_features(values))
+        out = forward(shared.value, to_features(values).astype(np.float64))
         bounds = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
         return pa.ListArray.from_arrays(pa.array(bounds), pa.array(out.ravel()))
 
@@ -78,16 +62,7 @@ def score(
 
 
 def _dense(values: pa.Array) -> np.ndarray:
-    return values.flatten().to_numpy().reshape(len(values), -1).astype(np.float64)
-
-
-def _gatherer(shared):
-    def to_features(values: pa.Array) -> np.ndarray:
-        matrix, positions = shared.value
-        index = values.flatten().to_numpy().reshape(len(values), -1)
-        return gather(matrix, index).astype(np.float64) + positions
-
-    return to_features
+    return values.flatten().to_numpy().reshape(len(values), -1)
 
 
 def predict_index(scored: DataFrame, digits: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.arrays import words
 from weftline.functions.bpe import BpeVocabulary
-from weftline.session import other_columns
+from weftline.session import by_key, other_columns
 
 
 def word_tokens(groups: DataFrame, text: str = "text") -> DataFrame:
@@ -30,8 +30,13 @@ def string_to_tokens(strings: DataFrame, element: str = "string") -> DataFrame:
 
 
 def token_occurrences(tokens: DataFrame) -> DataFrame:
-    """Keys, pos, token: one row per token."""
-    return tokens.select(*other_columns(tokens, "tokens"), F.posexplode("tokens").alias("pos", "token"))
+    """Keys, pos, token: one row per token.
+
+    The outer form with a filter after it: for the plain form the optimizer adds a test of
+    the array size below, where the array would be computed a second time.
+    """
+    rows = tokens.select(*other_columns(tokens, "tokens"), F.posexplode_outer("tokens").alias("pos", "token"))
+    return rows.where(F.col("pos").isNotNull())
 
 
 def decode_bpe(tokens: DataFrame, bpe: BpeVocabulary) -> DataFrame:
@@ -40,7 +45,7 @@ def decode_bpe(tokens: DataFrame, bpe: BpeVocabulary) -> DataFrame:
     The piece table has one row per id of the rank file, so it is always small.
     """
     keys = other_columns(tokens, "tokens")
-    spaced = tokens.repartition(*keys)
+    spaced = by_key(tokens, *keys)
     pieces = F.broadcast(bpe.table(tokens.sparkSession).select(F.col("id").alias("token"), F.hex("bytes").alias("_hex")))
     found = token_occurrences(spaced).join(pieces, "token")
     joined = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "_hex")))["_hex"].alias("_hex"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.config import WindowConfig
-from weftline.functions.arrays import pad_right, window_count, window_input, window_target
+from weftline.functions.arrays import pad_right, up_to, window_count, window_input, window_target
 from weftline.session import other_columns
 
 
@@ -31,9 +31,7 @@ def sliding_windows(tokens: DataFrame, config: WindowConfig) -> DataFrame:
     """
     keys = other_columns(tokens, "tokens")
     n = window_count(F.size("tokens"), config.window_size, config.stride)
-    numbered = tokens.where(F.size("tokens") > 0).select(
-        *keys, "tokens", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("window_no")
-    )
+    numbered = tokens.select(*keys, "tokens", F.explode(up_to(n)).alias("window_no"))
     shape = (F.col("tokens"), F.col("window_no"), config.window_size, config.stride)
     return numbered.select(
         *keys, "window_no", window_input(*shape).alias("input"), window_target(*shape).alias("target")
@@ -55,10 +53,8 @@ def segments(tokens: DataFrame, config: WindowConfig) -> DataFrame:
     """
     keys = other_columns(tokens, "tokens")
     n = window_count(F.size("tokens"), config.window_size, config.stride)
-    last = F.floor((n - 1) / config.segment_windows).cast("long")
-    numbered = tokens.where(F.size("tokens") > 0).select(
-        *keys, "tokens", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("segment")
-    )
+    n_segments = F.ceil(n / config.segment_windows)
+    numbered = tokens.select(*keys, "tokens", F.explode(up_to(n_segments)).alias("segment"))
     start = (F.col("segment") * (config.segment_windows * config.stride) + 1).cast("int")
     length = (config.segment_windows - 1) * config.stride + config.window_size + 1
     return numbered.select(*keys, "segment", F.slice("tokens", start, F.lit(length)).alias("tokens"))
@@ -71,9 +67,7 @@ def segment_windows(parts: DataFrame, config: WindowConfig, *arrays: str) -> Dat
     """
     keys = other_columns(parts, "segment", *arrays)
     n = window_count(F.size(arrays[0]), config.window_size, config.stride)
-    numbered = parts.select(
-        *keys, "segment", *arrays, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_k")
-    )
+    numbered = parts.select(*keys, "segment", *arrays, F.explode(up_to(n)).alias("_k"))
     window_no = F.col("segment") * config.segment_windows + F.col("_k")
     out = []
     for name in arrays:

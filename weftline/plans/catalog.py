@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.config import TrainConfig, WindowConfig
-from weftline.functions.arrays import micro_sum, micro_weighted_sum
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators import evaluation
 from weftline.operators.averaging import PARAMETER_SCHEMA, average_parameters
 from weftline.operators.features import (
     add_positions,
     embed_windows,
+    embedding_matrix,
     index_samples,
     one_hot_labels,
     token_vector,
@@ -22,7 +22,6 @@ from weftline.operators.features import (
 )
 from weftline.operators.scoring import (
     decode_predictions,
-    embedding_matrix,
     index_windows,
     linear_parameters,
     predict_index,
@@ -81,12 +80,16 @@ def _words(spark, folder):
 
 
 def _digest(samples: DataFrame, *columns: str) -> DataFrame:
-    """Three whole numbers that depend on every value and place of the feature vector."""
-    return samples.select(
-        *columns,
-        F.size("features").alias("n_features"),
-        micro_sum(F.col("features")).alias("micro_sum"),
-        micro_weighted_sum(F.col("features")).alias("micro_weighted"),
+    """Three whole numbers that depend on every value and place of the feature vector.
+
+    Sums of millionths are exact in any order, and run as generated code.
+    """
+    micro = F.floor(F.col("value").cast("double") * 1000000 + 0.5)
+    values = samples.select(*columns, F.posexplode("features").alias("place", "value"))
+    return values.groupBy(*[c for c in values.columns if c not in ("place", "value")]).agg(
+        F.count(F.lit(1)).cast("int").alias("n_features"),
+        F.sum(micro).alias("micro_sum"),
+        F.sum(micro * (F.col("place") + 1)).alias("micro_weighted"),
     )
 
 
@@ -204,8 +207,7 @@ def embedded_features(spark: SparkSession, folder: str) -> DataFrame:
 def _positional(mode: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         config = replace(CONFIG, positional=mode)
-        samples = embed_windows(_words(spark, folder), word_vocab(spark, folder, config), config)
-        return _digest(add_positions(samples, config), *KEYS)
+        return _digest(training_samples(_words(spark, folder), word_vocab(spark, folder, config), config), *KEYS)
 
     return query
 

@@ -66,6 +66,19 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots, *keys)
 
 
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions on the keys, as many as the session is set to.
+
+    The number is given so that small rows that are widened afterwards keep all tasks busy:
+    partitions of a plain repartition would be merged by their size before the widening.
+    """
+    return df.repartition(shuffle_partitions(df.sparkSession), *keys)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def other_columns(df: DataFrame, *names: str) -> list[str]:
     """The key columns of a frame: all but the given ones."""
     return [c for c in df.columns if c not in names]
