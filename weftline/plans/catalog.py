@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators import evaluation
-from weftline.operators.averaging import PARAMETER_SCHEMA, average_parameters
+from weftline.operators.averaging import average_parameters, parameter_rows
 from weftline.operators.features import (
     add_positions,
     embed_windows,
@@ -37,6 +37,7 @@ from weftline.operators.tokens import (
     tokens_to_string,
     word_tokens,
 )
+from weftline.operators.training import read_model
 from weftline.operators.vocab import (
     attach_vectors,
     last_row_wins,
@@ -340,7 +341,7 @@ def training_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def model_params(spark: SparkSession, folder: str) -> DataFrame:
     model, _ = _trained(spark, folder)
-    return spark.read.schema(PARAMETER_SCHEMA).parquet(model.last_epoch_path())
+    return parameter_rows(read_model(spark, model.last_epoch_path()))
 
 
 def predict_next_token(spark: SparkSession, folder: str) -> DataFrame:

@@ -67,39 +67,45 @@ digests AS (
   FROM vocab)"""
 
 
-def _position_list(size: int, dim: int, mode: str) -> str:
+def _position_cells(size: int, dim: int, mode: str) -> str:
+    """The positional vector as rows (p, d, pos): place d of window position p."""
+    j = f"(p * {dim} + d)"
     if mode == "standard":
-        angle = f"(j // {dim}) / pow(10000.0, ((j % {dim}) - (j % {dim}) % 2) / {dim}.0)"
-        value = f"CASE WHEN (j % {dim}) % 2 = 0 THEN sin({angle}) ELSE cos({angle}) END"
+        angle = f"p / pow(10000.0, (d - d % 2) / {dim}.0)"
+        value = f"CASE WHEN d % 2 = 0 THEN sin({angle}) ELSE cos({angle}) END"
     else:
-        p, d = f"least({size - 1}, j)", f"(j - least({size - 1}, j))"
-        angle = f"{p} / pow(10000.0, 2 * ({d} - {d} % 2) / {dim}.0)"
-        value = f"CASE WHEN {d} >= {dim} THEN 0.0 WHEN {d} % 2 = 0 THEN sin({angle}) ELSE cos({angle}) END"
+        q = f"least({size - 1}, {j})"
+        e = f"({j} - {q})"
+        angle = f"{q} / pow(10000.0, 2 * ({e} - {e} % 2) / {dim}.0)"
+        value = f"CASE WHEN {e} >= {dim} THEN 0.0 WHEN {e} % 2 = 0 THEN sin({angle}) ELSE cos({angle}) END"
     return f"""
 positions AS (
-  SELECT list(CAST({value} AS FLOAT) ORDER BY j) AS pos FROM (SELECT unnest(range(0, {size * dim})) AS j))"""
+  SELECT p, d, CAST({value} AS FLOAT) AS pos
+  FROM (SELECT unnest(range(0, {size})) AS p), (SELECT unnest(range(0, {dim})) AS d))"""
 
 
-def _feature_rows(size: int, stride: int, dim: int = 64) -> str:
-    """Feature vectors of all windows, from the vectors of a whole group in token order."""
-    zeros = f"list_transform(range(0, {dim}), lambda x: CAST(0 AS FLOAT))"
-    return f"""{_window_rows(size, stride)},{_VOCAB},
-zero AS (SELECT {zeros} AS z),
-group_vectors AS (
-  SELECT doc_id, group_id, list(coalesce(vector, z) ORDER BY pos) AS vectors
-  FROM (SELECT doc_id, group_id, unnest(range(0, len(tokens))) AS pos, unnest(tokens) AS token FROM words) o
-  LEFT JOIN vocab USING (token), zero GROUP BY doc_id, group_id),
-features AS (
-  SELECT doc_id, group_id, window_no, target,
-    flatten(list_resize(vectors[window_no * {stride} + 1 : window_no * {stride} + len(input)], {size}, z)) AS features
-  FROM wins JOIN group_vectors USING (doc_id, group_id), zero)"""
-
-
-def _positional(size: int, stride: int, mode: str, extra: str = "", join: str = "") -> str:
-    added = "list_transform(list_zip(features, pos), lambda x: x[1] + x[2])"
-    return f"""WITH {_feature_rows(size, stride)},{_position_list(size, 64, mode)},
-added AS (SELECT doc_id, group_id, window_no, target, {added} AS f FROM features, positions)
-SELECT doc_id, group_id, window_no, {extra}{_digest("f")} FROM added {join}"""
+def _positional(size: int, stride: int, mode: str, extra: str = "", dim: int = 64) -> str:
+    """Feature digests: sums per (word, position) first, as equal pairs give equal sums."""
+    micro = _MICRO.format(x="v + pos")
+    return f"""WITH {_window_rows(size, stride)},{_VOCAB},{_position_cells(size, dim, mode)},
+cells AS (
+  SELECT token_index, unnest(range(0, {dim})) AS d, unnest(vector) AS v FROM vocab
+  UNION ALL SELECT -1, unnest(range(0, {dim})), CAST(0 AS FLOAT)),
+digests AS (
+  SELECT token_index, p, sum({micro}) AS s, sum({micro} * (p * {dim} + d + 1)) AS w
+  FROM cells JOIN positions USING (d) GROUP BY token_index, p),
+placed AS (
+  SELECT doc_id, group_id, window_no, target, unnest(range(0, {size})) AS p,
+    unnest(list_resize(input, {size}, NULL)) AS token
+  FROM wins),
+found AS (
+  SELECT doc_id, group_id, window_no, target, p, coalesce(token_index, -1) AS token_index
+  FROM placed LEFT JOIN vocab USING (token)),
+summed AS (
+  SELECT doc_id, group_id, window_no, target, CAST(sum(s) AS BIGINT) AS micro_sum, CAST(sum(w) AS BIGINT) AS micro_weighted
+  FROM found JOIN digests USING (token_index, p) GROUP BY ALL)
+SELECT doc_id, group_id, window_no, {extra}CAST({size * dim} AS INTEGER) AS n_features, micro_sum, micro_weighted
+FROM summed LEFT JOIN vocab ON token = target"""
 
 
 _TRAIN = """('0x' || substr(md5(concat_ws('-', doc_id, group_id, window_no)), 1, 8))::UBIGINT % 100 < 80"""
@@ -220,7 +226,6 @@ FROM wins LEFT JOIN vocab ON token = target""",
     "training_samples": _positional(
         20, 3, "standard",
         "CASE WHEN token_index < 50 THEN token_index ELSE -1 END AS target_index, ",
-        "LEFT JOIN vocab ON token = target",
     ),
     "dataset_summary": f"""WITH summary AS ({_positional(20, 3, "standard")})
 SELECT doc_id, group_id, window_no, CAST(50 AS INTEGER) AS n_classes, n_features, micro_sum, micro_weighted,
