@@ -137,8 +137,8 @@ def skewed(spark):
 
 def test_lookup_by_shuffle_equals_broadcast(spark):
     table = spark.createDataFrame([("hot", 1), ("w5", 2), ("w7", 3), ("unused", 4)], "token string, n long")
-    small = lookup(skewed(spark), table, "token", 64).collect()
-    large = lookup(skewed(spark), table, "token", 64, limit=0).collect()
+    small = lookup(skewed(spark), table, "token").collect()
+    large = lookup(skewed(spark), table, "token", limit=0).collect()
     assert sorted(map(str, small)) == sorted(map(str, large))
     assert len(large) == 3000
 

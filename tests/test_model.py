@@ -27,6 +27,7 @@ from weftline.operators.scoring import (
 from weftline.operators.split import hash_split, random_split
 from weftline.operators.tokens import word_tokens
 from weftline.operators.training import load_state, plan_rounds, train
+from weftline.plans.pipelines import fit, predict
 
 CONFIG = WindowConfig(window_size=2, stride=1, embedding_dim=4, vocab_size=3)
 
@@ -107,6 +108,7 @@ def test_features_and_indices_train_alike(spark):
     dense = gather_features(samples, embedding_matrix(vocab, CONFIG), CONFIG)
     first = train(samples, vocab, CONFIG, config)
     second = train(dense, vocab, CONFIG, config)
+    assert second.matrix is None
     for name in first.state:
         np.testing.assert_allclose(first.state[name], second.state[name], rtol=1e-12, atol=1e-15)
 
@@ -259,3 +261,19 @@ def test_add_positions_may_be_off(spark):
     frame = spark.createDataFrame([([1.0] * 8,)], "features array<float>")
     config = WindowConfig(window_size=2, embedding_dim=4, positional=None)
     assert add_positions(frame, config).collect() == frame.collect()
+
+
+def test_beyond_the_bound_features_are_joined_and_predicted(spark):
+    """The whole path without a broadcast of the vectors gives the same model and predictions."""
+    tokens = token_frame(spark, [[f"t{(i * i + d) % 5}" for i in range(40)] for d in range(3)])
+    config = TrainConfig(workers=2, batch_size=8, averaging_frequency=4, epochs=2, hidden_size=4)
+    vocab = vocabulary(spark)
+    small = fit(tokens, vocab, CONFIG, config, ("doc_id", "window_no"))
+    large = fit(tokens, vocab, CONFIG, config, ("doc_id", "window_no"), limit=0)
+    assert small.matrix is not None and large.matrix is None
+    for name in small.state:
+        np.testing.assert_allclose(small.state[name], large.state[name], rtol=1e-12, atol=1e-15)
+    queries = token_frame(spark, [["t1", "t2"], ["t0"], ["none", "t3", "t1"], []])
+    first = predict(queries, vocab, vocab, small, CONFIG).collect()
+    second = predict(queries, vocab, vocab, large, CONFIG).collect()
+    assert sorted(map(str, first)) == sorted(map(str, second)) and len(first) == 4

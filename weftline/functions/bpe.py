@@ -27,6 +27,11 @@ def _encoding(data: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=_parse_ranks(data), special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def _pieces(data: bytes) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in _parse_ranks(data).items()}
+
+
 def encode_lists(tokens: pa.Array, encode) -> pa.Array:
     """list<string> to list<int>: each distinct word of the batch is encoded once."""
     distinct = tokens.flatten().dictionary_encode()
@@ -73,14 +78,24 @@ class BpeVocabulary:
 
         return encode
 
+    def decoder(self, spark: SparkSession):
+        shared = share(spark, self.data)
+
+        @F.arrow_udf("string")
+        def decode(ids: pa.Array) -> pa.Array:
+            pieces = _pieces(shared.value)
+            rows = [b"".join(map(pieces.__getitem__, row)) for row in ids.to_pylist()]
+            return pa.array([row.decode("utf-8", "replace") for row in rows], pa.string())
+
+        return decode
+
     def table(self, spark: SparkSession) -> DataFrame:
-        """id, bytes, piece: the decoding of every id; undecodable bytes become U+FFFD."""
-        ranks = _parse_ranks(self.data)
+        """id, piece: the decoding of every id; undecodable bytes become U+FFFD."""
+        pieces = _pieces(self.data)
         rows = pa.table(
             {
-                "id": pa.array(ranks.values(), pa.int32()),
-                "bytes": pa.array(ranks.keys(), pa.binary()),
-                "piece": pa.array([piece.decode("utf-8", "replace") for piece in ranks], pa.string()),
+                "id": pa.array(pieces.keys(), pa.int32()),
+                "piece": pa.array([piece.decode("utf-8", "replace") for piece in pieces.values()], pa.string()),
             }
         )
         return spark.createDataFrame(rows)

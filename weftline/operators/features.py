@@ -16,18 +16,16 @@ from weftline.operators.tokens import token_occurrences
 from weftline.operators.windows import segment_windows, segments
 from weftline.session import by_key, fits_broadcast, other_columns, share
 
-_INDEX_ROW_BYTES = 64
-
 
 def token_index(rows: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
     """Add token_index for the column token, -1 when it is missing."""
-    found = lookup(rows, vocab.select("token", "token_index"), "token", _INDEX_ROW_BYTES, limit)
+    found = lookup(rows, vocab.select("token", "token_index"), "token", limit)
     return found.withColumn("token_index", F.coalesce("token_index", F.lit(-1).cast("long")))
 
 
 def token_vector(rows: DataFrame, vocab: DataFrame, dim: int, limit: int | None = None) -> DataFrame:
     """Add token_index and vector for the column token; a missing token gets zeros."""
-    found = lookup(rows, vocab.select("token", "token_index", "vector"), "token", _INDEX_ROW_BYTES + 4 * dim, limit)
+    found = lookup(rows, vocab.select("token", "token_index", "vector"), "token", limit)
     return found.withColumns(
         {
             "token_index": F.coalesce("token_index", F.lit(-1).cast("long")),
@@ -113,11 +111,11 @@ def add_positions(samples: DataFrame, config: WindowConfig) -> DataFrame:
     return samples.withColumn("features", add_vector(F.col("features"), vector))
 
 
-def embedding_matrix(vocab: DataFrame, config: WindowConfig) -> np.ndarray | None:
+def embedding_matrix(vocab: DataFrame, config: WindowConfig, limit: int | None = None) -> np.ndarray | None:
     """Vectors by index with one zero row at the end, or None beyond the broadcast bound."""
-    size = vocab.agg(F.max("token_index")).first()[0]
-    rows = 0 if size is None else size + 1
-    if not fits_broadcast(rows + 1, 4 * config.embedding_dim):
+    last = vocab.agg(F.max("token_index")).first()[0]
+    rows = 0 if last is None else last + 1
+    if not fits_broadcast((rows + 1) * 4 * config.embedding_dim, limit):
         return None
     matrix = np.zeros((rows + 1, config.embedding_dim), np.float32)
     if rows:

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.session import fits_broadcast, materialize
+from weftline.session import fits_broadcast, materialize, table_bytes
 
 #: A key is heavy when it makes up more than 1 / HEAVY_KEYS of all rows, so that fewer
 #: than HEAVY_KEYS keys can be heavy.
 HEAVY_KEYS = 10_000
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, row_bytes: int, limit: int | None = None) -> DataFrame:
+def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Every row of `rows` once, with the columns of `table` for its key or nulls.
 
-    `table` has unique keys. Its rows are counted: a table within the broadcast bound is
+    `table` has unique keys. Its size is measured: a table within the broadcast bound is
     broadcast, so `rows` keeps its partitioning. A larger one is joined by a shuffle, but
     for the rows of heavy keys, which meet the few matching table rows by broadcast.
     """
-    if fits_broadcast(table.count(), row_bytes, limit):
+    if fits_broadcast(table_bytes(table), limit):
         return rows.join(F.broadcast(table), key, "left")
     heavy = F.broadcast(heavy_keys(rows, key))
     heavy_table = F.broadcast(table.join(heavy, key, "left_semi"))

@@ -15,8 +15,6 @@ from weftline.operators.lookup import lookup
 from weftline.operators.tokens import token_occurrences
 from weftline.session import by_key, other_columns, share
 
-_TOKEN_ROW_BYTES = 64
-
 
 def query_windows(tokens: DataFrame, config: WindowConfig) -> DataFrame:
     """Keys, input: the first window_size tokens, padded at the end."""
@@ -79,7 +77,7 @@ def predict_index(scored: DataFrame, digits: int | None = None) -> DataFrame:
 def decode_predictions(predictions: DataFrame, vocab: DataFrame, index: str = "prediction") -> DataFrame:
     """Add token for a predicted index; an index outside the vocabulary gives NULL as text."""
     names = vocab.select(F.col("token_index").alias(index), "token")
-    found = lookup(predictions, names, index, _TOKEN_ROW_BYTES)
+    found = lookup(predictions, names, index)
     return found.withColumn("token", F.coalesce(F.col("token").cast("string"), F.lit(MISSING_TOKEN)))
 
 

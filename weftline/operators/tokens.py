@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.arrays import words
 from weftline.functions.bpe import BpeVocabulary
-from weftline.session import by_key, other_columns
+from weftline.session import other_columns
 
 
 def word_tokens(groups: DataFrame, text: str = "text") -> DataFrame:
@@ -40,13 +40,6 @@ def token_occurrences(tokens: DataFrame) -> DataFrame:
 
 
 def decode_bpe(tokens: DataFrame, bpe: BpeVocabulary) -> DataFrame:
-    """Keys, text: the bytes of all ids of a row in order, as UTF-8.
-
-    The piece table has one row per id of the rank file, so it is always small.
-    """
-    keys = other_columns(tokens, "tokens")
-    spaced = by_key(tokens, *keys)
-    pieces = F.broadcast(bpe.table(tokens.sparkSession).select(F.col("id").alias("token"), F.hex("bytes").alias("_hex")))
-    found = token_occurrences(spaced).join(pieces, "token")
-    joined = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "_hex")))["_hex"].alias("_hex"))
-    return joined.select(*keys, F.decode(F.unhex(F.array_join("_hex", "")), "UTF-8").alias("text"))
+    """Keys, text: the bytes of all ids of a row in order, as UTF-8."""
+    decode = bpe.decoder(tokens.sparkSession)
+    return tokens.select(*other_columns(tokens, "tokens"), decode("tokens").alias("text"))

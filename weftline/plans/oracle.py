@@ -178,7 +178,7 @@ SELECT doc_id, group_id, CAST(unnest(range(0, len(tokens))) AS INTEGER) AS pos,
     "token_strings": f"""WITH {_WORDS}
 SELECT doc_id, group_id, array_to_string(tokens, ' ') AS token_string, CAST(len(tokens) AS INTEGER) AS n_tokens FROM words""",
     "bpe_roundtrip": f"""WITH {_GROUPS}
-SELECT doc_id, group_id, replace(text, ' ', '') AS text FROM line_group WHERE replace(text, ' ', '') <> ''""",
+SELECT doc_id, group_id, replace(text, ' ', '') AS text FROM line_group""",
     "sliding_windows": f"""WITH {_window_rows()}
 SELECT doc_id, group_id, window_no, CAST(len(input) AS INTEGER) AS n_input, array_to_string(input, ' ') AS input, target
 FROM wins""",

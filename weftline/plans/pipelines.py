@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
-from weftline.operators.features import add_positions, embed_windows, index_samples
+from weftline.operators.features import add_positions, embed_windows, embedding_matrix, index_samples
 from weftline.operators.scoring import (
     decode_predictions,
     index_windows,
@@ -21,7 +21,7 @@ from weftline.operators.split import hash_split
 from weftline.operators.tokens import bpe_tokens, word_tokens
 from weftline.operators.training import TrainedModel, train
 from weftline.operators.vocab import attach_vectors, token_counts, vocab_by_id, vocab_from_csv, vocab_index
-from weftline.session import fits_broadcast, materialize
+from weftline.session import materialize
 from weftline.sources.corpus import document_groups, group_lines, read_documents, read_table, text_file_lines
 from weftline.sources.embeddings import read_embedding_csv
 
@@ -46,11 +46,13 @@ def query_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def model_samples(tokens: DataFrame, vocab: DataFrame, config: WindowConfig) -> DataFrame:
+def model_samples(
+    tokens: DataFrame, vocab: DataFrame, config: WindowConfig, limit: int | None = None
+) -> DataFrame:
     """Samples as indices while the vectors fit the broadcast bound, else with features."""
-    if fits_broadcast(vocab.count() + 1, 4 * config.embedding_dim):
+    if embedding_matrix(vocab, config, limit) is not None:
         return index_samples(tokens, vocab, config)
-    return add_positions(embed_windows(tokens, vocab, config), config)
+    return add_positions(embed_windows(tokens, vocab, config, limit), config)
 
 
 def fit(
@@ -60,9 +62,10 @@ def fit(
     config: TrainConfig,
     keys: tuple[str, ...],
     model_path: str | None = None,
+    limit: int | None = None,
 ) -> TrainedModel:
     """Samples, split, training with a test accuracy per epoch, saved model."""
-    samples = materialize(model_samples(tokens, vocab, window), "samples")
+    samples = materialize(model_samples(tokens, vocab, window, limit), "samples")
     fitted, test = hash_split(samples, *keys)
     return train(fitted, vocab, window, config, test, keys, model_path)
 

@@ -8,10 +8,14 @@ import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A side is broadcast only when rows x width stays below this.
+#: A side is broadcast only when its measured size stays below this.
 BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
+_ROW_SHARE_BYTES = 32
+
 _local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -40,8 +44,21 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(rows: int, row_bytes: int, limit: int | None = None) -> bool:
-    return rows * row_bytes <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
+def table_bytes(table: DataFrame) -> int:
+    """Measured size in memory: the lengths of texts and arrays, and a share for each row."""
+    size = F.lit(_ROW_SHARE_BYTES)
+    for field in table.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size += F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            size += 8 * F.coalesce(F.size(field.name), F.lit(0))
+        else:
+            size += 8
+    return table.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
+def fits_broadcast(size: int, limit: int | None = None) -> bool:
+    return size <= (BROADCAST_LIMIT_BYTES if limit is None else limit)
 
 
 def share(spark: SparkSession, value):

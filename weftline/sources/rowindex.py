@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.session import fits_broadcast, materialize, shuffle_partitions
+from weftline.session import fits_broadcast, materialize, shuffle_partitions, table_bytes
 
-_OFFSET_ROW_BYTES = 320
+_OFFSET_BYTES = 64
 
 
 def _with_offsets(blocks: DataFrame, order: list[str]) -> DataFrame:
@@ -16,8 +16,8 @@ def _with_offsets(blocks: DataFrame, order: list[str]) -> DataFrame:
     return blocks.withColumn("_offset", F.sum("_rows").over(earlier) - F.col("_rows"))
 
 
-def _add_index(tagged: DataFrame, offsets: DataFrame, rows: int, keys: list[str], name: str) -> DataFrame:
-    if fits_broadcast(rows, _OFFSET_ROW_BYTES):
+def _add_index(tagged: DataFrame, offsets: DataFrame, size: int, keys: list[str], name: str) -> DataFrame:
+    if fits_broadcast(size):
         offsets = F.broadcast(offsets)
     changed = F.raise_error(F.lit("the input changed while its rows were being numbered")).cast("long")
     index = F.coalesce("_offset", changed) + F.col("_id") - F.col("_first")
@@ -38,7 +38,7 @@ def number_file_rows(scan: DataFrame, name: str) -> DataFrame:
     )
     blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
     offsets = materialize(_with_offsets(blocks, ["_file", "_block"]).drop("_rows"), "block-offsets")
-    return _add_index(tagged, offsets, offsets.count(), ["_file", "_block"], name).select(name, *columns)
+    return _add_index(tagged, offsets, table_bytes(offsets), ["_file", "_block"], name).select(name, *columns)
 
 
 def number_sorted_rows(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -51,5 +51,5 @@ def number_sorted_rows(df: DataFrame, order: list, name: str) -> DataFrame:
     ranked = materialize(ranked.withColumn("_part", F.spark_partition_id()), "sorted")
     parts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
     offsets = _with_offsets(parts, ["_part"]).drop("_rows")
-    most = shuffle_partitions(df.sparkSession)
-    return _add_index(ranked, offsets, most, ["_part"], name).select(*columns, name)
+    most = shuffle_partitions(df.sparkSession)  # a sort makes no more partitions than this
+    return _add_index(ranked, offsets, most * _OFFSET_BYTES, ["_part"], name).select(*columns, name)
