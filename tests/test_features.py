@@ -119,7 +119,7 @@ def test_only_token_arrays_are_shuffled_for_features(spark):
 
 def test_feature_length_is_checked(spark):
     short = spark.createDataFrame([("t0", 0, [1.0])], "token string, token_index long, vector array<float>")
-    with pytest.raises(Exception, match="feature vector is not of length 12"):
+    with pytest.raises(Exception, match="vector is not of length 3"):
         embed_windows(token_frame(spark, [["t0"] * 5]), short, CONFIG).collect()
 
 

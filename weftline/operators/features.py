@@ -17,6 +17,11 @@ from weftline.operators.windows import segment_windows, segments
 from weftline.session import by_key, fits_broadcast, other_columns, share
 
 
+def checked_size(vector: Column, dim: int) -> Column:
+    wrong = F.raise_error(F.lit(f"vector is not of length {dim}")).cast("array<float>")
+    return F.when(F.size(vector) == dim, vector).otherwise(wrong)
+
+
 def token_index(rows: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
     """Add token_index for the column token, -1 when it is missing."""
     found = lookup(rows, vocab.select("token", "token_index"), "token", limit)
@@ -24,8 +29,12 @@ def token_index(rows: DataFrame, vocab: DataFrame, limit: int | None = None) ->
 
 
 def token_vector(rows: DataFrame, vocab: DataFrame, dim: int, limit: int | None = None) -> DataFrame:
-    """Add token_index and vector for the column token; a missing token gets zeros."""
-    found = lookup(rows, vocab.select("token", "token_index", "vector"), "token", limit)
+    """Add token_index and vector for the column token; a missing token gets zeros.
+
+    The length of a vector is checked once per row of the vocabulary.
+    """
+    vectors = vocab.select("token", "token_index", checked_size(F.col("vector"), dim).alias("vector"))
+    found = lookup(rows, vectors, "token", limit)
     return found.withColumns(
         {
             "token_index": F.coalesce("token_index", F.lit(-1).cast("long")),
@@ -93,16 +102,11 @@ def embed_windows(tokens: DataFrame, vocab: DataFrame, config: WindowConfig, lim
     features = F.flatten(pad_right(F.col("vector_input"), config.window_size, pad))
     return windows.select(
         *other_columns(windows, "vector_input", "vector_target", "token_index_input", "token_index_target"),
-        checked_size(features, config.feature_size).alias("features"),
+        features.alias("features"),
         label_index(F.col("token_index_target"), config.vocab_size).alias("target_index"),
     )
 
 
-def checked_size(features: Column, size: int) -> Column:
-    wrong = F.raise_error(F.lit(f"feature vector is not of length {size}")).cast("array<float>")
-    return F.when(F.size(features) == size, features).otherwise(wrong)
-
-
 def add_positions(samples: DataFrame, config: WindowConfig) -> DataFrame:
     """Add the positional vector to the features."""
     if config.positional is None:

@@ -9,7 +9,7 @@ from weftline.session import fits_broadcast, materialize, table_bytes
 
 #: A key is heavy when it makes up more than 1 / HEAVY_KEYS of all rows, so that fewer
 #: than HEAVY_KEYS keys can be heavy.
-HEAVY_KEYS = 10_000
+HEAVY_KEYS = 100_000
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int | None = None) -> DataFrame:
