@@ -125,7 +125,16 @@ def test_each_sample_is_in_one_round(spark):
     placed, rounds = plan_rounds(toy_samples(spark), config, *KEYS)
     assert rounds == 20 and placed.count() == 600
     assert placed.select("place").distinct().count() == 600
-    assert {r["worker"] for r in placed.select("worker").distinct().collect()} == {0, 1, 2}
+    cells = placed.groupBy("round", "worker").count().collect()
+    assert len(cells) == 60 and all(r["count"] < 30 for r in cells)
+
+
+@pytest.mark.parametrize("workers", [2, 8, 64])
+def test_workers_share_evenly(spark, workers):
+    config = TrainConfig(workers=workers, batch_size=1000, averaging_frequency=10)
+    placed, _ = plan_rounds(toy_samples(spark, 6400), config, *KEYS)
+    counts = [r["count"] for r in placed.groupBy("worker").count().collect()]
+    assert len(counts) == workers and max(counts) < 2 * 6400 / workers
 
 
 def test_epochs_may_be_inclusive():

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from helpers import windows
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators.tokens import bpe_tokens
@@ -44,6 +45,24 @@ def test_entry(spark):
     assert frame.columns == ["doc_id", "group_id", "window_no", "n_input", "input", "target"]
 
 
+def test_bpe_samples_against_loops(spark, folder):
+    """Indices of the pieces of all byte-pair windows, from the vocabulary of words."""
+    bpe = BpeVocabulary.installed()
+    pieces = {r["id"]: r["piece"] for r in bpe.table(spark).collect()}
+    rank = {r["token"]: r["token_index"] for r in queries()["vocab_index"](spark, folder).where("token_index < 500").collect()}
+    indices = {id_: rank.get(piece, -1) for id_, piece in pieces.items()}
+    got = {(r["doc_id"], r["group_id"], r["window_no"]): (r["input_index"], r["target_index"])
+           for r in queries()["bpe_samples"](spark, folder).collect()}
+    want = {}
+    for r in queries()["bpe_token_ids"](spark, folder).collect():
+        ids = [int(x) for x in r["tokens"].split(" ") if x]
+        for k, (window, target) in enumerate(windows(ids, 20, 3)):
+            index = [indices[x] for x in window] + [indices[0]] * (20 - len(window))
+            label = indices[target] if indices[target] < 50 else -1
+            want[r["doc_id"], r["group_id"], k] = (" ".join(map(str, index)), label)
+    assert got == want
+
+
 def test_random_split_keeps_every_window(spark, folder):
     rows = queries()["split_random"](spark, folder)
     assert rows.drop("split").distinct().count() == rows.count() == queries()["split_hash"](spark, folder).count()
