@@ -13,10 +13,11 @@ from weftline.functions.network import (
     loss_and_gradients,
 )
 from weftline.functions.positional import positional_vector
-from weftline.operators import evaluation
+from weftline.operators import evaluation, scoring
 from weftline.operators.averaging import average_chunks, average_parameters, model_table, parameter_rows, state_of
 from weftline.operators.features import add_positions, embedding_matrix, gather_features
 from weftline.operators.scoring import (
+    classify,
     decode_predictions,
     index_windows,
     linear_parameters,
@@ -200,6 +201,26 @@ def test_scores_of_features_and_indices_agree(spark):
     np.testing.assert_allclose([by_index[k] for k in range(4)], forward(parameters, features), rtol=1e-6)
 
 
+def test_classes_in_pieces_equal_the_argmax_of_scores(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "_SCORE_CELLS", 30)
+    vocab = vocabulary(spark)
+    matrix, parameters = embedding_matrix(vocab, CONFIG), initial_parameters(8, 5, 3, 11)
+    rows = toy_samples(spark, 200).coalesce(1)
+    want = predict_index(score(rows, parameters, CONFIG, matrix)).drop("scores")
+    assert sorted(map(str, classify(rows, parameters, CONFIG, matrix).collect())) == sorted(map(str, want.collect()))
+    nothing = rows.where("window_no < 0")
+    assert classify(nothing, parameters, CONFIG, matrix).collect() == []
+
+
+def test_training_without_any_label(spark):
+    config = TrainConfig(workers=2, batch_size=16, averaging_frequency=4, epochs=1, hidden_size=3)
+    unlabelled = toy_samples(spark, 50).withColumn("target_index", F.lit(-1).cast("long"))
+    model = train(unlabelled, vocabulary(spark), CONFIG, config, unlabelled)
+    row = model.epochs.first()
+    assert row["n_samples"] == 0 and row["mean_loss"] is None and row["test_accuracy"] is None
+    assert model.metrics.count() == 0
+
+
 def test_linear_scores_pick_the_token_itself(spark):
     vocab = vocabulary(spark)
     config = WindowConfig(window_size=2, stride=1, embedding_dim=4, vocab_size=3, positional=None)

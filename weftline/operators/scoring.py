@@ -16,6 +16,10 @@ from weftline.operators.tokens import token_occurrences
 from weftline.session import by_key, other_columns, share
 
 
+#: Cells of a score matrix that is held at once.
+_SCORE_CELLS = 4_000_000
+
+
 def query_windows(tokens: DataFrame, config: WindowConfig) -> DataFrame:
     """Keys, input: the first window_size tokens, padded at the end."""
     pad = F.lit(config.pad_token).cast(tokens.schema["tokens"].dataType.elementType)
@@ -32,23 +36,26 @@ def index_windows(windows: DataFrame, vocab: DataFrame) -> DataFrame:
     return found.groupBy(*keys).agg(members["index"].alias("input_index"))
 
 
+def _model_input(samples: DataFrame, config: WindowConfig, matrix: np.ndarray | None):
+    """The column that a model reads, and the function that makes feature rows of it.
+
+    Samples carry either features, or input_index, whose vectors are gathered from the
+    broadcast matrix.
+    """
+    if matrix is None:
+        return "features", _dense
+    return "input_index", gatherer(samples.sparkSession, matrix, config)
+
+
 def score(
-    samples: DataFrame,
-    parameters: dict[str, np.ndarray],
-    config: WindowConfig,
-    matrix: np.ndarray | None = None,
+    samples: DataFrame, parameters: dict[str, np.ndarray], config: WindowConfig, matrix: np.ndarray | None = None
 ) -> DataFrame:
     """Add scores array<double>: the forward pass over Arrow batches.
 
-    Samples carry either features, or input_index, whose vectors are gathered from the
-    broadcast matrix. The parameters have the size that the configuration gives them.
+    The parameters have the size that the configuration gives them.
     """
-    spark = samples.sparkSession
-    shared = share(spark, parameters)
-    if matrix is None:
-        column, to_features = "features", _dense
-    else:
-        column, to_features = "input_index", gatherer(spark, matrix, config)
+    column, to_features = _model_input(samples, config, matrix)
+    shared = share(samples.sparkSession, parameters)
 
     @F.arrow_udf("array<double>")
     def network(values: pa.Array) -> pa.Array:
@@ -59,6 +66,29 @@ def score(
     return samples.withColumn("scores", network(column))
 
 
+def classify(
+    samples: DataFrame, parameters: dict[str, np.ndarray], config: WindowConfig, matrix: np.ndarray | None = None
+) -> DataFrame:
+    """Add prediction, the first maximum of the scores, without handing the scores back.
+
+    A batch is scored in pieces, so that many classes or wide features fit in memory.
+    """
+    column, to_features = _model_input(samples, config, matrix)
+    shared = share(samples.sparkSession, parameters)
+    widest = max(max(value.shape) for value in parameters.values())
+    rows = max(1, _SCORE_CELLS // widest)
+
+    @F.arrow_udf("long")
+    def best(values: pa.Array) -> pa.Array:
+        out = [np.empty(0, np.int64)]
+        for start in range(0, len(values), rows):
+            part = to_features(values.slice(start, rows)).astype(np.float64)
+            out.append(forward(shared.value, part).argmax(axis=1))
+        return pa.array(np.concatenate(out))
+
+    return samples.withColumn("prediction", best(column))
+
+
 def _dense(values: pa.Array) -> np.ndarray:
     return values.flatten().to_numpy().reshape(len(values), -1)
 

@@ -11,11 +11,10 @@ from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators.features import add_positions, embed_windows, embedding_matrix, index_samples
 from weftline.operators.scoring import (
+    classify,
     decode_predictions,
     index_windows,
-    predict_index,
     query_windows,
-    score,
 )
 from weftline.operators.split import hash_split
 from weftline.operators.tokens import bpe_tokens, word_tokens
@@ -86,8 +85,8 @@ def predict(
         samples = samples.drop("window_no", "target_index")
     else:
         samples = index_windows(windows, vocab)
-    predicted = predict_index(score(samples, model.parameters, config, model.matrix))
-    return decode_predictions(predicted.drop("scores", "features", "input_index"), names)
+    predicted = classify(samples, model.parameters, config, model.matrix)
+    return decode_predictions(predicted.drop("features", "input_index"), names)
 
 
 def train_on_files(
