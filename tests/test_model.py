@@ -79,6 +79,8 @@ def test_loss_falls_and_accuracy_rises(spark):
     assert epochs[-1]["test_accuracy"] == 1.0
     metrics = model.metrics.collect()
     assert {r["epoch"] for r in metrics} == set(range(6)) and all(r["grad_norm"] >= 0 for r in metrics)
+    cells = model.confusions.where("epoch = 5").collect()
+    assert sum(r["n"] for r in cells) == 90 and all(r["label"] == r["prediction"] for r in cells)
     saved = load_state(spark, model.last_epoch_path())
     assert saved.keys() == model.state.keys()
     assert all(np.array_equal(saved[name], model.state[name]) for name in saved)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
+from weftline.operators.evaluation import class_counts_of
 from weftline.operators.tokens import bpe_tokens
 from weftline.plans.pipelines import predict, train_on_files
 
@@ -44,6 +46,8 @@ def main() -> None:
     bpe = BpeVocabulary.from_file(args.ranks) if args.ranks else BpeVocabulary.installed()
     model, vocab, names = train_on_files(spark, args.text, args.embeddings, bpe, window, config, args.model)
     model.epochs.orderBy("epoch").show(args.epochs, truncate=False)
+    last = model.confusions.where(F.col("epoch") == args.epochs - 1)
+    class_counts_of(last).orderBy("class").show(args.vocab_size, truncate=False)
     if args.query:
         queries = spark.createDataFrame(list(enumerate(args.query)), "query_id long, text string")
         predict(bpe_tokens(queries, bpe), vocab, names, model, window).orderBy("query_id").show(len(args.query), truncate=False)

@@ -339,6 +339,10 @@ def training_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _trained(spark, folder)[0].metrics
 
 
+def training_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    return _trained(spark, folder)[0].confusions
+
+
 def model_params(spark: SparkSession, folder: str) -> DataFrame:
     model, _ = _trained(spark, folder)
     return parameter_rows(read_model(spark, model.last_epoch_path()))
@@ -389,6 +393,7 @@ QUERIES = {
     "param_average": param_average,
     "train_param_avg": train_param_avg,
     "training_metrics": training_metrics,
+    "training_confusion": training_confusion,
     "model_params": model_params,
     "predict_next_token": predict_next_token,
 }

@@ -63,8 +63,12 @@ def fit(
     model_path: str | None = None,
     limit: int | None = None,
 ) -> TrainedModel:
-    """Samples, split, training with a test accuracy per epoch, saved model."""
-    samples = materialize(model_samples(tokens, vocab, window, limit), "samples")
+    """Samples, split, training with a test accuracy per epoch, saved model.
+
+    Only samples with a label are stored: the filter runs before the inputs are sliced.
+    """
+    samples = model_samples(tokens, vocab, window, limit)
+    samples = materialize(samples.where(F.col("target_index") >= 0), "samples")
     fitted, test = hash_split(samples, *keys)
     return train(fitted, vocab, window, config, test, keys, model_path)
 
