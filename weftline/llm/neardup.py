@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import LOWER, U64, mix, numbers, record_batch, span_hashes, text_bytes, text_slices, word_spans
+from weftline.llm.common import LOWER, U64, fresh, mix, numbers, record_batch, span_hashes, text_bytes, text_slices, word_spans
 from weftline.session import fits_broadcast, materialize, share, table_bytes
 
 #: Sides of measured size up to this are broadcast; larger ones are shuffled.
@@ -195,22 +195,18 @@ class _Verifier:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root of all nodes of the edges (one, other): the smallest node that can be reached.
+    """node, root of all nodes of the edges (one, other; a written table without loops): the smallest node that can be reached.
 
-    Each round every node takes its smallest neighbour, takes that one's choice twice, and the edges are contracted; at
+    Each round every node takes its smallest neighbour, takes that one's choice, and the edges are contracted; at
     least half of the nodes that still have edges go. All tables of a round are written, none comes to the driver.
     """
-    edges = materialize(edges.select("one", "other").filter("one != other"), "edges")
     labels = None
     while True:
         both = edges.union(edges.select(F.col("other").alias("one"), F.col("one").alias("other")))
         choice = both.groupBy("one").agg(F.min("other").alias("least"))
         choice = materialize(choice.select(F.col("one").alias("node"), F.least("one", "least").alias("root")), "choices")
-        for _ in range(2):
-            onward = choice.select(F.col("node").alias("root"), F.col("root").alias("further"))
-            choice = materialize(
-                _joined(choice, onward, ["root"]).select("node", F.col("further").alias("root")), "choices"
-            )
+        onward = choice.select(F.col("node").alias("root"), F.col("root").alias("further"))
+        choice = materialize(_joined(choice, onward, ["root"]).select("node", F.col("further").alias("root")), "choices")
         if labels is None:
             labels = choice
         else:
@@ -299,3 +295,18 @@ def near_duplicates(documents: DataFrame, method: NearDuplicates = NearDuplicate
     return found.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def keep_first(documents: DataFrame, method: NearDuplicates = NearDuplicates()) -> DataFrame:
+    """The rows, with all their columns, of one document of each group: that with the smallest doc_id.
+
+    Rows without a doc_id stay, and so do rows that share the doc_id that stays.
+    """
+    found = near_duplicates(documents, method).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    name = fresh(documents, "kept_id")
+    kept = materialize(found, "kept-documents").withColumnRenamed("doc_id", name)
+    joined = documents.join(
+        F.broadcast(kept) if fits_broadcast(table_bytes(kept), BROADCAST_BYTES) else kept,
+        F.col("doc_id").cast("long") == F.col(name), "left",
+    )
+    return joined.filter(F.col(name).isNotNull() | F.col("doc_id").isNull()).drop(name)

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm import decontamination, quality, secret_scan, toxicity
 from weftline.llm.extraction import extract
 from weftline.llm.fingerprints import edited_fingerprints
 from weftline.llm.neardup import near_duplicates
@@ -22,6 +23,13 @@ def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, folder, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    words = secret_scan.dictionary(vocabulary_text(VOCABULARY))
+    forest = secret_scan.fit(secret_scan.labelled_findings(documents, words))
+    return secret_scan.scan(documents, forest, words)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(read_table(spark, folder, "documents"), vocabulary_text(VOCABULARY))
     return pieces.select(
@@ -34,6 +42,11 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    return quality.score(documents, quality.fit(documents, read_table(spark, folder, "labels")))
+
+
 def op6_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(read_table(spark, folder, "pages"))
 
@@ -42,6 +55,15 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(read_table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_passages(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, read_table(spark, folder, "labels")))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = write_token_files(read_table(spark, folder, "documents"), vocabulary_text(VOCABULARY))
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -49,10 +71,14 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
+    "op2_secret_scan": op2_secret_scan,
     "op3_packing": op3_packing,
     "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op6_extraction": op6_extraction,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_decontamination": op8_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
 
