@@ -2,8 +2,9 @@
 
 Texts with equal shingle sets are one class, so copies never meet in pairs. Bands of MinHash values put classes into
 buckets. In a bucket a few pivots at a time are compared with the members that are not yet connected to them, until
-all members have been pivots or are connected. Signatures are compared in batches; a pair goes when the posterior
-probability of a similarity at or above the threshold falls below the chosen miss probability. The rest is checked on whole sets.
+all members have been pivots or are connected. This is done in blocks of bounded size, from which only plausible pairs come
+out. Signatures are compared in batches; a pair goes when the posterior probability of a similarity at or above the
+threshold falls below the chosen miss probability. The rest is checked on whole sets.
 """
 
 from __future__ import annotations
@@ -14,17 +15,17 @@ from math import comb, floor
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.common import LOWER, U64, fresh, mix, numbers, record_batch, span_hashes, text_bytes, text_slices, word_spans
-from weftline.session import fits_broadcast, materialize, share, table_bytes
+from weftline.session import fits_broadcast, materialize, share, shuffle_partitions, table_bytes
 
 #: Sides of measured size up to this are broadcast; larger ones are shuffled.
 BROADCAST_BYTES = 16 << 20
-#: Times more pivots a bucket in each round.
-MORE_PIVOTS = 8
+#: Times more pivots a bucket in each round; pivots and members of a bucket that are compared in one block.
+MORE_PIVOTS = 16
+PIVOT_BLOCK, MEMBER_BLOCK = 256, 2048
 _CHUNK = 1 << 15
 
 
@@ -34,9 +35,9 @@ class NearDuplicates:
 
     words: int = 5
     percent: int = 85
-    hashes: int = 256
+    hashes: int = 512
     batch: int = 32
-    miss: float = 1e-6
+    miss: float = 1e-5
     recall: float = 0.9999
 
     def rows(self) -> int:
@@ -124,10 +125,10 @@ def _sketches(documents: DataFrame, method: NearDuplicates) -> DataFrame:
                 if not len(shingles):
                     nodes.append(None), signatures.append(None), bands.append(None)
                     continue
-                values = min_hashes(shingles, add, multiply)
+                values = min_hashes(shingles, add, multiply) & np.uint32(0xFFFF)
                 grouped = values[: n_bands * rows].reshape(n_bands, rows).astype(U64)
                 nodes.append(set_digest(shingles))
-                signatures.append((values & np.uint32(0xFFFF)).astype("<u2").tobytes())
+                signatures.append(values.astype("<u2").tobytes())
                 bands.append(mix((grouped * weights).sum(axis=1, dtype=U64) ^ seeds).astype(np.int64))
             yield record_batch(schema, batch.column(0), sizes, nodes, signatures, bands)
 
@@ -136,8 +137,8 @@ def _sketches(documents: DataFrame, method: NearDuplicates) -> DataFrame:
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """bucket, node of the buckets that hold at least two classes."""
-    members = classes.select(F.explode("bands").alias("bucket"), "node")
+    """bucket, band, node of the buckets that hold at least two classes."""
+    members = classes.select(F.posexplode("bands").alias("band", "bucket"), "node")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     return materialize(_joined(members, materialize(shared, "shared-buckets"), ["bucket"]), "bucket-members")
 
@@ -161,33 +162,65 @@ class _Verifier:
         texts = _joined(documents.select(F.col("doc_id").cast("long"), "text"), ids, ["doc_id"])
         self.sets = materialize(texts.select("text").mapInArrow(task, "node binary, shingles array<long>"), "shingle-sets")
 
-    def _plausible(self, pairs: DataFrame) -> DataFrame:
-        rule = share(pairs.sparkSession, self.method.least_matches())
+    def plausible(self, members: DataFrame, pivots: DataFrame) -> DataFrame:
+        """one, other: the pairs of a pivot and a later member of its block with another root that the signatures don't rule out.
+
+        Both have bucket, band, mine and theirs (the blocks), node and root. A pair that shares several buckets is
+        compared in the one of its first band only, where it is due as well.
+        """
+        given = share(members.sparkSession, (self.method, self.method.least_matches()))
         schema = pa.schema([("one", pa.binary()), ("other", pa.binary())])
-        width = 2 * self.method.hashes
 
-        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                one, other = (
-                    np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, width // 2) for k in (2, 3)
-                )
-                alive, matches, before = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64), 0
-                for n, least in rule.value:
-                    matches = matches + (one[alive, before:n] == other[alive, before:n]).sum(axis=1)
+        def compare(band: int, rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+            method, rule = given.value
+            per_band = method.rows()
+            others = [r for r in rows if not r[0]]
+            if not others:
+                return
+            signatures = np.frombuffer(b"".join(r[3] for r in others), "<u2").reshape(len(others), -1)
+            nodes = np.array([r[1] for r in others], object)
+            roots = np.array([r[2] for r in others], object)
+            for _, node, root, signature in (r for r in rows if r[0]):
+                alive = np.flatnonzero((nodes > node) & (roots != root))
+                one, matches, before = np.frombuffer(signature, "<u2"), np.zeros(len(alive), np.int64), 0
+                for n, least in rule:
+                    if not len(alive):
+                        break
+                    matches = matches + (signatures[alive, before:n] == one[before:n]).sum(axis=1)
                     keep = matches >= least
                     alive, matches, before = alive[keep], matches[keep], n
-                rows = pa.array(alive)
-                yield record_batch(schema, pc.take(batch.column(0), rows), pc.take(batch.column(1), rows))
+                if len(alive) and band:
+                    same = signatures[alive, : band * per_band] == one[: band * per_band]
+                    alive = alive[~same.reshape(len(alive), band, per_band).all(axis=2).any(axis=1)]
+                yield from ((node, other) for other in nodes[alive])
 
-        side = self.signatures.select("node", "signature")
-        first = pairs.join(side.toDF("other", "b"), ["other"])
-        both = first.join(side.toDF("one", "a"), ["one"]).select("one", "other", "a", "b")
-        return both.mapInArrow(task, "one binary, other binary")
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, rows = None, []
+            for batch in batches:
+                out: list[tuple[bytes, bytes]] = []
+                for bucket, band, mine, theirs, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if (bucket, mine, theirs) != held:
+                        if held is not None:
+                            out += compare(last, rows)
+                        held, last, rows = (bucket, mine, theirs), band, []
+                    rows.append(tuple(row))
+                yield record_batch(schema, [a for a, _ in out], [b for _, b in out])
+            if held is not None:
+                out = list(compare(last, rows))
+                yield record_batch(schema, [a for a, _ in out], [b for _, b in out])
+
+        keys = ["bucket", "band", "mine", "theirs"]
+        rows = members.select(*keys, F.lit(False).alias("pivot"), "node", "root").union(
+            pivots.select(*keys, F.lit(True).alias("pivot"), "node", "root")
+        )
+        signed = _joined(rows, self.signatures.select("node", "signature"), ["node"])
+        signed = signed.select(*keys, "pivot", "node", "root", "signature")
+        dealt = signed.repartition(shuffle_partitions(signed.sparkSession), "bucket", "mine", "theirs")
+        return dealt.sortWithinPartitions("bucket", "mine", "theirs").mapInArrow(task, "one binary, other binary")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (one, other) at or above the threshold, each by its whole sets."""
-        plausible = materialize(self._plausible(pairs), "plausible-pairs")
-        first = plausible.join(self.sets.toDF("other", "b"), ["other"])
+        first = materialize(pairs, "plausible-pairs").join(self.sets.toDF("other", "b"), ["other"])
         both = first.join(self.sets.toDF("one", "a"), ["one"])
         common = F.size(F.array_intersect("a", "b"))
         near = both.select("one", "other", common.alias("n"), (F.size("a") + F.size("b") - common).alias("union"))
@@ -241,6 +274,12 @@ def _place(node: str) -> F.Column:
     return F.conv(F.hex(F.substring(node, 1, 6)), 16, 10).cast("double") / float(1 << 48)
 
 
+def _block(node: str, most: F.Column, size: int) -> tuple[F.Column, F.Column]:
+    """The number of blocks of about `size` rows among `most`, and the block of a node."""
+    blocks = F.greatest(F.lit(1), F.ceil(most / size)).cast("int")
+    return blocks, F.pmod(F.xxhash64(node), blocks).cast("int")
+
+
 def _connected(members: DataFrame, verifier: _Verifier) -> DataFrame:
     """node, root of the members of shared buckets."""
     roots = materialize(members.select("node").distinct().select("node", F.col("node").alias("root")), "roots")
@@ -248,7 +287,7 @@ def _connected(members: DataFrame, verifier: _Verifier) -> DataFrame:
     least = members.groupBy("bucket").agg(F.min("node").alias("one"))
     stars = members.join(least, ["bucket"]).filter("node > one").groupBy("node").agg(F.min("one").alias("one"))
     roots = _merge(roots, materialize(verifier.links(stars.select("one", F.col("node").alias("other"))), "links"))
-    left, pivots = members.withColumn("done", F.lit(-1.0)), 1
+    left, pivots = members, 1
     while True:
         rooted = materialize(_joined(left, roots, ["node"]), "rooted")
         ahead = rooted.groupBy("bucket").agg(
@@ -259,12 +298,15 @@ def _connected(members: DataFrame, verifier: _Verifier) -> DataFrame:
             return roots
         # The next pivots of a bucket: its least member, and those up to a place that holds about `pivots` of them.
         until = F.greatest("next", F.col("next") + (1 - F.col("next")) * (pivots - 1) / F.col("n"))
-        rest = materialize(_joined(rooted, mixed.select("bucket", until.alias("until")), ["bucket"]), "mixed-members")
-        chosen = rest.filter(_place("node") <= F.col("until"))
-        chosen = chosen.select("bucket", F.col("node").alias("one"), F.col("root").alias("one_root"))
-        pairs = rest.join(chosen, ["bucket"]).filter("node > one AND root != one_root").select("one", F.col("node").alias("other"))
-        roots = _merge(roots, materialize(verifier.links(pairs.distinct()), "links"))
-        left = rest.filter(_place("node") > F.col("until")).select("bucket", "node")
+        rest = materialize(_joined(rooted, mixed.select("bucket", "n", until.alias("until")), ["bucket"]), "mixed-members")
+        n_theirs, theirs = _block("node", F.least(F.col("n"), F.lit(pivots)), PIVOT_BLOCK)
+        n_mine, mine = _block("node", F.col("n"), MEMBER_BLOCK)
+        every = [F.explode(F.sequence(F.lit(0), n - 1)) for n in (n_theirs, n_mine)]
+        others = rest.select("*", every[0].alias("theirs")).withColumn("mine", mine)
+        chosen = rest.filter(_place("node") <= F.col("until")).withColumn("theirs", theirs)
+        pairs = verifier.plausible(others, chosen.select("*", every[1].alias("mine")))
+        roots = _merge(roots, materialize(verifier.links(pairs), "links"))
+        left = rest.filter(_place("node") > F.col("until")).select("bucket", "band", "node")
         pivots *= MORE_PIVOTS
 
 
