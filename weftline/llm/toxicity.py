@@ -27,7 +27,7 @@ _PREFIXES = (4, 5, 6)
 class Chain:
     """Parameters: labelled rows at most (the sample), categories, folds, features, steps, penalty, least probability of a rejection."""
 
-    labelled: int = 6144
+    labelled: int = 4096
     categories: int = 4
     folds: int = 5
     features: int = 384
@@ -106,11 +106,9 @@ class ToxicityChain:
     @classmethod
     def fit(cls, features: list[np.ndarray], toxic: np.ndarray, keys: np.ndarray, method: Chain) -> ToxicityChain:
         """`features`: the hashed features of each document; folds follow from `keys`."""
-        owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
-        bins = np.concatenate([*features, np.empty(0, np.int64)]).astype(np.int64)
-        seen = np.unique(owner * (1 << _BITS) + bins)
-        of, which = seen >> _BITS, seen & ((1 << _BITS) - 1)
-        positive, negative = (np.bincount(which[toxic[of] == c], minlength=1 << _BITS) for c in (1, 0))
+        positive, negative = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
+        for own, label in zip(features, toxic.tolist(), strict=True):
+            (positive if label == 1 else negative)[np.unique(own)] += 1
         odds = np.log((positive + 0.5) / (toxic.sum() + 1)) - np.log((negative + 0.5) / ((1 - toxic).sum() + 1))
         # Evidence: the log odds times the square root of how often the feature is seen.
         evidence = np.where(positive + negative >= 3, np.abs(odds) * np.sqrt(positive + negative), 0)
@@ -118,7 +116,9 @@ class ToxicityChain:
         chosen = chosen[evidence[chosen] > 0]
         place = np.full(1 << _BITS, -1, np.int64)
         place[chosen] = np.arange(len(chosen))
-        x = _counted(bins, owner, place, len(features), len(chosen))
+        x = np.zeros((len(features), len(chosen)), np.float32)
+        for row, own in zip(x, features, strict=True):
+            row += _counted(own, np.zeros(len(own), np.int64), place, 1, len(chosen))[0]
         groups = cls._groups(x * np.maximum(odds[chosen], 0), toxic, method.categories)
         targets = [(groups == c).astype(np.float32) for c in range(method.categories)] + [toxic.astype(np.float32)]
         fold, weights = keys % method.folds, []
