@@ -93,3 +93,18 @@ def test_csv_round_trip_of_awkward_tokens(spark):
     back = read_embedding_csv(spark, path, 3, extra_columns=0, multi_line=True).orderBy("row_no")
     want = table.orderBy("token_index").select("token_index", "token", "vector")
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_file_numbers_do_not_depend_on_how_a_later_scan_packs_files(spark, tmp_path):
+    for file in range(12):
+        (tmp_path / f"part-{file:02d}.txt").write_text("".join(f"{file}-{line}\n" for line in range(7)))
+    settings = {"spark.sql.files.minPartitionNum": "16", "spark.sql.files.openCostInBytes": "1"}
+    numbered = text_file_lines(spark, str(tmp_path))
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = {r["line_no"]: r["line"] for r in numbered.collect()}
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert rows == {7 * file + line: f"{file}-{line}" for file in range(12) for line in range(7)}

@@ -23,7 +23,7 @@ def main() -> None:
     parser.add_argument("--dim", type=int, default=WindowConfig.embedding_dim)
     parser.add_argument("--window", type=int, default=WindowConfig.window_size)
     parser.add_argument("--stride", type=int, default=WindowConfig.stride)
-    parser.add_argument("--vocab-size", type=int, default=WindowConfig.vocab_size)
+    parser.add_argument("--vocab-size", type=int, default=None, help="classes; all of the vocabulary if not given")
     parser.add_argument("--pad", default="0", help="byte-pair id that fills short windows")
     parser.add_argument("--workers", type=int, default=TrainConfig.workers)
     parser.add_argument("--batch-size", type=int, default=TrainConfig.batch_size)
@@ -47,7 +47,8 @@ def main() -> None:
     model, vocab, names = train_on_files(spark, args.text, args.embeddings, bpe, window, config, args.model)
     model.epochs.orderBy("epoch").show(args.epochs, truncate=False)
     last = model.confusions.where(F.col("epoch") == args.epochs - 1)
-    class_counts_of(last).orderBy("class").show(args.vocab_size, truncate=False)
+    counts = class_counts_of(last)
+    counts.orderBy("class").show(counts.count(), truncate=False)
     if args.query:
         queries = spark.createDataFrame(list(enumerate(args.query)), "query_id long, text string")
         predict(bpe_tokens(queries, bpe), vocab, names, model, window).orderBy("query_id").show(len(args.query), truncate=False)

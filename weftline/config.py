@@ -8,7 +8,6 @@ from dataclasses import dataclass
 DEFAULT_WINDOW_SIZE = 20
 DEFAULT_STRIDE = 3
 DEFAULT_EMBEDDING_DIM = 128
-DEFAULT_VOCAB_SIZE = 50
 DEFAULT_LINES_PER_GROUP = 10
 DEFAULT_WORKERS = 32
 DEFAULT_BATCH_SIZE = 10
@@ -33,7 +32,8 @@ class WindowConfig:
     window_size: int = DEFAULT_WINDOW_SIZE
     stride: int = DEFAULT_STRIDE
     embedding_dim: int = DEFAULT_EMBEDDING_DIM
-    vocab_size: int = DEFAULT_VOCAB_SIZE
+    #: Classes of the labels; None takes one for each index of the vocabulary.
+    vocab_size: int | None = None
     lines_per_group: int = DEFAULT_LINES_PER_GROUP
     pad_token: str = PAD
     #: "standard", "reference" or None (no positional term); training and prediction share it.
@@ -43,7 +43,10 @@ class WindowConfig:
 
     def __post_init__(self):
         for name in ("window_size", "stride", "embedding_dim", "vocab_size", "lines_per_group", "segment_windows"):
-            if getattr(self, name) < 1:
+            value = getattr(self, name)
+            if value is None and name == "vocab_size":
+                continue
+            if value < 1:
                 raise ValueError(f"{name} must be at least 1")
         if self.positional not in (None, "standard", "reference"):
             raise ValueError(f"unknown positional mode: {self.positional}")

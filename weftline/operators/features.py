@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,8 +70,10 @@ def pad_entry(vocab: DataFrame, config: WindowConfig) -> tuple[int, list[float]]
     return (row["token_index"], list(row["vector"])) if row else (-1, [0.0] * config.embedding_dim)
 
 
-def label_index(index: Column, vocab_size: int) -> Column:
-    """Indices beyond the configured size count as missing."""
+def label_index(index: Column, vocab_size: int | None) -> Column:
+    """Indices beyond a configured size count as missing."""
+    if vocab_size is None:
+        return index
     return F.when(index < vocab_size, index).otherwise(F.lit(-1).cast("long"))
 
 
@@ -154,6 +158,13 @@ def gather_features(samples: DataFrame, matrix: np.ndarray, config: WindowConfig
     return samples.withColumn("features", gathered("input_index")).drop("input_index")
 
 
+def with_classes(config: WindowConfig, vocab: DataFrame) -> WindowConfig:
+    """The configuration with its number of classes: as given, or the largest index of the vocabulary plus one."""
+    if config.vocab_size is not None:
+        return config
+    return replace(config, vocab_size=max(1, (vocab.agg(F.max("token_index")).first()[0] or 0) + 1))
+
+
 def one_hot_labels(samples: DataFrame, vocab_size: int) -> DataFrame:
     return samples.withColumn("label", one_hot(F.col("target_index"), vocab_size))
 

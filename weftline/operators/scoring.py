@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weftline.config import MISSING_TOKEN, WindowConfig
 from weftline.functions.arrays import argmax, pad_right
 from weftline.functions.network import forward
-from weftline.operators.features import gatherer, token_index
+from weftline.operators.features import gatherer, token_index, with_classes
 from weftline.operators.lookup import lookup
 from weftline.operators.tokens import token_occurrences
 from weftline.session import by_key, other_columns, share
@@ -67,10 +67,16 @@ def score(
 
 
 def classify(
-    samples: DataFrame, parameters: dict[str, np.ndarray], config: WindowConfig, matrix: np.ndarray | None = None
+    samples: DataFrame,
+    parameters: dict[str, np.ndarray],
+    config: WindowConfig,
+    matrix: np.ndarray | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
     """Add prediction, the first maximum of the scores, without handing the scores back.
 
+    With digits, scores that agree to that many places count as equal.
+
     A batch is scored in pieces, so that many classes or wide features fit in memory.
     """
     column, to_features = _model_input(samples, config, matrix)
@@ -83,7 +89,8 @@ def classify(
         out = [np.empty(0, np.int64)]
         for start in range(0, len(values), rows):
             part = to_features(values.slice(start, rows)).astype(np.float64)
-            out.append(forward(shared.value, part).argmax(axis=1))
+            scores = forward(shared.value, part)
+            out.append((scores if digits is None else scores.round(digits)).argmax(axis=1))
         return pa.array(np.concatenate(out))
 
     return samples.withColumn("prediction", best(column))
@@ -114,8 +121,9 @@ def decode_predictions(predictions: DataFrame, vocab: DataFrame, index: str = "p
 def linear_parameters(spark: SparkSession, vocab: DataFrame, config: WindowConfig) -> dict[str, np.ndarray]:
     """One linear layer that scores a class by its vector, the same at every position.
 
-    Its size is vocab_size x feature_size, as configured.
+    Its size is vocab_size x feature_size, as configured or as the vocabulary has.
     """
+    config = with_classes(config, vocab)
     rows = vocab.where(F.col("token_index") < config.vocab_size).select("token_index", "vector").collect()
     weights = np.zeros((config.feature_size, config.vocab_size))
     for row in rows:

@@ -43,10 +43,6 @@ def vocab_from_csv(rows: DataFrame) -> DataFrame:
     return materialize(last_row_wins(rows.withColumnRenamed("row_no", "token_index"), "token", "token_index"), "vocab")
 
 
-def vocab_from_table(rows: DataFrame, token: str, order: str) -> DataFrame:
-    return last_row_wins(rows.withColumnRenamed(token, "token"), "token", order)
-
-
 def vocab_by_id(vocab: DataFrame, pieces: DataFrame) -> DataFrame:
     """The vocabulary keyed by byte-pair id: each id is decoded once, not once per occurrence."""
     return pieces.join(vocab, pieces["piece"] == vocab["token"]).select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators import evaluation
-from weftline.operators.averaging import average_parameters, parameter_rows
+from weftline.operators.averaging import average_chunks, parameter_rows
 from weftline.operators.features import (
     add_positions,
     embed_windows,
@@ -19,12 +19,13 @@ from weftline.operators.features import (
     one_hot_labels,
     token_vector,
     training_samples,
+    with_classes,
 )
 from weftline.operators.scoring import (
+    classify,
     decode_predictions,
     index_windows,
     linear_parameters,
-    predict_index,
     query_windows,
     score,
 )
@@ -62,7 +63,7 @@ from weftline.sources.embeddings import read_embedding_csv, write_embedding_csv
 #: The given vectors have 64 values; all else is the default.
 CONFIG = WindowConfig(embedding_dim=64)
 #: Every word of the vocabulary counts as a class.
-ALL_CLASSES = replace(CONFIG, vocab_size=2**62)
+ALL_CLASSES = CONFIG
 NO_POSITIONS = replace(CONFIG, positional=None)
 #: Byte-pair ids are numbers, so the padding is one too.
 BPE_CONFIG = replace(CONFIG, pad_token="0")
@@ -214,17 +215,20 @@ def _positional(mode: str):
 
 
 def positional_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Short windows that do not overlap."""
-    config = replace(CONFIG, window_size=5, stride=6)
-    samples = embed_windows(_words(spark, folder), word_vocab(spark, folder, config), config)
-    return _digest(add_positions(samples, config), *KEYS)
+    """Positions added to joined vectors, not gathered ones."""
+    samples = embed_windows(_words(spark, folder), word_vocab(spark, folder, CONFIG), CONFIG)
+    return _digest(add_positions(samples, CONFIG), *KEYS)
 
 
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
-    samples = index_samples(_words(spark, folder), word_vocab(spark, folder, CONFIG), CONFIG)
-    labels = one_hot_labels(samples, CONFIG.vocab_size)
-    digits = F.array_join(F.col("label").cast("array<int>").cast("array<string>"), "")
-    return labels.select(*KEYS, digits.alias("label"))
+    """Each label by its length, its number of ones, and the place of the first one (0: none)."""
+    vocab = word_vocab(spark, folder, CONFIG)
+    config = with_classes(CONFIG, vocab)
+    labels = one_hot_labels(index_samples(_words(spark, folder), vocab, config), config.vocab_size)
+    label = F.col("label").cast("array<int>")
+    ones = F.aggregate(label, F.lit(0), lambda total, x: total + x)
+    place = F.array_position(label, 1)
+    return labels.select(*KEYS, F.size("label").alias("n_classes"), ones.alias("n_ones"), place.alias("place"))
 
 
 def samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,7 +243,7 @@ def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
     total = window_total(words, CONFIG).scalar()
     first = words.where(F.size("tokens") > 0).orderBy("doc_id", "group_id").limit(1)
     head = training_samples(first, vocab, CONFIG).where(F.col("window_no") == 0)
-    labelled = one_hot_labels(head, CONFIG.vocab_size)
+    labelled = one_hot_labels(head, with_classes(CONFIG, vocab).vocab_size)
     return _digest(labelled, *KEYS, F.size("label").alias("n_classes")).withColumn("n_samples", total)
 
 
@@ -275,16 +279,21 @@ def score_linear(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("score", F.round("score", DIGITS))
 
 
+def _predicted_queries(spark, folder) -> tuple[DataFrame, DataFrame]:
+    vocab = word_vocab(spark, folder, CONFIG)
+    rows = index_windows(_query_windows(spark, folder), vocab)
+    linear = linear_parameters(spark, vocab, CONFIG)
+    predicted = classify(rows, linear, NO_POSITIONS, embedding_matrix(vocab, CONFIG), DIGITS)
+    return predicted.select("query_id", "prediction"), vocab
+
+
 def argmax_scores(spark: SparkSession, folder: str) -> DataFrame:
-    scored, _ = _scored_queries(spark, folder)
-    return predict_index(scored, DIGITS).select("query_id", "prediction")
+    return _predicted_queries(spark, folder)[0]
 
 
 def decoded_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded with a vocabulary of half as many words as there are classes."""
-    scored, vocab = _scored_queries(spark, folder)
-    names = vocab.where(F.col("token_index") < CONFIG.vocab_size // 2)
-    return decode_predictions(predict_index(scored, DIGITS).select("query_id", "prediction"), names)
+    predicted, vocab = _predicted_queries(spark, folder)
+    return decode_predictions(predicted, vocab)
 
 
 def _evaluated(spark, folder) -> DataFrame:
@@ -293,8 +302,8 @@ def _evaluated(spark, folder) -> DataFrame:
     rows = index_samples(_words(spark, folder), vocab, CONFIG)
     _, test = hash_split(rows.where(F.col("target_index") >= 0), *KEYS)
     linear = linear_parameters(spark, vocab, CONFIG)
-    scored = score(test, linear, NO_POSITIONS, embedding_matrix(vocab, CONFIG))
-    return predict_index(scored, DIGITS).select(F.col("target_index").alias("label"), "prediction")
+    predicted = classify(test, linear, NO_POSITIONS, embedding_matrix(vocab, CONFIG), DIGITS)
+    return predicted.select(F.col("target_index").alias("label"), "prediction")
 
 
 def eval_accuracy(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,11 +328,14 @@ def param_average(spark: SparkSession, folder: str) -> DataFrame:
     """The vectors as the weights of one worker each, averaged per label."""
     vectors = read_table(spark, folder, "embeddings", "label", "vec_id", "embedding")
     rows = vectors.select(
-        F.col("label").alias("layer"), F.lit("weight").alias("kind"), F.lit(0).alias("i"),
-        (F.col("vec_id") % 7 + 1).alias("n"), F.posexplode("embedding").alias("j", "value"),
-    )
-    averaged = average_parameters(rows.withColumn("value", F.col("value").cast("double")))
-    return averaged.withColumn("value", F.round("value", DIGITS))
+        F.col("label").cast("string").alias("name"), F.lit(0).alias("chunk"),
+        F.col("embedding").cast("array<double>").alias("cells"), (F.col("vec_id") % 7 + 1).alias("n"),
+    )
+    cells = average_chunks(rows).select(
+        F.col("name").cast(vectors.schema["label"].dataType).alias("layer"), F.lit("weight").alias("kind"),
+        F.lit(0).alias("i"), F.posexplode("cells").alias("j", "value"),
+    )
+    return cells.withColumn("value", F.round("value", DIGITS))
 
 
 def _trained(spark, folder):

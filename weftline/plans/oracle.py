@@ -113,16 +113,16 @@ _TRAIN = """('0x' || substr(md5(concat_ws('-', doc_id, group_id, window_no)), 1,
 _QUERY_WORDS = """
 query_text AS (
   SELECT 'item-' || item_id AS query_id, text FROM benchmark
-  UNION ALL SELECT 'turn-' || conv_id || '-' || turn, text FROM conversations WHERE role = 'user'),
+  UNION ALL SELECT 'turn-' || conv_id || '-' || turn, text FROM conversations),
 query_words AS (
   SELECT query_id, list_filter(string_split(text, ' '), lambda x: x <> '')[1:20] AS tokens FROM query_text)"""
 
-#: Score of each word for each of the 50 classes.
+#: Score of each word for each class, which are all words of the vocabulary.
 _PAIRS = """
 pairs AS (
   SELECT v.token, c.token_index AS class,
     list_dot_product(CAST(v.vector AS DOUBLE[]), CAST(c.vector AS DOUBLE[])) AS dot
-  FROM vocab v, vocab c WHERE c.token_index < 50)"""
+  FROM vocab v, vocab c)"""
 
 _QUERY_SCORES = f"""WITH {_WORDS},{_VOCAB},{_QUERY_WORDS},{_PAIRS},
 sums AS (
@@ -130,7 +130,7 @@ sums AS (
   FROM (SELECT query_id, unnest(tokens) AS token FROM query_words) JOIN pairs USING (token) GROUP BY query_id, class),
 scores AS (
   SELECT query_id, class, round(coalesce(s, 0.0), 6) AS score
-  FROM (SELECT query_id, class FROM query_words, (SELECT unnest(range(0, 50)) AS class)) LEFT JOIN sums USING (query_id, class)),
+  FROM (SELECT query_id, class FROM query_words, (SELECT token_index AS class FROM vocab)) LEFT JOIN sums USING (query_id, class)),
 best AS (
   SELECT query_id, class AS prediction FROM scores
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, class) = 1)"""
@@ -138,14 +138,14 @@ best AS (
 _EVALUATED = f"""WITH {_window_rows()},{_VOCAB},{_PAIRS},
 test AS (
   SELECT doc_id, group_id, window_no, input, token_index AS label
-  FROM wins JOIN vocab ON token = target WHERE token_index < 50 AND NOT ({_TRAIN})),
+  FROM wins JOIN vocab ON token = target WHERE NOT ({_TRAIN})),
 sums AS (
   SELECT doc_id, group_id, window_no, class, sum(dot) AS s
   FROM (SELECT doc_id, group_id, window_no, unnest(input) AS token FROM test) JOIN pairs USING (token)
   GROUP BY ALL),
 scores AS (
   SELECT t.doc_id, t.group_id, t.window_no, label, t.class, round(coalesce(s, 0.0), 6) AS score
-  FROM (SELECT doc_id, group_id, window_no, label, unnest(range(0, 50)) AS class FROM test) t
+  FROM (SELECT doc_id, group_id, window_no, label, vocab.token_index AS class FROM test, vocab) t
   LEFT JOIN sums USING (doc_id, group_id, window_no, class)),
 evaluated AS (
   SELECT label, class AS prediction FROM scores
@@ -217,18 +217,18 @@ SELECT doc_id, group_id, window_no, CAST(1280 AS INTEGER) AS n_features,
 FROM wins LEFT JOIN sums USING (doc_id, group_id, window_no)""",
     "positional_reference": _positional(20, 3, "reference"),
     "positional_standard": _positional(20, 3, "standard"),
-    "positional_features": _positional(5, 6, "standard"),
+    "positional_features": _positional(20, 3, "standard"),
     "one_hot_labels": f"""WITH {_window_rows()},{_VOCAB}
 SELECT doc_id, group_id, window_no,
-  CASE WHEN token_index < 50 THEN repeat('0', token_index) || '1' || repeat('0', 49 - token_index)
-       ELSE repeat('0', 50) END AS label
+  CAST((SELECT count(*) FROM vocab) AS INTEGER) AS n_classes, CAST(token_index IS NOT NULL AS INTEGER) AS n_ones,
+  CAST(coalesce(token_index + 1, 0) AS BIGINT) AS place
 FROM wins LEFT JOIN vocab ON token = target""",
     "training_samples": _positional(
         20, 3, "standard",
-        "CASE WHEN token_index < 50 THEN token_index ELSE -1 END AS target_index, ",
+        "coalesce(token_index, -1) AS target_index, ",
     ),
-    "dataset_summary": f"""WITH summary AS ({_positional(20, 3, "standard")})
-SELECT doc_id, group_id, window_no, CAST(50 AS INTEGER) AS n_classes, n_features, micro_sum, micro_weighted,
+    "dataset_summary": f"""WITH {_WORDS},{_VOCAB},summary AS ({_positional(20, 3, "standard")})
+SELECT doc_id, group_id, window_no, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS n_classes, n_features, micro_sum, micro_weighted,
   (SELECT count(*) FROM summary) AS n_samples
 FROM summary ORDER BY doc_id, group_id, window_no LIMIT 1""",
     "split_hash": f"""WITH {_window_rows()}
@@ -238,7 +238,7 @@ SELECT query_id, array_to_string(list_resize(tokens, 20, '<pad>'), ' ') AS input
     "score_linear": f"{_QUERY_SCORES} SELECT query_id, CAST(class AS INTEGER) AS class, score FROM scores",
     "argmax_scores": f"{_QUERY_SCORES} SELECT query_id, prediction FROM best",
     "decode_predictions": f"""{_QUERY_SCORES}
-SELECT query_id, prediction, CASE WHEN prediction < 25 THEN token ELSE 'NULL' END AS token
+SELECT query_id, prediction, coalesce(token, 'NULL') AS token
 FROM best LEFT JOIN vocab ON token_index = prediction""",
     "eval_accuracy": f"""{_EVALUATED}
 SELECT count(*) AS n, CAST(count(*) FILTER (label = prediction) AS BIGINT) AS n_correct,

@@ -37,9 +37,9 @@ def word_vocab(spark: SparkSession, folder: str, config: WindowConfig) -> DataFr
 
 
 def query_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """query_id, text: the benchmark items and the user turns."""
+    """query_id, text: the benchmark items and all turns."""
     items = read_table(spark, folder, "benchmark", "item_id", "text")
-    turns = read_table(spark, folder, "conversations").where(F.col("role") == "user")
+    turns = read_table(spark, folder, "conversations", "conv_id", "turn", "text")
     return items.select(F.concat(F.lit("item-"), "item_id").alias("query_id"), "text").unionByName(
         turns.select(F.concat(F.lit("turn-"), "conv_id", F.lit("-"), "turn").alias("query_id"), "text")
     )

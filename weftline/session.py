@@ -16,7 +16,6 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 
 _ROW_SHARE_BYTES = 32
 
-_local_scratch: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
@@ -26,10 +25,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="weftline-")
-        base = _local_scratch[app]
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/weftline/{label}-{uuid.uuid4().hex}"
 
 
@@ -77,8 +73,6 @@ def spread(scan: DataFrame, *keys: str) -> DataFrame:
 
     A scan with enough splits is returned as it is: large inputs pay no shuffle.
     """
-    if scan.isStreaming:
-        return scan
     slots = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots, *keys)
 

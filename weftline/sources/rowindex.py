@@ -27,7 +27,8 @@ def _add_index(tagged: DataFrame, offsets: DataFrame, size: int, keys: list[str]
 def number_file_rows(scan: DataFrame, name: str) -> DataFrame:
     """Number the rows of a file scan from 0, by file path and then by place in the file.
 
-    One pass counts the rows of each file block; a second one adds the block's offset.
+    The scan is written once with the block and the place of each row, so the numbers don't depend on how a later
+    scan would pack the files; rows per block and offsets come from the written table.
     """
     columns = scan.columns
     tagged = scan.select(
@@ -36,8 +37,13 @@ def number_file_rows(scan: DataFrame, name: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
-    offsets = materialize(_with_offsets(blocks, ["_file", "_block"]).drop("_rows"), "block-offsets")
+    tagged = materialize(tagged, "file-rows")
+    blocks = tagged.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"), F.max("_id").alias("_last")
+    )
+    torn = F.raise_error(F.lit("the rows of a file block do not stand together")).cast("long")
+    blocks = blocks.withColumn("_first", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_rows"), F.col("_first")).otherwise(torn))
+    offsets = materialize(_with_offsets(blocks, ["_file", "_block"]).drop("_rows", "_last"), "block-offsets")
     return _add_index(tagged, offsets, table_bytes(offsets), ["_file", "_block"], name).select(name, *columns)
 
 
