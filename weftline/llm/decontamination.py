@@ -112,7 +112,7 @@ class Searcher:
         table = np.concatenate([*entries, np.empty((0, 3), np.int64)]).astype(np.int64)
         table = table[np.argsort(table[:, 0], kind="stable")]
         self.count = np.bincount(table[:, 0], minlength=1 << _BITS).astype(np.int32)
-        self.first = (np.cumsum(self.count) - self.count).astype(np.int64)
+        self.first = (np.cumsum(self.count) - self.count).astype(np.int32)
         self.item, self.place = table[:, 1], table[:, 2]
         self.band = np.array([2 * (e + 1) for e in self.edits], np.int64)
         self.bound = np.array(self.need, np.int64)

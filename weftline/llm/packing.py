@@ -25,7 +25,7 @@ LEAST_CUT = 32
 #: Leftover windows that one merging task takes (2,048 ids of 4 bytes each: 32 MB).
 MERGE_WINDOWS = 4096
 
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _ROW_BYTES = 64
 _SCHEMA = "part int, seq long, open boolean, doc_id long, start long, length long, doc_tokens long, offset long, ids binary"
 

@@ -37,7 +37,7 @@ SAMPLE_TEXT_BYTES = 16_384
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
 
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _READ = 4 << 20
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from weftline.llm.common import LOWER, text_bytes
 
 #: Words whose ids a task remembers, and the ids that go with them, before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = True
