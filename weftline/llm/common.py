@@ -7,12 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from weftline import session
 
 #: Bytes of text that are worked on at a time; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
 U64 = np.uint64
+#: Bytes of one Arrow batch between the JVM and a Python worker where the session leaves Spark's default; both sides hold one or two.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b")
+
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 
 # Space, tab, line feed, vertical tab, form feed, carriage return.
@@ -24,6 +30,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def share(spark: SparkSession, value):
+    """Broadcast a value of bounded size to tasks that get their rows in batches of bounded size."""
+    if spark.conf.get(_BATCH_SETTING[0]) == _BATCH_SETTING[1]:
+        spark.conf.set(_BATCH_SETTING[0], BATCH_BYTES)
+    return session.share(spark, value)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the frame doesn't have in any letter case."""
     taken = {c.lower() for c in df.columns}

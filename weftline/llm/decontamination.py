@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import IS_SPACE, LOWER, U64, fresh, record_batch, text_bytes, text_slices
-from weftline.session import share, table_bytes
+from weftline.llm.common import IS_SPACE, LOWER, U64, fresh, record_batch, share, text_bytes, text_slices
+from weftline.session import table_bytes
 
 #: Benchmark texts that one pass over the documents looks for; more are done in further passes.
 BLOCK_BYTES = 8 << 20

@@ -15,8 +15,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from weftline.llm.common import record_batch
-from weftline.session import share
+from weftline.llm.common import record_batch, share
 
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import U64, mix, numbers, record_batch
-from weftline.session import share, shuffle_partitions
+from weftline.llm.common import U64, mix, numbers, record_batch, share
+from weftline.session import shuffle_partitions
 
 #: Ranges of doc_id for each shuffle partition; neighbours meet within a range.
 RANGES_PER_PARTITION = 4

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import LOWER, U64, fresh, mix, numbers, record_batch, span_hashes, text_bytes, text_slices, word_spans
-from weftline.session import fits_broadcast, materialize, share, shuffle_partitions, table_bytes
+from weftline.llm.common import LOWER, U64, fresh, mix, numbers, record_batch, share, span_hashes, text_bytes, text_slices, word_spans
+from weftline.session import fits_broadcast, materialize, shuffle_partitions, table_bytes
 
 #: Sides of measured size up to this are broadcast; larger ones are shuffled.
 BROADCAST_BYTES = 16 << 20

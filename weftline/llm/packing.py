@@ -14,9 +14,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import record_batch, text_slices
+from weftline.llm.common import record_batch, share, text_slices
 from weftline.llm.tokens import encoder
-from weftline.session import fits_broadcast, materialize, share
+from weftline.session import fits_broadcast, materialize
 
 CAPACITY = 2048
 OPEN_WINDOWS = 16

@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import record_batch, span_hashes, text_bytes, text_slices, word_spans
-from weftline.session import share
+from weftline.llm.common import record_batch, share, span_hashes, text_bytes, text_slices, word_spans
 
 _PAIR_BINS = 1024
 _STEPS = 12

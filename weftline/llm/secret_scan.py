@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import fresh, record_batch, text_bytes, text_slices, word_spans
-from weftline.session import share
+from weftline.llm.common import fresh, record_batch, share, text_bytes, text_slices, word_spans
 
 _LEAST, _CONTEXT = 8, 64
 _DIGIT = np.zeros(256, dtype=np.int64)

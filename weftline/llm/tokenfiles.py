@@ -22,9 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.llm.common import record_batch, text_slices
+from weftline.llm.common import record_batch, share, text_slices
 from weftline.llm.tokens import encoder
-from weftline.session import materialize, scratch_path, share, shuffle_partitions
+from weftline.session import materialize, scratch_path, shuffle_partitions
 
 MAGIC = b"WEFTTOK1"
 INDEX = np.dtype([("doc_id", "<i8"), ("given", "u1"), ("place", "<u8"), ("size", "<u4"), ("count", "<u4")])

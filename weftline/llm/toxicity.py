@@ -14,9 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import IS_SPACE, LOWER, U64, fresh, mix, record_batch, span_hashes, text_bytes, text_slices, word_spans
+from weftline.llm.common import IS_SPACE, LOWER, U64, fresh, mix, record_batch, share, span_hashes, text_bytes, text_slices, word_spans
 from weftline.llm.quality import labelled_sample
-from weftline.session import share
 
 _BITS = 18
 #: Bytes of the beginnings of words that are features beside whole words.
