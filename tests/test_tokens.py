@@ -1,8 +1,11 @@
+import base64
+
 import pyarrow as pa
+import pytest
 
 from helpers import windows
 from weftline.config import WindowConfig
-from weftline.functions.bpe import BpeVocabulary, _encoding, encode_lists
+from weftline.functions.bpe import BpeVocabulary, _encoding, decode_lists, encode_lists
 from weftline.operators.tokens import (
     bpe_tokens,
     decode_bpe,
@@ -76,3 +79,12 @@ def test_bpe_windows_query_against_loops(spark, folder):
                 padded = window + [0] * (config.window_size - len(window))
                 want[row["doc_id"], group, k] = (" ".join(map(str, padded)), target)
     assert got == want
+
+
+def test_decoding_gathers_pieces_and_replaces_cut_characters():
+    data = b"\n".join(base64.b64encode(piece) + b" %d" % rank for rank, piece in enumerate([b"a", b"\xc3", b"\xa9", b"bc"]))
+    ids = pa.array([[0, 1, 2], [], [1, 3], [3, 0]], pa.list_(pa.int32()))
+    assert decode_lists(ids, data).to_pylist() == ["a\u00e9", "", "\ufffdbc", "bca"]
+    assert decode_lists(ids.slice(3), data).to_pylist() == ["bca"]
+    with pytest.raises(ValueError):
+        decode_lists(pa.array([[4]], pa.list_(pa.int32())), data)

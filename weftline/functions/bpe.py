@@ -32,6 +32,35 @@ def _pieces(data: bytes) -> dict[int, bytes]:
     return {rank: piece for piece, rank in _parse_ranks(data).items()}
 
 
+@lru_cache(maxsize=4)
+def _piece_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all pieces in a row, and the start and size of each id (size -1: no such id)."""
+    pieces = _pieces(data)
+    sizes = np.full(max(pieces, default=-1) + 1, -1, np.int64)
+    for rank, piece in pieces.items():
+        sizes[rank] = len(piece)
+    flat = np.frombuffer(b"".join(pieces[rank] for rank in sorted(pieces)), np.uint8)
+    lengths = np.maximum(sizes, 0)
+    return flat, np.cumsum(lengths) - lengths, sizes
+
+
+def decode_lists(ids: pa.Array, data: bytes) -> pa.Array:
+    """list<int> to string: the bytes of all pieces are gathered at once; undecodable ones become U+FFFD."""
+    flat, starts, sizes = _piece_bytes(data)
+    codes = ids.flatten().to_numpy()
+    if len(codes) and (codes.min() < 0 or codes.max() >= len(sizes) or (sizes[codes] < 0).any()):
+        raise ValueError("an id is not in the rank file")
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])]).astype(np.int64)
+    content = flat[np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], sizes[codes])]
+    bounds = ids.offsets.to_numpy()
+    buffers = pa.py_buffer(ends[bounds - bounds[0]]), pa.py_buffer(content)
+    rows = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, *buffers])
+    try:
+        return rows.cast(pa.string())
+    except pa.ArrowInvalid:  # some row is cut inside a character
+        return pa.array([row.decode("utf-8", "replace") for row in rows.to_pylist()], pa.string())
+
+
 def encode_lists(tokens: pa.Array, encode) -> pa.Array:
     """list<string> to list<int>: each distinct word of the batch is encoded once."""
     distinct = tokens.flatten().dictionary_encode()
@@ -83,9 +112,7 @@ class BpeVocabulary:
 
         @F.arrow_udf("string")
         def decode(ids: pa.Array) -> pa.Array:
-            pieces = _pieces(shared.value)
-            rows = [b"".join(map(pieces.__getitem__, row)) for row in ids.to_pylist()]
-            return pa.array([row.decode("utf-8", "replace") for row in rows], pa.string())
+            return decode_lists(ids, shared.value)
 
         return decode
 
@@ -99,3 +126,9 @@ class BpeVocabulary:
             }
         )
         return spark.createDataFrame(rows)
+
+    def sizes(self, spark: SparkSession) -> DataFrame:
+        """id, n_bytes: the length of every piece."""
+        pieces = _pieces(self.data)
+        ids, lengths = pa.array(pieces.keys(), pa.int32()), pa.array(map(len, pieces.values()), pa.int64())
+        return spark.createDataFrame(pa.table({"id": ids, "n_bytes": lengths}))

@@ -134,6 +134,15 @@ def bpe_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.select("doc_id", "group_id", F.size("tokens").alias("n_tokens"), _joined("tokens"))
 
 
+def bpe_piece_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of the pieces of each group's ids; the piece table has the fixed size of the rank file."""
+    bpe = BpeVocabulary.installed()
+    ids = bpe_tokens(line_groups(spark, folder), bpe).select("doc_id", "group_id", F.explode_outer("tokens").alias("id"))
+    sized = ids.join(F.broadcast(bpe.sizes(spark)), "id", "left")
+    total = F.coalesce(F.sum("n_bytes"), F.lit(0)).cast("long")
+    return sized.groupBy("doc_id", "group_id").agg(total.alias("n_bytes"))
+
+
 def bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     bpe = BpeVocabulary.installed()
     return decode_bpe(bpe_tokens(line_groups(spark, folder), bpe), bpe)
@@ -258,6 +267,11 @@ def split_random(spark: SparkSession, folder: str) -> DataFrame:
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
+def split_random_sides(spark: SparkSession, folder: str) -> DataFrame:
+    """The number of sides that each window is on."""
+    return split_random(spark, folder).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_sides"))
+
+
 def _query_windows(spark, folder):
     return query_windows(word_tokens(query_texts(spark, folder)), CONFIG)
 
@@ -373,6 +387,7 @@ QUERIES = {
     "word_tokens": word_token_rows,
     "token_strings": token_strings,
     "bpe_token_ids": bpe_token_ids,
+    "bpe_piece_bytes": bpe_piece_bytes,
     "bpe_roundtrip": bpe_roundtrip,
     "bpe_windows": bpe_windows,
     "bpe_samples": bpe_samples,
@@ -394,6 +409,7 @@ QUERIES = {
     "dataset_summary": dataset_summary,
     "split_hash": split_hash,
     "split_random": split_random,
+    "split_random_sides": split_random_sides,
     "query_windows": padded_queries,
     "score_linear": score_linear,
     "argmax_scores": argmax_scores,

@@ -177,6 +177,8 @@ FROM file_lines GROUP BY line_no // 10""",
 SELECT doc_id, group_id, CAST(unnest(range(0, len(tokens))) AS INTEGER) AS pos, unnest(tokens) AS token FROM words""",
     "token_strings": f"""WITH {_WORDS}
 SELECT doc_id, group_id, array_to_string(tokens, ' ') AS token_string, CAST(len(tokens) AS INTEGER) AS n_tokens FROM words""",
+    "bpe_piece_bytes": f"""WITH {_GROUPS}
+SELECT doc_id, group_id, CAST(strlen(replace(text, ' ', '')) AS BIGINT) AS n_bytes FROM line_group""",
     "bpe_roundtrip": f"""WITH {_GROUPS}
 SELECT doc_id, group_id, replace(text, ' ', '') AS text FROM line_group""",
     "sliding_windows": f"""WITH {_window_rows()}
@@ -233,6 +235,8 @@ SELECT doc_id, group_id, window_no, CAST((SELECT count(*) FROM vocab) AS INTEGER
 FROM summary ORDER BY doc_id, group_id, window_no LIMIT 1""",
     "split_hash": f"""WITH {_window_rows()}
 SELECT doc_id, group_id, window_no, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split FROM wins""",
+    "split_random_sides": f"""WITH {_window_rows()}
+SELECT doc_id, group_id, window_no, CAST(1 AS BIGINT) AS n_sides FROM wins""",
     "query_windows": f"""WITH {_QUERY_WORDS}
 SELECT query_id, array_to_string(list_resize(tokens, 20, '<pad>'), ' ') AS input FROM query_words""",
     "score_linear": f"{_QUERY_SCORES} SELECT query_id, CAST(class AS INTEGER) AS class, score FROM scores",
