@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +51,20 @@ class Encoder:
         self.flat = np.empty(0, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        model, units, pieces = self.tokenizer.model, self.units, [None] * len(words)
+        tokenize, units, pieces = self.tokenizer.model.tokenize, self.units, [None] * len(words)
         rest = []
         for k, word in enumerate(words):
-            if _PLAIN.fullmatch(word):
-                pieces[k] = [t.id for t in model.tokenize(word.lower().translate(units))]
+            if word.isascii() and word.isalpha():  # a unit of such a letter is the letter
+                pieces[k] = [t.id for t in tokenize(word.lower())]
+            elif _PLAIN.fullmatch(word):
+                pieces[k] = [t.id for t in tokenize(word.lower().translate(units))]
             else:
                 rest.append(k)
         encoded = self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)
         for k, one in zip(rest, encoded, strict=True):
             pieces[k] = one.ids
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.fromiter((i for p in pieces for i in p), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, flat])
