@@ -16,7 +16,7 @@ from weftline.operators.features import (
     token_vector,
     training_samples,
 )
-from weftline.operators.lookup import heavy_keys, lookup
+from weftline.operators.lookup import heavy_keys, index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
 from weftline.operators.vocab import attach_vectors, last_row_wins, token_counts, vocab_by_id, vocab_index
 
@@ -117,6 +117,20 @@ def test_only_token_arrays_are_shuffled_for_features(spark):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("BroadcastExchange") == 1
 
 
+def test_indices_need_no_shuffle(spark):
+    plan = index_samples(token_frame(spark, lists()), vocabulary(spark), CONFIG)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and text.count("MapInArrow") == 1
+
+
+def test_indices_of_null_rows_and_numbers(spark):
+    tokens = spark.createDataFrame([(0, None), (1, [5, 7, None, 6]), (2, [])], "doc_id long, tokens array<int>")
+    vocab = spark.createDataFrame([(5, 1, [0.0]), (6, 0, [0.0])], "token int, token_index long, vector array<float>")
+    rows = index_tokens(tokens, token_places(vocab)).collect()
+    assert {r["doc_id"]: list(r["tokens"]) for r in rows} == {0: [], 1: [1, -1, -1, 0], 2: []}
+    assert token_places(vocab, limit=0) is None
+
+
 def test_feature_length_is_checked(spark):
     short = spark.createDataFrame([("t0", 0, [1.0])], "token string, token_index long, vector array<float>")
     with pytest.raises(Exception, match="vector is not of length 3"):

@@ -1,3 +1,6 @@
+import hashlib
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +30,8 @@ from weftline.operators.scoring import (
 )
 from weftline.operators.split import hash_split, random_split
 from weftline.operators.tokens import word_tokens
-from weftline.operators.training import load_state, plan_rounds, train
+from weftline.operators import training
+from weftline.operators.training import load_model, load_state, plan_rounds, train
 from weftline.plans.pipelines import fit, predict
 
 CONFIG = WindowConfig(window_size=2, stride=1, embedding_dim=4, vocab_size=3)
@@ -90,17 +94,21 @@ def test_one_worker_equals_local_adam(spark):
     config = TrainConfig(workers=1, batch_size=16, averaging_frequency=1000, epochs=1, hidden_size=5)
     samples = toy_samples(spark, 100)
     model = train(samples, vocabulary(spark), CONFIG, config)
-    placed, rounds = plan_rounds(samples, config, *KEYS)
-    assert rounds == 1
-    rows = placed.orderBy("place").collect()
+    rounds = plan_rounds(samples, config, *KEYS)
+    assert rounds.n_rounds == 1
+    unit = rounds.of(0).first()
+    digests = {k: hashlib.md5(f"{config.seed}-0-0-{k}".encode()).hexdigest() for k in range(100)}
+    order = sorted(digests, key=digests.get)
+    assert [list(x) for x in unit["input_index"]] == [[k % 3, k % 4] for k in order]
     matrix = embedding_matrix(vocabulary(spark), CONFIG)
     positions = np.array(positional_vector(spark, 2, 4, "standard"), np.float32)
-    x = (gather(matrix, np.array([r["input_index"] for r in rows])) + positions).astype(np.float64)
-    target = np.array([r["target_index"] for r in rows])
+    x = (gather(matrix, np.array(unit["input_index"])) + positions).astype(np.float64)
+    target = np.array(unit["target_index"])
     state = initial_state(initial_parameters(8, 5, 3, config.seed))
-    for step, start in enumerate(range(0, 100, 16)):
+    for start in range(0, 100, 16):
         _, gradients = loss_and_gradients(state, x[start : start + 16], target[start : start + 16])
-        adam_step(state, gradients, config.learning_rate, step + 1)
+        adam_step(state, gradients, config.learning_rate)
+    assert state["t0"] == 7
     for name in state:
         np.testing.assert_allclose(model.state[name], state[name], rtol=1e-12, atol=1e-15)
 
@@ -120,23 +128,79 @@ def test_samples_without_label_are_left_out(spark):
     config = TrainConfig(workers=2, batch_size=16, averaging_frequency=4, epochs=1, hidden_size=3)
     unlabelled = toy_samples(spark, 50).withColumns({"target_index": F.lit(-1).cast("long"), "doc_id": F.lit(1).cast("long")})
     model = train(toy_samples(spark, 60).unionByName(unlabelled), vocabulary(spark), CONFIG, config)
-    assert model.epochs.first()["n_samples"] == 60
+    row = model.epochs.first()
+    assert (row["n_samples"], row["n_test"], row["n_without_label"]) == (60, 0, 50)
 
 
 def test_each_sample_is_in_one_round(spark):
     config = TrainConfig(workers=3, batch_size=5, averaging_frequency=2)
-    placed, rounds = plan_rounds(toy_samples(spark), config, *KEYS)
-    assert rounds == 20 and placed.count() == 600
-    assert placed.select("place").distinct().count() == 600
-    cells = placed.groupBy("round", "worker").count().collect()
-    assert len(cells) == 60 and all(r["count"] < 30 for r in cells)
+    rounds = plan_rounds(toy_samples(spark), config, *KEYS)
+    assert rounds.n_rounds == 20
+    units = [u for number in range(20) for u in rounds.of(number).collect()]
+    assert len(units) == len({(u["round"], u["worker"]) for u in units}) and {u["worker"] for u in units} == {0, 1, 2}
+    assert sum(len(u["target_index"]) for u in units) == 600 and max(len(u["target_index"]) for u in units) < 30
+    got = sorted((*x, t) for u in units for x, t in zip(u["input_index"], u["target_index"], strict=True))
+    assert got == sorted((*r["input_index"], r["target_index"]) for r in toy_samples(spark).collect())
+
+
+def test_files_follow_workers_and_not_rounds(spark):
+    for frequency in (1, 20):
+        config = TrainConfig(workers=3, batch_size=5, averaging_frequency=frequency)
+        rounds = plan_rounds(toy_samples(spark), config, *KEYS)
+        assert len(rounds.table.inputFiles()) == 3
+
+
+def test_one_shuffle_places_samples(spark, monkeypatch):
+    monkeypatch.setattr(training, "BLOCK_BYTES", 3000)  # two rounds to a block
+    config = TrainConfig(workers=3, batch_size=5, averaging_frequency=3)
+    held = toy_samples(spark).withColumn("held_out", F.col("window_no") % 5 == 0)
+    rounds = plan_rounds(held, config, *KEYS)
+    assert (rounds.n_samples, rounds.n_test, rounds.n_rounds, rounds.per_block) == (480, 120, 11, 2)
+    assert {r["block"] for r in rounds.table.where("not held_out").select("block").distinct().collect()} == set(range(6))
+    sizes = [r["n"] for r in rounds.table.where("held_out").select(F.size("target_index").alias("n")).collect()]
+    assert sum(sizes) == 120 and max(sizes) < 45
+    plan = rounds.of(3)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "PartitionFilters: [isnotnull" in plan and "PushedFilters" in plan
+
+
+def test_too_many_rounds_are_refused(spark):
+    with pytest.raises(ValueError, match="more workers"):
+        plan_rounds(toy_samples(spark), TrainConfig(workers=1, batch_size=1, averaging_frequency=1, most_rounds=599), *KEYS)
+
+
+def test_steps_are_those_that_were_made(spark):
+    """Workers make more or fewer batches than the frequency; the mean that is carried on is weighted by samples."""
+    config = TrainConfig(workers=3, batch_size=5, averaging_frequency=2, epochs=1, hidden_size=3)
+    model = train(toy_samples(spark), vocabulary(spark), CONFIG, config)
+    steps = 0
+    rows = model.metrics.groupBy("round", "worker").agg(F.count("*").alias("batches"), F.sum("n").alias("n")).collect()
+    for number in range(20):
+        own = [r for r in rows if r["round"] == number]
+        steps += sum(r["batches"] * r["n"] for r in own) / sum(r["n"] for r in own)
+    assert sum(r["n"] for r in rows) == 600 and abs(model.state["t0"][0] - steps) < 1e-9
+
+
+def test_a_saved_epoch_predicts_and_goes_on(spark):
+    config = TrainConfig(workers=2, batch_size=16, averaging_frequency=4, epochs=2, hidden_size=5)
+    vocab, samples = vocabulary(spark), toy_samples(spark, 200)
+    whole = train(samples, vocab, CONFIG, config)
+    first = train(samples, vocab, CONFIG, replace(config, epochs=1))
+    second = train(samples, vocab, CONFIG, replace(config, epochs=1), state=load_state(spark, first.last_epoch_path()))
+    for name in whole.state:
+        np.testing.assert_allclose(whole.state[name], second.state[name], rtol=1e-12, atol=1e-15)
+    queries = token_frame(spark, [["t1", "t2"], ["t0"], []])
+    loaded = load_model(spark, whole.last_epoch_path(), vocab, CONFIG)
+    rows = [predict(queries, vocab, vocab, m, CONFIG).collect() for m in (whole, loaded)]
+    assert sorted(map(str, rows[0])) == sorted(map(str, rows[1])) and len(rows[0]) == 3
+    with pytest.raises(ValueError, match="other features"):
+        train(samples, vocab, replace(CONFIG, vocab_size=4), config, state=loaded.state)
 
 
 @pytest.mark.parametrize("workers", [2, 8, 64])
 def test_workers_share_evenly(spark, workers):
     config = TrainConfig(workers=workers, batch_size=1000, averaging_frequency=10)
-    placed, _ = plan_rounds(toy_samples(spark, 6400), config, *KEYS)
-    counts = [r["count"] for r in placed.groupBy("worker").count().collect()]
+    placed = plan_rounds(toy_samples(spark, 6400), config, *KEYS).table
+    counts = [r["n"] for r in placed.groupBy("worker").agg(F.sum(F.size("target_index")).alias("n")).collect()]
     assert len(counts) == workers and max(counts) < 2 * 6400 / workers
 
 
@@ -145,15 +209,18 @@ def test_epochs_may_be_inclusive():
     assert TrainConfig(epochs=20, inclusive_epochs=True).passes == 21
 
 
-def test_chunked_average_is_weighted_by_samples(spark):
+@pytest.mark.parametrize("fan_in", [2, 3, 256])
+def test_chunked_average_is_weighted_by_samples(spark, fan_in):
     rng = np.random.default_rng(5)
-    workers = [(rng.normal(size=6), n) for n in (1, 5, 3)]
+    workers = [(rng.normal(size=6), n) for n in (1, 5, 3, 2, 2, 7, 1)]
     chunks = spark.createDataFrame(
-        [("w0", c, cells[c * 3 : c * 3 + 3].tolist(), n) for cells, n in workers for c in (0, 1)],
-        "name string, chunk int, cells array<double>, n long",
+        [(k, "w0", c, cells[c * 3 : c * 3 + 3].tolist(), n) for k, (cells, n) in enumerate(workers) for c in (0, 1)],
+        "part int, name string, chunk int, cells array<double>, n long",
     )
-    mean = [x for r in sorted(average_chunks(chunks).collect(), key=lambda r: r["chunk"]) for x in r["cells"]]
-    np.testing.assert_allclose(mean, sum(c * n for c, n in workers) / 9)
+    rows = average_chunks(chunks, 7, fan_in).collect()
+    assert len(rows) == 2
+    mean = [x for r in sorted(rows, key=lambda r: r["chunk"]) for x in r["cells"]]
+    np.testing.assert_allclose(mean, sum(c * n for c, n in workers) / 21)
 
 
 def test_model_table_round_trip(spark):
@@ -162,7 +229,7 @@ def test_model_table_round_trip(spark):
     back = state_of(table)
     assert all(np.array_equal(back[name], state[name]) for name in state)
     rows = {(r["layer"], r["kind"], r["i"], r["j"]): r["value"] for r in parameter_rows(table).collect()}
-    assert len(rows) == 3 * (6 * 4 + 4 + 4 * 3 + 3)
+    assert len(rows) == 3 * (6 * 4 + 4 + 4 * 3 + 3) + 1 and rows[0, "step", 0, 0] == 0
     assert rows[0, "weight", 5, 2] == state["w0"][5, 2] and rows[1, "bias.m", 0, 1] == 0.0
 
 
@@ -180,10 +247,11 @@ def test_queries_are_cut_and_padded(spark):
 def test_scores_of_features_and_indices_agree(spark):
     vocab = vocabulary(spark)
     windows = query_windows(token_frame(spark, [["t0", "t3"], ["t1"], ["x", "t2", "t1"], []]), CONFIG)
-    index = index_windows(windows, vocab)
-    assert {r["doc_id"]: list(r["input_index"]) for r in index.collect()} == {
-        0: [0, 3], 1: [1, -1], 2: [-1, 2], 3: [-1, -1],
-    }
+    for limit in (0, None):
+        index = index_windows(windows, vocab, limit)
+        assert {r["doc_id"]: list(r["input_index"]) for r in index.collect()} == {
+            0: [0, 3], 1: [1, -1], 2: [-1, 2], 3: [-1, -1],
+        }
     matrix = embedding_matrix(vocab, CONFIG)
     parameters = initial_parameters(8, 5, 3, 11)
     by_index = {r["doc_id"]: list(r["scores"]) for r in score(index, parameters, CONFIG, matrix).collect()}

@@ -20,6 +20,8 @@ def main() -> None:
     parser.add_argument("embeddings", help="path of the embedding CSV")
     parser.add_argument("model", help="folder for the model")
     parser.add_argument("--ranks", help="rank file of the tokenizer (default: an installed one)")
+    parser.add_argument("--pattern", help="the pattern that splits texts before the merges of the rank file; needed with --ranks")
+    parser.add_argument("--resume", help="folder of a saved epoch to go on from; with --epochs 0 only queries are run")
     parser.add_argument("--dim", type=int, default=WindowConfig.embedding_dim)
     parser.add_argument("--window", type=int, default=WindowConfig.window_size)
     parser.add_argument("--stride", type=int, default=WindowConfig.stride)
@@ -33,6 +35,8 @@ def main() -> None:
     parser.add_argument("--hidden-size", type=int, default=TrainConfig.hidden_size)
     parser.add_argument("--query", action="append", default=[], help="text to continue; may be repeated")
     args = parser.parse_args()
+    if bool(args.ranks) != bool(args.pattern):
+        parser.error("--ranks and --pattern belong together")
 
     window = WindowConfig(
         window_size=args.window, stride=args.stride, embedding_dim=args.dim,
@@ -43,8 +47,8 @@ def main() -> None:
         epochs=args.epochs, learning_rate=args.learning_rate, hidden_size=args.hidden_size,
     )
     spark = SparkSession.builder.appName("weftline").getOrCreate()
-    bpe = BpeVocabulary.from_file(args.ranks) if args.ranks else BpeVocabulary.installed()
-    model, vocab, names = train_on_files(spark, args.text, args.embeddings, bpe, window, config, args.model)
+    bpe = BpeVocabulary.from_file(args.ranks, args.pattern) if args.ranks else BpeVocabulary.installed()
+    model, vocab, names = train_on_files(spark, args.text, args.embeddings, bpe, window, config, args.model, args.resume)
     model.epochs.orderBy("epoch").show(args.epochs, truncate=False)
     last = model.confusions.where(F.col("epoch") == args.epochs - 1)
     counts = class_counts_of(last)

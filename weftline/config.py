@@ -69,6 +69,8 @@ class TrainConfig:
     seed: int = DEFAULT_SEED
     #: Minibatches between two score rows.
     score_every: int = 1
+    #: Averaging rounds of an epoch, each a Spark job; more are refused before any is run.
+    most_rounds: int = 20_000
 
     @property
     def passes(self) -> int:

@@ -82,12 +82,13 @@ class BpeVocabulary:
     The file has a fixed size of some hundred kilobytes; executors get it by broadcast.
     """
 
-    def __init__(self, data: bytes, pattern: str = DEFAULT_PATTERN):
+    def __init__(self, data: bytes, pattern: str):
         self.data = data
         self.pattern = pattern
 
     @classmethod
-    def from_file(cls, path: str, pattern: str = DEFAULT_PATTERN) -> BpeVocabulary:
+    def from_file(cls, path: str, pattern: str) -> BpeVocabulary:
+        """A rank file and the pattern it was made for: with another one texts get other ids."""
         with open(path, "rb") as ranks:
             return cls(ranks.read(), pattern)
 
@@ -95,7 +96,7 @@ class BpeVocabulary:
     def installed(cls) -> BpeVocabulary:
         import public_tokenizers
 
-        return cls.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        return cls.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"), DEFAULT_PATTERN)
 
     def encoder(self, spark: SparkSession):
         shared = share(spark, self.data)

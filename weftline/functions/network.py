@@ -8,6 +8,8 @@ import numpy as np
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 PARAMETERS = ("w0", "b0", "w1", "b1")
+#: The number of steps that a state has made; a mean over workers need not be whole.
+STEPS = "t0"
 
 
 def initial_parameters(n_in: int, hidden: int, n_out: int, seed: int) -> dict[str, np.ndarray]:
@@ -21,8 +23,8 @@ def initial_parameters(n_in: int, hidden: int, n_out: int, seed: int) -> dict[st
 
 
 def initial_state(parameters: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Parameters with their Adam moments, all zero."""
-    state = dict(parameters)
+    """Parameters with their Adam moments and the number of steps, all zero."""
+    state = {**parameters, STEPS: np.zeros(1)}
     for name in PARAMETERS:
         state[f"{name}.m"] = np.zeros_like(parameters[name])
         state[f"{name}.v"] = np.zeros_like(parameters[name])
@@ -54,13 +56,15 @@ def loss_and_gradients(parameters, x: np.ndarray, target: np.ndarray) -> tuple[f
     return float(loss), {"w0": x.T @ back, "b0": back.sum(axis=0), "w1": hidden.T @ out, "b1": out.sum(axis=0)}
 
 
-def adam_step(state: dict[str, np.ndarray], gradients, rate: float, step: int) -> None:
-    """Update parameters and moments in place; step counts from 1."""
+def adam_step(state: dict[str, np.ndarray], gradients, rate: float) -> None:
+    """Update parameters, moments and the number of steps in place."""
+    state[STEPS] += 1
+    step = float(state[STEPS][0])
+    scale = rate * np.sqrt(1 - BETA2**step) / (1 - BETA1**step)
     for name, gradient in gradients.items():
         m, v = state[f"{name}.m"], state[f"{name}.v"]
         m += (1 - BETA1) * (gradient - m)
         v += (1 - BETA2) * (gradient * gradient - v)
-        scale = rate * np.sqrt(1 - BETA2**step) / (1 - BETA1**step)
         state[name] -= scale * m / (np.sqrt(v) + EPSILON)
 
 

@@ -37,12 +37,18 @@ def positional_table(spark: SparkSession, window_size: int, dim: int, mode: str)
     )
 
 
+_vectors: dict[tuple[int, int, str], list[float]] = {}
+
+
 def positional_vector(spark: SparkSession, window_size: int, dim: int, mode: str | None) -> list[float]:
-    """The table as a list; its size is set by the configuration, not by the data."""
+    """The table as a list, made once; its size is set by the configuration, not by the data."""
     if mode is None:
         return [0.0] * (window_size * dim)
-    rows = positional_table(spark, window_size, dim, mode).orderBy("j").collect()
-    return [row["value"] for row in rows]
+    key = (window_size, dim, mode)
+    if key not in _vectors:
+        rows = positional_table(spark, window_size, dim, mode).orderBy("j").collect()
+        _vectors[key] = [row["value"] for row in rows]
+    return list(_vectors[key])
 
 
 def add_vector(features: Column, vector: list[float]) -> Column:

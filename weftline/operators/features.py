@@ -13,9 +13,9 @@ from weftline.config import WindowConfig
 from weftline.functions.arrays import one_hot, pad_right, zeros
 from weftline.functions.network import gather
 from weftline.functions.positional import add_vector, positional_vector
-from weftline.operators.lookup import lookup
+from weftline.operators.lookup import index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
-from weftline.operators.windows import segment_windows, segments
+from weftline.operators.windows import segment_windows, segments, sliding_windows
 from weftline.session import by_key, fits_broadcast, other_columns, share
 
 
@@ -80,16 +80,22 @@ def label_index(index: Column, vocab_size: int | None) -> Column:
 def index_samples(tokens: DataFrame, vocab: DataFrame, config: WindowConfig, limit: int | None = None) -> DataFrame:
     """Keys, window_no, input_index array<int> of window_size, target_index.
 
-    The compact form of a training sample: 4 bytes per token instead of 4 x embedding_dim.
+    The compact form of a training sample: 4 bytes per token instead of 4 x embedding_dim. Tokens of a vocabulary
+    within the broadcast bound are looked up in their arrays, without a shuffle; else they are joined by segment.
     """
-    rows, keys = _segment_rows(tokens, config)
-    found = token_index(rows, vocab, limit).withColumn("index", F.col("token_index").cast("int"))
-    windows = segment_windows(_regroup(found, keys, "index"), config, "index")
+    places = token_places(vocab, limit)
+    if places is None:
+        rows, keys = _segment_rows(tokens, config)
+        found = token_index(rows, vocab, limit).withColumn("index", F.col("token_index").cast("int"))
+        windows = segment_windows(_regroup(found, keys, "index"), config, "index")
+        windows = windows.withColumnsRenamed({"index_input": "input", "index_target": "target"})
+    else:
+        windows = sliding_windows(index_tokens(tokens, places), config)
     pad = F.lit(pad_entry(vocab, config)[0]).cast("int")
     return windows.select(
-        *other_columns(windows, "index_input", "index_target"),
-        pad_right(F.col("index_input"), config.window_size, pad).alias("input_index"),
-        label_index(F.col("index_target").cast("long"), config.vocab_size).alias("target_index"),
+        *other_columns(windows, "input", "target"),
+        pad_right(F.col("input"), config.window_size, pad).alias("input_index"),
+        label_index(F.col("target").cast("long"), config.vocab_size).alias("target_index"),
     )
 
 
@@ -133,10 +139,14 @@ def embedding_matrix(vocab: DataFrame, config: WindowConfig, limit: int | None =
     return matrix
 
 
-def gatherer(spark: SparkSession, matrix: np.ndarray, config: WindowConfig):
-    """Function from an Arrow list array of indices to feature rows with positions."""
+def share_inputs(spark: SparkSession, matrix: np.ndarray | None, config: WindowConfig):
+    """The matrix within the broadcast bound and the positions, as a broadcast."""
     positions = positional_vector(spark, config.window_size, config.embedding_dim, config.positional)
-    shared = share(spark, (matrix, np.array(positions, np.float32)))
+    return share(spark, (matrix, np.array(positions, np.float32)))
+
+
+def gatherer(shared):
+    """Function from an Arrow list array of indices to feature rows with positions, by the shared inputs."""
 
     def features(index: pa.Array) -> np.ndarray:
         vectors, offsets = shared.value
@@ -147,7 +157,7 @@ def gatherer(spark: SparkSession, matrix: np.ndarray, config: WindowConfig):
 
 def gather_features(samples: DataFrame, matrix: np.ndarray, config: WindowConfig) -> DataFrame:
     """Replace input_index by features with positions, an Arrow batch at a time."""
-    to_features = gatherer(samples.sparkSession, matrix, config)
+    to_features = gatherer(share_inputs(samples.sparkSession, matrix, config))
 
     @F.arrow_udf("array<float>")
     def gathered(index: pa.Array) -> pa.Array:

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weftline.session import fits_broadcast, materialize, table_bytes
+from weftline.session import fits_broadcast, materialize, row_bytes, share, table_bytes
 
 #: A key is heavy when it makes up more than 1 / HEAVY_KEYS of all rows, so that fewer
 #: than HEAVY_KEYS keys can be heavy.
 HEAVY_KEYS = 100_000
+#: Bytes of the table rows of all heavy keys; wide rows allow for fewer keys.
+HEAVY_BYTES = 64 << 20
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int | None = None) -> DataFrame:
@@ -19,9 +26,12 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, limit: int | None = None
     broadcast, so `rows` keeps its partitioning. A larger one is joined by a shuffle, but
     for the rows of heavy keys, which meet the few matching table rows by broadcast.
     """
-    if fits_broadcast(table_bytes(table), limit):
+    size = table_bytes(table)
+    if fits_broadcast(size, limit):
         return rows.join(F.broadcast(table), key, "left")
-    heavy = F.broadcast(heavy_keys(rows, key))
+    widest = table.agg(F.max(row_bytes(table))).first()[0] or 1
+    most = max(2, min(HEAVY_KEYS, HEAVY_BYTES // widest))
+    heavy = F.broadcast(heavy_keys(rows, key, most))
     heavy_table = F.broadcast(table.join(heavy, key, "left_semi"))
     hot = rows.join(heavy, key, "left_semi").join(heavy_table, key, "left")
     tail = rows.join(heavy, key, "left_anti").join(table.hint("merge"), key, "left")
@@ -33,3 +43,45 @@ def heavy_keys(rows: DataFrame, key: str, most: int = HEAVY_KEYS) -> DataFrame:
     counts = materialize(rows.where(F.col(key).isNotNull()).groupBy(key).count(), "key-counts")
     total = counts.agg(F.sum("count")).scalar()
     return counts.where(F.col("count") * most > total).select(key)
+
+
+class TokenPlaces:
+    """The tokens of a vocabulary with their indices; a worker makes the map once and looks up distinct tokens."""
+
+    def __init__(self, tokens: pa.Array, index: np.ndarray):
+        self.tokens, self.index, self.known = tokens, index, None
+
+    def of(self, values: pa.Array) -> np.ndarray:
+        """The index of each value, -1 when it is missing."""
+        if self.known is None:
+            self.known = dict(zip(self.tokens.to_pylist(), self.index.tolist(), strict=True))
+        distinct = values.dictionary_encode()
+        found = [self.known.get(token, -1) for token in distinct.dictionary.to_pylist()]
+        return np.array([*found, -1], np.int32)[distinct.indices.fill_null(len(found)).to_numpy()]
+
+
+def token_places(vocab: DataFrame, limit: int | None = None) -> TokenPlaces | None:
+    """The tokens and indices of a vocabulary, or None beyond the broadcast bound."""
+    names = vocab.select("token", "token_index")
+    if not fits_broadcast(table_bytes(names), limit):
+        return None
+    table = names.toArrow()
+    return TokenPlaces(table["token"].combine_chunks(), table["token_index"].to_numpy())
+
+
+def index_tokens(tokens: DataFrame, places: TokenPlaces) -> DataFrame:
+    """Replace the tokens of each row by their indices (int), -1 when missing: a narrow plan."""
+    shared = share(tokens.sparkSession, places)
+    indices = T.ArrayType(T.IntegerType())
+    schema = T.StructType([T.StructField(f.name, indices if f.name == "tokens" else f.dataType) for f in tokens.schema])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            lists = columns["tokens"]
+            bounds = lists.offsets.to_numpy()
+            found = pa.array(shared.value.of(lists.flatten()), pa.int32())
+            columns["tokens"] = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), found)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return tokens.mapInArrow(task, schema)

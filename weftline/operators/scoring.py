@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from weftline.config import MISSING_TOKEN, WindowConfig
 from weftline.functions.arrays import argmax, pad_right
 from weftline.functions.network import forward
-from weftline.operators.features import gatherer, token_index, with_classes
-from weftline.operators.lookup import lookup
+from weftline.operators.features import gatherer, share_inputs, token_index, with_classes
+from weftline.operators.lookup import index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
 from weftline.session import by_key, other_columns, share
 
@@ -27,16 +27,20 @@ def query_windows(tokens: DataFrame, config: WindowConfig) -> DataFrame:
     return tokens.select(*other_columns(tokens, "tokens"), pad_right(first, config.window_size, pad).alias("input"))
 
 
-def index_windows(windows: DataFrame, vocab: DataFrame) -> DataFrame:
+def index_windows(windows: DataFrame, vocab: DataFrame, limit: int | None = None) -> DataFrame:
     """Keys, input_index: the input tokens as vocabulary indices, -1 when missing."""
     keys = other_columns(windows, "input")
+    places = token_places(vocab, limit)
+    if places is not None:
+        found = index_tokens(windows.withColumnRenamed("input", "tokens"), places)
+        return found.select(*keys, F.col("tokens").alias("input_index"))
     rows = token_occurrences(by_key(windows, *keys).withColumnRenamed("input", "tokens"))
-    found = token_index(rows, vocab)
+    found = token_index(rows, vocab, limit)
     members = F.sort_array(F.collect_list(F.struct("pos", F.col("token_index").cast("int").alias("index"))))
     return found.groupBy(*keys).agg(members["index"].alias("input_index"))
 
 
-def _model_input(samples: DataFrame, config: WindowConfig, matrix: np.ndarray | None):
+def _model_input(samples: DataFrame, config: WindowConfig, matrix: np.ndarray | None, inputs=None):
     """The column that a model reads, and the function that makes feature rows of it.
 
     Samples carry either features, or input_index, whose vectors are gathered from the
@@ -44,7 +48,7 @@ def _model_input(samples: DataFrame, config: WindowConfig, matrix: np.ndarray |
     """
     if matrix is None:
         return "features", _dense
-    return "input_index", gatherer(samples.sparkSession, matrix, config)
+    return "input_index", gatherer(inputs or share_inputs(samples.sparkSession, matrix, config))
 
 
 def score(
@@ -72,15 +76,18 @@ def classify(
     config: WindowConfig,
     matrix: np.ndarray | None = None,
     digits: int | None = None,
+    inputs=None,
+    weights=None,
 ) -> DataFrame:
     """Add prediction, the first maximum of the scores, without handing the scores back.
 
     With digits, scores that agree to that many places count as equal.
 
-    A batch is scored in pieces, so that many classes or wide features fit in memory.
+    A batch is scored in pieces, so that many classes or wide features fit in memory. A caller that scores again and
+    again passes its broadcasts: inputs (share_inputs) and weights (the parameters).
     """
-    column, to_features = _model_input(samples, config, matrix)
-    shared = share(samples.sparkSession, parameters)
+    column, to_features = _model_input(samples, config, matrix, inputs)
+    shared = weights or share(samples.sparkSession, parameters)
     widest = max(max(value.shape) for value in parameters.values())
     rows = max(1, _SCORE_CELLS // widest)
 

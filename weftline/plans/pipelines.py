@@ -18,9 +18,10 @@ from weftline.operators.scoring import (
 )
 from weftline.operators.split import hash_split
 from weftline.operators.tokens import bpe_tokens, word_tokens
-from weftline.operators.training import TrainedModel, train
+from weftline.operators.training import Model, TrainedModel, load_state, train
 from weftline.operators.vocab import attach_vectors, token_counts, vocab_by_id, vocab_from_csv, vocab_index
-from weftline.session import materialize
+from weftline.operators.windows import window_total
+from weftline.session import discard, materialize, scratch_path
 from weftline.sources.corpus import document_groups, group_lines, read_documents, read_table, text_file_lines
 from weftline.sources.embeddings import read_embedding_csv
 
@@ -62,19 +63,26 @@ def fit(
     keys: tuple[str, ...],
     model_path: str | None = None,
     limit: int | None = None,
+    resume: str | None = None,
 ) -> TrainedModel:
-    """Samples, split, training with a test accuracy per epoch, saved model.
+    """Samples, split, training with a test accuracy per epoch, saved model; `resume` is the folder of a saved epoch.
 
     Only samples with a label are stored: the filter runs before the inputs are sliced.
     """
+    spark = tokens.sparkSession
+    n_windows = window_total(tokens, window).first()["n_windows"]
     samples = model_samples(tokens, vocab, window, limit)
-    samples = materialize(samples.where(F.col("target_index") >= 0), "samples")
-    fitted, test = hash_split(samples, *keys)
-    return train(fitted, vocab, window, config, test, keys, model_path)
+    path = scratch_path(spark, "samples")
+    samples.where(F.col("target_index") >= 0).write.parquet(path)
+    fitted, test = hash_split(spark.read.schema(samples.schema).parquet(path), *keys)
+    state = load_state(spark, resume) if resume else None
+    model = train(fitted, vocab, window, config, test, keys, model_path, n_windows, state)
+    discard(spark, path)
+    return model
 
 
 def predict(
-    queries: DataFrame, vocab: DataFrame, names: DataFrame, model: TrainedModel, config: WindowConfig
+    queries: DataFrame, vocab: DataFrame, names: DataFrame, model: Model, config: WindowConfig
 ) -> DataFrame:
     """Keys, prediction, token for rows with tokens.
 
@@ -101,6 +109,7 @@ def train_on_files(
     window: WindowConfig,
     config: TrainConfig,
     model_path: str | None = None,
+    resume: str | None = None,
 ) -> tuple[TrainedModel, DataFrame, DataFrame]:
     """Text files and an embedding CSV to a trained model over byte-pair ids.
 
@@ -110,4 +119,4 @@ def train_on_files(
     vocab = materialize(vocab_by_id(names, bpe.table(spark)), "vocab-by-id")
     groups = group_lines(text_file_lines(spark, text_path), window.lines_per_group)
     tokens = bpe_tokens(groups, bpe)
-    return fit(tokens, vocab, window, config, ("group_id", "window_no"), model_path), vocab, names
+    return fit(tokens, vocab, window, config, ("group_id", "window_no"), model_path, resume=resume), vocab, names

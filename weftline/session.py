@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +40,14 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Measured size in memory: the lengths of texts and arrays, and a share for each row."""
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that its owner is done with."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def row_bytes(table: DataFrame) -> Column:
+    """Size of a row in memory: the lengths of its texts and arrays, and a share."""
     size = F.lit(_ROW_SHARE_BYTES)
     for field in table.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
@@ -50,7 +56,12 @@ def table_bytes(table: DataFrame) -> int:
             size += 8 * F.coalesce(F.size(field.name), F.lit(0))
         else:
             size += 8
-    return table.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return size.cast("long")
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Measured size in memory."""
+    return table.agg(F.sum(row_bytes(table))).first()[0] or 0
 
 
 def fits_broadcast(size: int, limit: int | None = None) -> bool:
