@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ from weftline.operators.tokens import (
     tokens_to_string,
     word_tokens,
 )
-from weftline.operators.training import read_model
+from weftline.operators.training import Model, read_model
 from weftline.operators.vocab import (
     attach_vectors,
     last_row_wins,
@@ -67,7 +68,10 @@ ALL_CLASSES = CONFIG
 NO_POSITIONS = replace(CONFIG, positional=None)
 #: Byte-pair ids are numbers, so the padding is one too.
 BPE_CONFIG = replace(CONFIG, pad_token="0")
-TRAINING = TrainConfig(workers=8, batch_size=128, averaging_frequency=10, epochs=2, hidden_size=20)
+#: The published setting of the original program, for two epochs.
+TRAINING = TrainConfig(workers=32, batch_size=10, averaging_frequency=10, epochs=2, hidden_size=20)
+#: Hidden units of the network that is given by a formula.
+FORMULA_HIDDEN = 4
 #: Scores are compared to this many places.
 DIGITS = 6
 KEYS = ("doc_id", "group_id", "window_no")
@@ -163,6 +167,22 @@ def bpe_samples(spark: SparkSession, folder: str) -> DataFrame:
     return samples.select(*KEYS, _joined("input_index"), "target_index")
 
 
+def bpe_windows_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of each group, put together again from its byte-pair windows.
+
+    A window that isn't the last adds its first `stride` ids, so what is collected for a group is its own id array.
+    """
+    bpe = BpeVocabulary.installed()
+    rows = sliding_windows(bpe_tokens(line_groups(spark, folder), bpe), BPE_CONFIG)
+    start = F.struct("window_no", F.slice("input", 1, BPE_CONFIG.stride).alias("ids"))
+    whole = F.concat("input", F.array("target"))
+    groups = rows.groupBy("doc_id", "group_id").agg(
+        F.sort_array(F.collect_list(start))["ids"].alias("starts"), F.max_by(whole, "window_no").alias("last")
+    )
+    before = F.flatten(F.slice("starts", F.lit(1), F.size("starts") - 1))
+    return decode_bpe(groups.select("doc_id", "group_id", F.concat(before, "last").alias("tokens")), bpe)
+
+
 def windows(spark: SparkSession, folder: str) -> DataFrame:
     rows = sliding_windows(_words(spark, folder), CONFIG)
     return rows.select(*KEYS, F.size("input").alias("n_input"), _joined("input"), "target")
@@ -342,39 +362,86 @@ def param_average(spark: SparkSession, folder: str) -> DataFrame:
     """The vectors as the weights of one worker each, averaged per label."""
     vectors = read_table(spark, folder, "embeddings", "label", "vec_id", "embedding")
     rows = vectors.select(
-        F.col("label").cast("string").alias("name"), F.lit(0).alias("chunk"),
+        F.col("vec_id").alias("part"), F.col("label").cast("string").alias("name"), F.lit(0).alias("chunk"),
         F.col("embedding").cast("array<double>").alias("cells"), (F.col("vec_id") % 7 + 1).alias("n"),
     )
-    cells = average_chunks(rows).select(
+    parts = vectors.agg(F.max("vec_id")).first()[0] or 0
+    cells = average_chunks(rows, parts + 1, fan_in=64).select(
         F.col("name").cast(vectors.schema["label"].dataType).alias("layer"), F.lit("weight").alias("kind"),
         F.lit(0).alias("i"), F.posexplode("cells").alias("j", "value"),
     )
     return cells.withColumn("value", F.round("value", DIGITS))
 
 
+_models: dict[tuple[str, str], tuple] = {}
+
+
 def _trained(spark, folder):
-    vocab = word_vocab(spark, folder, CONFIG)
-    return fit(_words(spark, folder), vocab, CONFIG, TRAINING, KEYS), vocab
+    """The model of a folder and its vocabulary, trained once in a session: its tables are written ones."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _models:
+        vocab = word_vocab(spark, folder, CONFIG)
+        _models.clear()
+        _models[key] = fit(_words(spark, folder), vocab, CONFIG, TRAINING, KEYS), vocab
+    return _models[key]
 
 
 def train_param_avg(spark: SparkSession, folder: str) -> DataFrame:
+    """What each epoch went over."""
+    epochs = _trained(spark, folder)[0].epochs
+    return epochs.select("epoch", "learning_rate", "n_rounds", "n_samples", "n_test", "n_without_label")
+
+
+def training_epochs(spark: SparkSession, folder: str) -> DataFrame:
     return _trained(spark, folder)[0].epochs
 
 
 def training_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The batches of all workers, and whether their loss and gradient norm are positive numbers."""
+    metrics = _trained(spark, folder)[0].metrics
+    sound = F.col("loss").between(0, 1e6) & F.col("grad_norm").between(0, 1e6)
+    return metrics.select("epoch", "round", "worker", "iteration", "n", sound.alias("is_sound"))
+
+
+def training_scores(spark: SparkSession, folder: str) -> DataFrame:
     return _trained(spark, folder)[0].metrics
 
 
 def training_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    return _trained(spark, folder)[0].confusions
+    """Test samples of each label in the confusion table of each epoch."""
+    cells = _trained(spark, folder)[0].confusions
+    return cells.groupBy("epoch", "label").agg(F.sum("n").alias("n"))
 
 
 def model_params(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of the saved model and its moments, by layer and kind."""
     model, _ = _trained(spark, folder)
-    return parameter_rows(read_model(spark, model.last_epoch_path()))
+    cells = parameter_rows(read_model(spark, model.last_epoch_path()))
+    return cells.groupBy("layer", "kind").agg(
+        F.count("value").alias("n"), F.max("i").alias("max_i"), F.max("j").alias("max_j")
+    )
+
+
+def formula_model(vocab: DataFrame) -> Model:
+    """A network whose cells follow from their places, so that other programs can run it too."""
+    config = with_classes(CONFIG, vocab)
+    i, h = np.arange(config.feature_size)[:, None], np.arange(FORMULA_HIDDEN)
+    state = {
+        "w0": ((i * 7 + h * 13) % 11 - 5) / 100.0,
+        "b0": h / 10.0,
+        "w1": np.sin((h[:, None] + 1.0) * (np.arange(config.vocab_size) + 1.0)),
+        "b1": np.zeros(config.vocab_size),
+    }
+    return Model(state, embedding_matrix(vocab, config))
 
 
 def predict_next_token(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of the network that is given by a formula: positions, hidden layer, softmax, argmax, token."""
+    vocab = word_vocab(spark, folder, CONFIG)
+    return predict(word_tokens(query_texts(spark, folder)), vocab, vocab, formula_model(vocab), CONFIG)
+
+
+def predict_trained(spark: SparkSession, folder: str) -> DataFrame:
     model, vocab = _trained(spark, folder)
     return predict(word_tokens(query_texts(spark, folder)), vocab, vocab, model, CONFIG)
 
@@ -390,6 +457,7 @@ QUERIES = {
     "bpe_piece_bytes": bpe_piece_bytes,
     "bpe_roundtrip": bpe_roundtrip,
     "bpe_windows": bpe_windows,
+    "bpe_windows_text": bpe_windows_text,
     "bpe_samples": bpe_samples,
     "sliding_windows": windows,
     "padded_windows": padded_windows,
@@ -420,8 +488,11 @@ QUERIES = {
     "eval_labels": eval_labels,
     "param_average": param_average,
     "train_param_avg": train_param_avg,
+    "training_epochs": training_epochs,
     "training_metrics": training_metrics,
+    "training_scores": training_scores,
     "training_confusion": training_confusion,
     "model_params": model_params,
     "predict_next_token": predict_next_token,
+    "predict_trained": predict_trained,
 }

@@ -110,6 +110,17 @@ FROM summed LEFT JOIN vocab ON token = target"""
 
 _TRAIN = """('0x' || substr(md5(concat_ws('-', doc_id, group_id, window_no)), 1, 8))::UBIGINT % 100 < 80"""
 
+#: Labelled windows of the training set with their round and worker; 3,200 samples make a round.
+_PLACED = f"""WITH {_window_rows()},{_VOCAB},
+labelled AS (
+  SELECT {_TRAIN} AS fitted, md5(concat_ws('-', 345, doc_id, group_id, window_no)) AS place, token_index AS label
+  FROM wins JOIN vocab ON token = target),
+sizes AS (
+  SELECT CAST(count(*) FILTER (fitted) AS BIGINT) AS n_samples, CAST(count(*) FILTER (NOT fitted) AS BIGINT) AS n_test,
+    (CAST(count(*) FILTER (fitted) AS BIGINT) + 3199) // 3200 AS n_rounds
+  FROM labelled),
+epochs AS (SELECT unnest([0, 1]) AS epoch)"""
+
 _QUERY_WORDS = """
 query_text AS (
   SELECT 'item-' || item_id AS query_id, text FROM benchmark
@@ -152,6 +163,31 @@ evaluated AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id, group_id, window_no ORDER BY score DESC, class) = 1)"""
 
 
+#: The network given by a formula: vectors with positions, a hidden layer of 4, softmax over all words.
+_PREDICTED = f"""WITH {_WORDS},{_VOCAB},{_position_cells(20, 64, "standard")},{_QUERY_WORDS},
+cells AS (
+  SELECT token_index, unnest(range(0, 64)) AS d, unnest(vector) AS v FROM vocab
+  UNION ALL SELECT -1, unnest(range(0, 64)), CAST(0 AS FLOAT)),
+units AS (SELECT unnest(range(0, 4)) AS h),
+parts AS (
+  SELECT token_index, p, h, sum(CAST(v + pos AS DOUBLE) * (((p * 64 + d) * 7 + h * 13) % 11 - 5) / 100.0) AS s
+  FROM cells JOIN positions USING (d), units GROUP BY token_index, p, h),
+placed AS (
+  SELECT query_id, unnest(range(0, 20)) AS p, unnest(list_resize(tokens, 20, NULL)) AS token FROM query_words),
+hidden AS (
+  SELECT query_id, h, greatest(sum(s) + h / 10.0, 0.0) AS a
+  FROM (SELECT query_id, p, coalesce(token_index, -1) AS token_index FROM placed LEFT JOIN vocab USING (token))
+  JOIN parts USING (token_index, p) GROUP BY query_id, h),
+logits AS (
+  SELECT query_id, token_index AS class, sum(a * sin((h + 1.0) * (token_index + 1.0))) AS z
+  FROM hidden, vocab GROUP BY query_id, token_index),
+shifted AS (SELECT query_id, class, exp(z - max(z) OVER (PARTITION BY query_id)) AS e FROM logits),
+chosen AS (
+  SELECT query_id, class AS prediction FROM (
+    SELECT query_id, class, e / sum(e) OVER (PARTITION BY query_id) AS share FROM shifted)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY share DESC, class) = 1)"""
+
+
 def _class_counts(pairs: str) -> str:
     return f"""
 classes AS (SELECT label AS class FROM {pairs} UNION SELECT prediction FROM {pairs})
@@ -181,6 +217,8 @@ SELECT doc_id, group_id, array_to_string(tokens, ' ') AS token_string, CAST(len(
 SELECT doc_id, group_id, CAST(strlen(replace(text, ' ', '')) AS BIGINT) AS n_bytes FROM line_group""",
     "bpe_roundtrip": f"""WITH {_GROUPS}
 SELECT doc_id, group_id, replace(text, ' ', '') AS text FROM line_group""",
+    "bpe_windows_text": f"""WITH {_GROUPS}
+SELECT doc_id, group_id, replace(text, ' ', '') AS text FROM line_group WHERE replace(text, ' ', '') <> ''""",
     "sliding_windows": f"""WITH {_window_rows()}
 SELECT doc_id, group_id, window_no, CAST(len(input) AS INTEGER) AS n_input, array_to_string(input, ' ') AS input, target
 FROM wins""",
@@ -255,4 +293,31 @@ SELECT label AS layer, 'weight' AS kind, CAST(0 AS INTEGER) AS i, CAST(j AS INTE
   round(sum(CAST(value AS DOUBLE) * n) / sum(n), 6) AS value
 FROM (SELECT label, vec_id % 7 + 1 AS n, unnest(range(0, 64)) AS j, unnest(embedding) AS value FROM embeddings)
 GROUP BY label, j""",
+    "train_param_avg": f"""{_PLACED}
+SELECT epoch, CAST(0.01 AS DOUBLE) AS learning_rate, CAST(n_rounds AS INTEGER) AS n_rounds, n_samples, n_test,
+  (SELECT count(*) FROM wins) - n_samples - n_test AS n_without_label
+FROM epochs, sizes""",
+    "training_metrics": f"""{_PLACED},
+placed AS (
+  SELECT CAST(('0x' || substr(place, 1, 8))::UBIGINT % n_rounds AS INTEGER) AS round,
+    CAST(('0x' || substr(place, 9, 8))::UBIGINT % 32 AS INTEGER) AS worker
+  FROM labelled, sizes WHERE fitted),
+seen AS (SELECT round, worker, count(*) AS k FROM placed GROUP BY ALL),
+batches AS (SELECT round, worker, k, unnest(range(0, (k + 9) // 10)) AS iteration FROM seen)
+SELECT epoch, round, worker, CAST(iteration AS INTEGER) AS iteration, least(10, k - 10 * iteration) AS n, TRUE AS is_sound
+FROM batches, epochs""",
+    "training_confusion": f"""{_PLACED}
+SELECT epoch, label, count(*) AS n FROM labelled, epochs WHERE NOT fitted GROUP BY ALL""",
+    "model_params": f"""WITH {_WORDS},{_VOCAB},
+shapes AS (
+  SELECT * FROM (VALUES (0, 'weight', 1280, 20), (0, 'bias', 1, 20)) s(layer, base, height, width)
+  UNION ALL SELECT 1, 'weight', 20, count(*) FROM vocab
+  UNION ALL SELECT 1, 'bias', 1, count(*) FROM vocab),
+arrays AS (
+  SELECT layer, base || moment AS kind, height, width FROM shapes, (SELECT unnest(['', '.m', '.v']) AS moment)
+  UNION ALL SELECT 0, 'step', 1, 1)
+SELECT CAST(layer AS INTEGER) AS layer, kind, CAST(height * width AS BIGINT) AS n,
+  CAST(height - 1 AS INTEGER) AS max_i, CAST(width - 1 AS INTEGER) AS max_j FROM arrays""",
+    "predict_next_token": f"""{_PREDICTED}
+SELECT query_id, prediction, coalesce(token, 'NULL') AS token FROM chosen LEFT JOIN vocab ON token_index = prediction""",
 }
