@@ -330,18 +330,26 @@ def decoded_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return decode_predictions(predicted, vocab)
 
 
+def _test_windows(spark, folder) -> tuple[DataFrame, DataFrame]:
+    vocab = word_vocab(spark, folder, CONFIG)
+    _, test = hash_split(index_samples(_words(spark, folder), vocab, CONFIG), *KEYS)
+    return test, vocab
+
+
 def _evaluated(spark, folder) -> DataFrame:
     """label, prediction: the linear scores of all test windows with a known target."""
-    vocab = word_vocab(spark, folder, CONFIG)
-    rows = index_samples(_words(spark, folder), vocab, CONFIG)
-    _, test = hash_split(rows.where(F.col("target_index") >= 0), *KEYS)
+    test, vocab = _test_windows(spark, folder)
+    test = test.where(F.col("target_index") >= 0)
     linear = linear_parameters(spark, vocab, CONFIG)
     predicted = classify(test, linear, NO_POSITIONS, embedding_matrix(vocab, CONFIG), DIGITS)
     return predicted.select(F.col("target_index").alias("label"), "prediction")
 
 
 def eval_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.accuracy(_evaluated(spark, folder))
+    """With the number of test windows that have no label and are left out."""
+    unknown = _test_windows(spark, folder)[0].where(F.col("target_index") < 0)
+    left_out = unknown.agg(F.count(F.lit(1))).scalar()
+    return evaluation.accuracy(_evaluated(spark, folder)).withColumn("n_without_label", left_out)
 
 
 def eval_confusion(spark: SparkSession, folder: str) -> DataFrame:

@@ -284,7 +284,9 @@ SELECT query_id, prediction, coalesce(token, 'NULL') AS token
 FROM best LEFT JOIN vocab ON token_index = prediction""",
     "eval_accuracy": f"""{_EVALUATED}
 SELECT count(*) AS n, CAST(count(*) FILTER (label = prediction) AS BIGINT) AS n_correct,
-  count(*) FILTER (label = prediction) / CAST(count(*) AS DOUBLE) AS accuracy FROM evaluated""",
+  count(*) FILTER (label = prediction) / CAST(count(*) AS DOUBLE) AS accuracy,
+  (SELECT count(*) FROM wins LEFT JOIN vocab ON token = target WHERE token IS NULL AND NOT ({_TRAIN})) AS n_without_label
+FROM evaluated""",
     "eval_confusion": f"{_EVALUATED} SELECT label, prediction, count(*) AS n FROM evaluated GROUP BY ALL",
     "eval_class_counts": f"{_EVALUATED},{_class_counts('evaluated')}",
     "eval_labels": f"""WITH given AS (SELECT quality AS label, toxic AS prediction FROM labels),{_class_counts('given')}""",
