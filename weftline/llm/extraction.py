@@ -2,7 +2,8 @@
 
 All texts of a page are grouped by their path of tags from the root. Each path has sums of text length and of
 punctuation over its nodes; their ratios to the number of nodes are smoothed over the paths that stand next to each other in the page,
-fused into one score, and compared with a threshold of the page itself. Blocks on the paths above it are the text.
+fused into one score, and compared with a threshold of the page itself. Blocks on the paths above it are the text. How much
+of the page's text the article or main element of a path holds is one term of its score.
 """
 
 from __future__ import annotations
@@ -61,18 +62,19 @@ _MARKS = re.compile(r"[.,;:!?…、。，！？]")
 
 @dataclass(frozen=True)
 class PathRatios:
-    """Parameters: weight of the neighbouring paths, the threshold as a share of the page's mean, and the share for headings."""
+    """Parameters: weight of the neighbouring paths, the threshold as a share of the page's mean, and the weight of article elements."""
 
     neighbour: float = 0.25
     threshold: float = 0.5
+    article: float = 0.5
 
 
 @dataclass
 class _Node:
     path: str
     noise: bool
-    main: bool
-    heading: bool
+    main: tuple[int, ...]  # the article and main elements around it, by number
+    heading: int  # 1 to 6, 0 for other text
     parts: list = field(default_factory=list)
 
 
@@ -102,16 +104,17 @@ def _label(rest: str) -> str:
 
 def blocks(html: str) -> list[_Node]:
     """The text nodes of a page: one for each run of text within a block element, in page order."""
-    stack: list[tuple[str, str, bool, bool]] = []  # name, path, noise, main
+    stack: list[tuple[str, str, bool, tuple[int, ...]]] = []  # name, path, noise, main
+    mains = 0
     out: list[_Node] = []
     current: _Node | None = None
 
     def text(raw: str) -> None:
         nonlocal current
         if current is None:
-            block = next((e for e in reversed(stack) if e[0] in BLOCK), ("", "", False, False))
-            noise, main = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            current = _Node(block[1], noise, main, block[0] in HEADINGS)
+            block = next((e for e in reversed(stack) if e[0] in BLOCK), ("", "", False, ()))
+            noise, main = (stack[-1][2], stack[-1][3]) if stack else (False, ())
+            current = _Node(block[1], noise, main, int(block[0][1]) if block[0] in HEADINGS else 0)
             out.append(current)
         elif stack and stack[-1][2] != current.noise:  # a skipped element inside a block
             if stack[-1][2]:
@@ -159,9 +162,12 @@ def blocks(html: str) -> list[_Node]:
                 if stack[k][0] in SIBLINGS[name]:
                     pop(k)
                     break
-        above = stack[-1] if stack else ("", "", False, False)
-        main = above[3] or name in MAIN
-        noise = above[2] or _is_noise(name, token.group("rest"), main)
+        above = stack[-1] if stack else ("", "", False, ())
+        main = above[3]
+        if name in MAIN:
+            mains += 1
+            main += (mains,)
+        noise = above[2] or _is_noise(name, token.group("rest"), bool(main))
         if name in BLOCK:
             current = None
         if not token.group("rest").rstrip().endswith("/") or name in BLOCK:
@@ -193,6 +199,21 @@ def _smooth(values: list[float], weight: float) -> list[float]:
     return out
 
 
+def _membership(nodes: list[tuple[_Node, str]]) -> dict[str, float]:
+    """The mean of each path, by length: the text in the nearest article element as a share of the largest such text, or of that outside."""
+    held: dict[int, int] = {}
+    for node, content in nodes:
+        for element in node.main or (0,):
+            held[element] = held.get(element, 0) + len(content)
+    most = max(held.values())
+    sums: dict[str, list[float]] = {}
+    for node, content in nodes:
+        s = sums.setdefault(node.path, [0, 0])
+        s[0] += len(content) * (held[node.main[-1]] / most if node.main else 0)
+        s[1] += len(content)
+    return {path: part / whole for path, (part, whole) in sums.items()}
+
+
 def main_text(html: str, method: PathRatios = PathRatios()) -> str:
     """The main text of one page; empty if it has none."""
     nodes = []
@@ -201,8 +222,6 @@ def main_text(html: str, method: PathRatios = PathRatios()) -> str:
             content = " ".join(unescape("".join(node.parts)).split())
             if content:
                 nodes.append((node, content))
-    if any(node.main for node, _ in nodes):  # menus and notices outside of an article element
-        nodes = [(node, content) for node, content in nodes if node.main]
     if not nodes:
         return ""
     ratios = _ratios(nodes)
@@ -210,8 +229,10 @@ def main_text(html: str, method: PathRatios = PathRatios()) -> str:
     fused = []
     columns = [_smooth([ratios[p][k] for p in paths], method.neighbour) for k in (0, 1)]
     tops = [max(c) or 1.0 for c in columns]
-    for length, marks in zip(*columns, strict=True):
-        fused.append((length / tops[0] + marks / tops[1]) / 2)
+    membership = _membership(nodes)
+    for path, length, marks in zip(paths, *columns, strict=True):
+        ratio = (length / tops[0] + marks / tops[1]) / 2
+        fused.append((1 - method.article) * ratio + method.article * membership[path])
     score = dict(zip(paths, fused, strict=True))
     weight = {p: 0 for p in paths}
     for node, content in nodes:
@@ -219,9 +240,17 @@ def main_text(html: str, method: PathRatios = PathRatios()) -> str:
     # Weighted by length, the mean is near the score of the paths that hold the article.
     least = method.threshold * sum(score[p] * weight[p] for p in paths) / sum(weight.values())
     chosen = {p for p in paths if score[p] >= least}
-    # Inside an article element, and next to chosen text, a heading belongs to it however short it is.
-    out = [c for node, c in nodes if node.path in chosen or node.heading or node.main]
-    return "\n".join(out)
+    # A heading belongs to chosen text that follows it before the next heading of its rank, however short it is.
+    out: list[str] = []
+    followed = [False] * 7
+    for node, content in reversed(nodes):
+        if node.path in chosen or (node.heading and followed[node.heading]):
+            out.append(content)
+        if node.heading:
+            followed[node.heading :] = [False] * (7 - node.heading)
+        elif node.path in chosen:
+            followed = [True] * 7
+    return "\n".join(reversed(out))
 
 
 def extract(pages: DataFrame, method: PathRatios = PathRatios()) -> DataFrame:
