@@ -10,3 +10,18 @@ def test_ratios_select_on_pages_with_an_article():
     <article><h1>Head</h1><p>{SENTENCES}</p><p>{SENTENCES}</p><ul><li>Eggs</li><li>Milk</li></ul></article>
     <div class="more"><h2>Elsewhere</h2><span>Go on</span></div></body>"""
     assert main_text(page).split("\n") == [SENTENCES, "Head", SENTENCES, SENTENCES, "Eggs", "Milk"]
+
+
+def test_skipped_parts_inside_a_block_leave_its_text():
+    for part in ('<span class="ad">Ad</span>', "<button>Share</button>", "<select><option>All</select>", '<a class="share" href="/s">Share</a>', "<svg><path d=''/></svg>"):
+        for page in (f"<article><p>{part}{SENTENCES}</p></article>", f"<div><p>{SENTENCES}</p><p>{part} {SENTENCES} {part}</p></div>"):
+            assert set(main_text(page).split("\n")) == {SENTENCES}
+    assert main_text(f'<div class="ad"><p>Ad</p><span>All</span></div><p hidden>No</p><p>{SENTENCES}</p>') == SENTENCES
+
+
+def test_only_attributes_of_their_exact_name_mark_noise():
+    for tag in ('p title="a hidden valley"', "p data-hidden=false", 'p data-id="ad-1"', 'p data-class=ad', "p aria-hidden=false", 'p title="class=ad"', "p data-x='id=\"ad\"'"):
+        assert main_text(f"<article><{tag}>{SENTENCES}</p></article>") == SENTENCES
+    assert main_text(f'<article><p><a href="/hidden-gems">{SENTENCES}</a></p></article>') == SENTENCES
+    for tag in ("p hidden", 'p HIDDEN=""', "p class='big ad'", "p id=ad-1", "p role = banner", 'p style="Display : none"', 'p aria-hidden="true"'):
+        assert main_text(f"<article><p>{SENTENCES}</p><{tag}>No</p></article>") == SENTENCES

@@ -54,7 +54,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 # Marks that end or divide sentences.
 _MARKS = re.compile(r"[.,;:!?…、。，！？]")
@@ -78,28 +78,29 @@ class _Node:
     parts: list = field(default_factory=list)
 
 
-def _is_noise(name: str, rest: str, main: bool) -> bool:
+def _attributes(rest: str) -> dict[str, str]:
+    """The attributes of a tag by their names in small letters; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
+def _is_noise(name: str, attributes: dict[str, str], main: bool) -> bool:
     if name in SKIPPED or (name == "header" and not main):
         return True
-    for attribute, value in _ATTRIBUTE.findall(rest):
-        kind, value = attribute.lower(), value.strip("\"'").lower()
-        if kind in ("class", "id", "role"):
-            words = _WORD.findall(value)
-            if any(w in NOISE_WORDS for w in words) and name not in ("html", "body"):
-                return not (main and name in HEADINGS) and not (name in MAIN)
-        elif kind == "hidden" or (kind == "aria-hidden" and value == "true"):
-            return True
-        elif kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
-
-
-def _label(rest: str) -> str:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
+        return True
+    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "").lower()):
+        return True
+    if name in ("html", "body") or name in MAIN or (main and name in HEADINGS):
+        return False
+    return any(w in NOISE_WORDS for kind in ("class", "id", "role") for w in _WORD.findall(attributes.get(kind, "").lower()))
+
+
+def _label(attributes: dict[str, str]) -> str:
     """The first class of an element, which tells paths of the same tags apart."""
-    for attribute, value in _ATTRIBUTE.findall(rest):
-        if attribute.lower() == "class":
-            return "." + value.strip("\"'").partition(" ")[0]
-    return ""
+    return "." + attributes["class"].partition(" ")[0] if "class" in attributes else ""
 
 
 def blocks(html: str) -> list[_Node]:
@@ -111,16 +112,13 @@ def blocks(html: str) -> list[_Node]:
 
     def text(raw: str) -> None:
         nonlocal current
+        block = next((e for e in reversed(stack) if e[0] in BLOCK), ("", "", False, ()))
+        if stack and stack[-1][2] and not block[2]:  # a skipped element inside a block
+            return
         if current is None:
-            block = next((e for e in reversed(stack) if e[0] in BLOCK), ("", "", False, ()))
-            noise, main = (stack[-1][2], stack[-1][3]) if stack else (False, ())
-            current = _Node(block[1], noise, main, int(block[0][1]) if block[0] in HEADINGS else 0)
+            current = _Node(block[1], block[2], stack[-1][3] if stack else (), int(block[0][1]) if block[0] in HEADINGS else 0)
             out.append(current)
-        elif stack and stack[-1][2] != current.noise:  # a skipped element inside a block
-            if stack[-1][2]:
-                return
-        if not (stack and stack[-1][2]) or current.noise:
-            current.parts.append(raw)
+        current.parts.append(raw)
 
     def pop(to: int) -> None:
         nonlocal current
@@ -142,7 +140,7 @@ def blocks(html: str) -> list[_Node]:
         name = name.lower()
         if token.group("close"):
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None and (name in BLOCK or not any(e[0] in BLOCK for e in stack[depth + 1 :])):
+            if depth is not None and (name in BLOCK or name in SKIPPED or not any(e[0] in BLOCK for e in stack[depth + 1 :])):
                 pop(depth)
             continue
         if name in VOID:
@@ -167,11 +165,12 @@ def blocks(html: str) -> list[_Node]:
         if name in MAIN:
             mains += 1
             main += (mains,)
-        noise = above[2] or _is_noise(name, token.group("rest"), bool(main))
+        attributes = _attributes(token.group("rest"))
+        noise = above[2] or _is_noise(name, attributes, bool(main))
         if name in BLOCK:
             current = None
         if not token.group("rest").rstrip().endswith("/") or name in BLOCK:
-            stack.append((name, f"{above[1]}/{name}{_label(token.group('rest'))}", noise, main))
+            stack.append((name, f"{above[1]}/{name}{_label(attributes)}", noise, main))
         if name in RAW and stack and stack[-1][0] == name:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(html, at)
             at = raw_end = end.start() if end else len(html)
