@@ -25,3 +25,15 @@ def test_only_attributes_of_their_exact_name_mark_noise():
     assert main_text(f'<article><p><a href="/hidden-gems">{SENTENCES}</a></p></article>') == SENTENCES
     for tag in ("p hidden", 'p HIDDEN=""', "p class='big ad'", "p id=ad-1", "p role = banner", 'p style="Display : none"', 'p aria-hidden="true"'):
         assert main_text(f"<article><p>{SENTENCES}</p><{tag}>No</p></article>") == SENTENCES
+
+
+def test_text_outside_of_article_elements_stays():
+    long = " ".join([SENTENCES] * 4)
+    teasers = "".join(f"<article><h3>Read {k}</h3><p>More of it soon.</p></article>" for k in range(4))
+    body = f'<div class="post"><h1>Head</h1><p>{long}</p><p>{long}</p></div>'
+    found = main_text(f"<body>{body}<div class='rest'>{teasers}</div></body>")
+    assert found.startswith(f"Head\n{long}\n{long}") and "More of it" not in found
+    comment = f'<article class="comment"><p>{SENTENCES}</p></article><article id="related-7"><p>{SENTENCES}</p></article>'
+    assert main_text(f"<body>{body}{comment}</body>") == f"Head\n{long}\n{long}"
+    for name in ("post has-sidebar", "no-comments", "post tag-login", "comments-open"):
+        assert main_text(f'<article class="{name}"><p>{SENTENCES}</p></article>') == SENTENCES

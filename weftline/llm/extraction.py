@@ -48,6 +48,8 @@ NOISE_WORDS = set(
     "comment comments reply replies disqus discussion respond cookie cookies consent notice notices alert gdpr popup modal "
     "newsletter subscribe subscription signup login search pagination pager toolbar toc tags skip".split()
 )
+# Words of class names that say that something stands, or doesn't stand, beside an article.
+STATES = set("has have with no without hide show open closed enabled disabled allow tag category".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -93,8 +95,11 @@ def _is_noise(name: str, attributes: dict[str, str], main: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "").lower()):
         return True
-    if name in ("html", "body") or name in MAIN or (main and name in HEADINGS):
+    if name in ("html", "body", "main") or (main and name in HEADINGS):
         return False
+    if name == "article":  # here a class may tell the state of the page around, as in has-sidebar
+        names = [_WORD.findall(n) for kind in ("class", "id", "role") for n in attributes.get(kind, "").lower().split()]
+        return any(w in NOISE_WORDS for words in names if not STATES.intersection(words) for w in words)
     return any(w in NOISE_WORDS for kind in ("class", "id", "role") for w in _WORD.findall(attributes.get(kind, "").lower()))
 
 
