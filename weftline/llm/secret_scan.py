@@ -1,6 +1,7 @@
 """Secrets in texts: candidates by their form, and a random forest that removes the false positives.
 
-A candidate is a run of characters with digits or changing case, as keys and passwords are. The forest looks at its length, the
+A candidate is a run of characters with digits or changing case, as keys and passwords are, a quoted or delimited part of
+such a run, or whatever is assigned to a name of secrets. The forest looks at its length, the
 transitions between its characters, how much of it dictionary words cover, the path it stands in, and its neighbouring
 words, and is trained on labelled findings.
 """
@@ -28,6 +29,11 @@ _LOWER = np.zeros(256, dtype=bool)
 _LOWER[0x61:0x7B] = True
 _VALUE = re.compile(rb"[A-Za-z0-9+/_\-.~!@#$%^&*]{8,}={0,2}")
 _KEYED = re.compile(rb"""^["'(\[{<]*([A-Za-z][A-Za-z0-9_.\-]*)(=|:)["']?(.+)$""", re.S)
+_NAME = re.compile(rb"""([A-Za-z][A-Za-z0-9_.\-]*)\\?["'`]?\s*[=:]{1,2}>?\s*\\?["'`]?$""")
+_ASSIGNED = re.compile(rb"""[=:]{1,2}>?\s*\\?["'`]?""")
+_QUOTED = re.compile(rb"""(["'`])(.+?)\1""", re.S)
+_DIVIDES = re.compile(rb"""["'`=:&,;{}()\[\]<>\\]""")
+_PIECE = re.compile(rb"""[^"'`=:&,;{}()\[\]<>\\]+(?:={1,2}(?=["'`&,;{}()\[\]<>\\]|$))?""")
 _EDGE = b"\"'`,;:.!?()[]{}<>"
 _TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 # Words that stand beside secrets, and words that stand beside other long strings.
@@ -45,10 +51,11 @@ _SECRET_FORMS = [
     re.compile(rb"AIza[A-Za-z0-9_\-]{35}"), re.compile(rb"sk_(?:live|test)_[A-Za-z0-9]{16,}"), re.compile(rb"glpat-[A-Za-z0-9_\-]{20}"),
 ]
 _OTHER_FORMS = [
-    re.compile(rb"[0-9][0-9.\-/+:]*"), re.compile(rb"[^@]+@[^@]+\.[A-Za-z]+"), re.compile(rb"(?:https?:|www\.|/).*"),
-    re.compile(rb"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"), re.compile(rb"(.)\1*"), re.compile(rb"[A-Za-z]+[0-9]{1,4}"),
-    re.compile(rb"[A-Z]+"),
+    re.compile(rb"[^@]+@[^@]+\.[A-Za-z]+"), re.compile(rb"(?:https?:|www\.|/).*"),
+    re.compile(rb"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"), re.compile(rb"(.)\1*"),
 ]
+# Under a name of secrets these forms tell nothing.
+_PLAIN_FORMS = [re.compile(rb"[0-9][0-9.\-/+:]*"), re.compile(rb"[A-Za-z]+[0-9]{1,4}"), re.compile(rb"[A-Z]+")]
 
 
 @dataclass(frozen=True)
@@ -94,8 +101,39 @@ def dictionary(vocabulary: str, least: int = 3) -> Lexicon:
     return Lexicon(words, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
+def _is_secret_name(key: bytes) -> bool:
+    key = key.lower()
+    return key in _SECRET_WORDS or not _SECRET_WORDS.isdisjoint(re.split(rb"[_.\-]", key))
+
+
+def _parts(word: bytes) -> list[tuple[int, int]]:
+    """Quoted parts of a run, and its delimited parts without marks at their ends."""
+    if not _DIVIDES.search(word):
+        return []
+    out = {m.span(2) for m in _QUOTED.finditer(word)}
+    for m in _PIECE.finditer(word):
+        part = m.group().lstrip(_EDGE)
+        a = m.end() - len(part)
+        if len(part) % 4:  # the sign of an assignment, not the padding of a key
+            part = part.rstrip(b"=")
+        out.add((a, a + len(part.rstrip(_EDGE))))
+    return sorted(s for s in out if s[0] < s[1])
+
+
+def _looks_random(value: bytes) -> bool:
+    """Long enough, with a digit or many changes of case or capitals: what the filter of whole runs asks for."""
+    if len(value) < _LEAST or not _VALUE.search(value):
+        return False
+    if re.search(rb"[0-9]", value):
+        return True
+    return len(value) >= 16 and (len(re.findall(rb"[a-z](?=[A-Z])", value)) >= 2 or len(re.findall(rb"[A-Z]", value)) >= 15)
+
+
 def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, bytes, bytes, bytes]]:
-    """(text, start, end, key, before, after): places in bytes of the text, the name it is assigned to, and its neighbours."""
+    """(text, start, end, key, before, after): places in bytes of the text, the name it is assigned to, and its neighbours.
+
+    A run without white space is one candidate, and each quoted or delimited part of it another one; they may overlap.
+    """
     starts, ends, first = word_spans(data, offsets)
     if not len(starts):
         return []
@@ -107,27 +145,47 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
     inner = turns[ends - 1] - turns[starts]
     capitals = np.cumsum(_UPPER[data])
     large = capitals[ends - 1] - capitals[starts]
-    chosen = np.flatnonzero((ends - starts >= _LEAST) & ((count > 0) | (((inner >= 2) | (large >= 15)) & (ends - starts >= 16))))
-    owner = np.searchsorted(first, chosen, side="right") - 1
+    wanted = (ends - starts >= _LEAST) & ((count > 0) | (((inner >= 2) | (large >= 15)) & (ends - starts >= 16)))
     raw, out = data.tobytes(), []
+    # What is assigned to a name of secrets is a candidate in any form.
+    signs = np.flatnonzero((data == 0x3D) | (data == 0x3A))
+    tops = offsets[np.searchsorted(offsets, signs, side="right") - 1]
+    named = np.zeros(len(starts), bool)
+    for at, top in zip(signs.tolist(), tops.tolist(), strict=True):
+        name = _NAME.search(raw[max(top, at - _CONTEXT) : at + 1])
+        if name and _is_secret_name(name.group(1)):
+            w = int(np.searchsorted(ends, _ASSIGNED.match(raw, at).end(), side="right"))
+            if w < len(starts) and np.searchsorted(offsets, starts[w], side="right") == np.searchsorted(offsets, at, side="right"):
+                named[w] = True
+    chosen = np.flatnonzero(wanted | named)
+    owner = np.searchsorted(first, chosen, side="right") - 1
     for t, w in zip(owner.tolist(), chosen.tolist(), strict=True):
-        a, b = int(starts[w]), int(ends[w])
+        low, high = int(starts[w]), int(ends[w])
         top, bottom = int(offsets[t]), int(offsets[t + 1])
-        word, key = raw[a:b], b""
+        word, key, a = raw[low:high], b"", low
         keyed = _KEYED.match(word)
         if keyed and not keyed.group(3).startswith(b"//"):
-            key, a = keyed.group(1), a + keyed.start(3)
-            word = raw[a:b]
+            key, a = keyed.group(1), low + keyed.start(3)
+        after = raw[high : min(bottom, high + _CONTEXT)]
+        found: dict[tuple[int, int], tuple[bytes, bytes, bytes]] = {}
+
+        def add(a: int, b: int, key: bytes, before: bytes, after: bytes, whole: bool) -> None:
+            if not key:
+                spoken = _NAME.search(before)
+                key = spoken.group(1) if spoken else b""
+            value = raw[a:b]
+            shaped = (wanted[w] and len(value) >= _LEAST and _VALUE.search(value)) if whole else _looks_random(value)
+            if value and (shaped or (named[w] and _is_secret_name(key))):
+                found.setdefault((a, b), (key, before, after))
+
         before = raw[max(top, a - _CONTEXT) : a]
-        after = raw[b : min(bottom, b + _CONTEXT)]
-        if not key:
-            spoken = re.search(rb"""([A-Za-z][A-Za-z0-9_.\-]*)["']?\s*[=:]\s*["']?$""", before)
-            key = spoken.group(1) if spoken else b""
-        stripped = len(word) - len(word.lstrip(_EDGE))
-        a += stripped
-        word = re.split(rb"[\"']", word.lstrip(_EDGE))[0].rstrip(_EDGE)
-        if len(word) >= _LEAST and _VALUE.search(word):
-            out.append((t, a - top, a - top + len(word), key, before, after))
+        lead = raw[a:high]
+        rest = lead.lstrip(_EDGE)
+        own = a + len(lead) - len(rest)
+        add(own, own + len(re.split(rb"[\"']", rest)[0].rstrip(_EDGE)), key, before, after, True)
+        for x, y in _parts(word):
+            add(low + x, low + y, b"", raw[max(top, low + x - _CONTEXT) : low + x], raw[low + y : min(bottom, low + y + _CONTEXT)], False)
+        out += [(t, x - top, y - top, *found[x, y]) for x, y in sorted(found)]
     return out
 
 
@@ -181,8 +239,11 @@ def form_label(value: bytes, key: bytes) -> int | None:
         return 1
     if any(f.fullmatch(value) for f in _OTHER_FORMS):
         return 0
+    named = _is_secret_name(key)
+    if any(f.fullmatch(value) for f in _PLAIN_FORMS):
+        return None if named else 0
     parts = set(re.split(rb"[_.\-]", key.lower())) | {key.lower()}
-    if parts & _SECRET_WORDS and len(value) >= 12 and sum(c in b"0123456789" for c in value) >= 3:
+    if named and len(value) >= 12 and sum(c in b"0123456789" for c in value) >= 3:
         return 1
     return 0 if parts & _OTHER_WORDS else None
 
@@ -282,8 +343,8 @@ def scan(documents: DataFrame, forest: Forest, words: Lexicon) -> DataFrame:
     """doc_id, start, end, name, value_sha256, probability, is_secret of every candidate; one narrow pass.
 
     `documents` has doc_id and text; other columns are not read. Places are code points of the whole text. A null or
-    empty text has no candidates; the same secret twice gives two rows; repeated rows repeat; a null doc_id stays null;
-    no rows give no rows. Values leave the scan as hashes only.
+    empty text has no candidates; the same secret twice gives two rows; a run and its parts have a row each; repeated
+    rows repeat; a null doc_id stays null; no rows give no rows. Values leave the scan as hashes only.
     """
     given = share(documents.sparkSession, (forest, words))
     schema = pa.schema([
@@ -328,9 +389,10 @@ def redact(documents: DataFrame, forest: Forest, words: Lexicon, mark: str = "[S
                     spans.setdefault(f[0], []).append((f[1], f[2]))
             for t, pieces in spans.items():
                 text, done, new = raw[offsets[t] : offsets[t + 1]], 0, []
-                for a, b in pieces:
-                    new += [text[done:a], mark]
-                    done = b
+                for a, b in sorted(pieces):
+                    if a >= done:
+                        new += [text[done:a], mark]
+                    done = max(done, b)  # candidates may overlap
                 now[t] = b"".join([*new, text[done:]]).decode("utf-8")
             out += now
         return pa.array(out, pa.string())
