@@ -43,3 +43,11 @@ def test_secrets_in_one_run_are_redacted(spark, vocabulary):
     forest = secret_scan.fit(secret_scan.labelled_findings(documents, words))
     texts = {r.doc_id: r.text for r in secret_scan.redact(documents, forest, words).collect()}
     assert all(KEY not in texts[k] and texts[k].count("[SECRET]") == 1 and texts[k].startswith("so ") and texts[k].endswith(" end") for k in (100, 101, 102))
+
+
+def test_copies_of_a_finding_train_once(spark, vocabulary):
+    words, method = secret_scan.dictionary(vocabulary), secret_scan.SecretForest(findings=20)
+    rows = [(f"so password={KEY} end",)] * 300 + [(f"so password={k}a{KEY} end",) for k in range(30)]
+    copies = secret_scan.labelled_findings(spark.createDataFrame(rows, "text string").repartition(3), words, method).collect()
+    distinct = secret_scan.labelled_findings(spark.createDataFrame(sorted(set(rows)), "text string"), words, method).collect()
+    assert len(copies) == 10 and sorted(copies) == sorted(distinct)

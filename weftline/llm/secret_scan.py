@@ -315,20 +315,35 @@ def _found(texts: pa.Array, words: Lexicon):
 
 
 def labelled_findings(documents: DataFrame, words: Lexicon, method: SecretForest = SecretForest()) -> DataFrame:
-    """features, label of findings whose form tells what they are; at most so many of each label, those with the smallest hashes."""
-    given = share(documents.sparkSession, words)
+    """features, label of findings whose form tells what they are, one of each value and key.
+
+    There are at most so many of each label, those with the smallest hashes.
+    """
+    given, most = share(documents.sparkSession, words), method.findings // 2
     schema = pa.schema([("label", pa.int32()), ("order", pa.int64()), ("features", pa.list_(pa.float64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: tuple[dict, dict] = {}, {}  # of each label: features by order, the smallest ones
         for batch in text_slices(batches, "text"):
             _, _, found, values, table = _found(batch.column(0), given.value)
             labels = [form_label(v, f[3]) for v, f in zip(values, found, strict=True)]
             rows = [k for k, label in enumerate(labels) if label is not None]
             order = [int.from_bytes(hashlib.blake2b(values[k] + b"|" + found[k][3], digest_size=8).digest(), "little", signed=True) for k in rows]
-            yield record_batch(schema, [labels[k] for k in rows], order, [table[k] for k in rows])
+            for k, at in zip(rows, order, strict=True):
+                own = kept[labels[k]]
+                if at not in own or table[k].tolist() < own[at].tolist():
+                    own[at] = table[k].copy()
+            for own in kept:
+                if len(own) > 2 * most:
+                    for at in sorted(own)[most:]:
+                        del own[at]
+        for label, own in enumerate(kept):
+            chosen = sorted(own)[:most]
+            yield record_batch(schema, [label] * len(chosen), chosen, [own[at] for at in chosen])
 
     findings = documents.select("text").mapInArrow(task, "label int, order long, features array<double>")
-    each = [findings.filter(F.col("label") == c).orderBy("order", "features").limit(method.findings // 2) for c in (0, 1)]
+    single = findings.groupBy("label", "order").agg(F.min("features").alias("features"))
+    each = [single.filter(F.col("label") == c).orderBy("order").limit(most) for c in (0, 1)]
     return each[0].unionByName(each[1]).select("features", "label")
 
 
