@@ -2,7 +2,8 @@
 
 A region that differs from an item of m bytes by at most e edits shares at least m - q + 1 - q*e of its q-grams, all on
 e + 1 neighbouring diagonals. Shared q-grams are counted in overlapping bands of diagonals; regions that reach the
-bound are aligned with the item inside their band.
+bound are aligned with the item inside their band. The same holds for each window of an item, so parts of long items are
+found too. Items that are too short for edits are matched as they are, at the borders of words.
 """
 
 from __future__ import annotations
@@ -25,20 +26,26 @@ _Q = 8
 _BITS = 22
 _FACTOR = U64(0x9E3779B97F4A7C15)
 _FAR = 1 << 20
+_IN_WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 #: Regions that are aligned at a time.
 _TOGETHER = 64
 
 
 @dataclass(frozen=True)
 class EditBudget:
-    """Edits for each byte of an item; items of fewer bytes than `least` are no evidence and never found."""
+    """Edits for each byte of an item or of a window of it; items of fewer bytes than `least` have none.
+
+    Windows begin at every `step`-th byte, so that every part of an item of window + step - 1 bytes holds one.
+    """
 
     share: float = 0.1
     least: int = 40
+    window: int = 96
+    step: int = 8
 
     def edits(self, size: int) -> int:
         """The budget, as far as the lemma still asks for a shared q-gram."""
-        return max(0, min(int(self.share * size), (size - _Q) // _Q))
+        return 0 if size < self.least else max(0, min(int(self.share * size), (size - _Q) // _Q))
 
 
 def normalized(data: np.ndarray) -> np.ndarray:
@@ -46,6 +53,24 @@ def normalized(data: np.ndarray) -> np.ndarray:
     return np.where(IS_SPACE[data], np.uint8(0x20), LOWER[data])
 
 
+def collapsed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Normalized texts with each run of white space as one space, the place that each byte had, and the new offsets."""
+    space = IS_SPACE[data]
+    keep = np.ones(len(data), bool)
+    keep[1:] = ~(space[1:] & space[:-1])
+    keep[offsets[:-1][offsets[:-1] < len(data)]] = True
+    kept = np.flatnonzero(keep)
+    return normalized(data[kept]), kept, np.searchsorted(kept, offsets)
+
+
+def _packed(data: np.ndarray, size: int) -> np.ndarray:
+    """The `size` bytes (7 at most) from each place on as one number."""
+    out = np.zeros(max(0, len(data) - size + 1), np.int64)
+    for k in range(size):
+        out = out << 8 | data[k : k + len(out)]
+    return out
+
+
 def gram_codes(data: np.ndarray) -> np.ndarray:
     """A code of the 8 bytes from each place on. Different grams may share a code, which only adds regions to align."""
     if len(data) < _Q:
@@ -93,21 +118,32 @@ class Searcher:
     """The q-grams of a bounded block of items, and the search for them."""
 
     def __init__(self, items: list[tuple[int, str]], budget: EditBudget):
-        self.ids, self.items, self.edits, self.need = [], [], [], []
+        self.budget, self.ids, self.items, self.edits, self.need, self.window_need = budget, [], [], [], [], []
+        #: Items of less than a q-gram: their numbers by length.
+        self.tiny: dict[int, list[int]] = {}
+        self.window_edits = budget.edits(budget.window)
         codes = []
         for item_id, text in items:
-            data = normalized(np.frombuffer((text or "").encode("utf-8"), np.uint8))
-            if len(data) >= max(budget.least, _Q):
-                self.ids.append(item_id), self.items.append(data), self.edits.append(budget.edits(len(data)))
-                codes.append(gram_codes(data))
+            given = np.frombuffer((text or "").encode("utf-8"), np.uint8)
+            data = np.frombuffer(collapsed(given, np.array([0, len(given)]))[0].tobytes().strip(b" "), np.uint8)
+            if not len(data):
+                continue
+            if len(data) < _Q:
+                self.tiny.setdefault(len(data), []).append(len(self.ids))
+            self.ids.append(item_id), self.items.append(data), self.edits.append(budget.edits(len(data)))
+            codes.append(gram_codes(data))
         often = np.bincount(np.concatenate([*codes, np.empty(0, np.int64)]).astype(np.int64), minlength=1 << _BITS)
         entries = []
+        of_window = budget.window - _Q + 1 - _Q * self.window_edits
         for k, own in enumerate(codes):
             need = len(own) - _Q * self.edits[k]
-            # Leaving out s of an item's grams lowers its bound by s at most: the commonest are left out.
+            parts = len(self.items[k]) > budget.window
+            # Leaving out s of an item's grams lowers its bounds by s at most: the commonest are left out.
+            out = max(0, min(need, of_window) if parts else need) // 2
             order = np.argsort(-often[own], kind="stable")
-            kept = np.sort(order[need // 2 :])
-            self.need.append(need - need // 2)
+            kept = np.sort(order[out:])
+            self.need.append(need - out)
+            self.window_need.append(of_window - out if parts else _FAR)
             entries.append(np.stack([own[kept], np.full(len(kept), k), kept], axis=1))
         table = np.concatenate([*entries, np.empty((0, 3), np.int64)]).astype(np.int64)
         table = table[np.argsort(table[:, 0], kind="stable")]
@@ -115,80 +151,167 @@ class Searcher:
         self.first = (np.cumsum(self.count) - self.count).astype(np.int32)
         self.item, self.place = table[:, 1], table[:, 2]
         self.band = np.array([2 * (e + 1) for e in self.edits], np.int64)
-        self.bound = np.array(self.need, np.int64)
+        self.window_band = np.full(len(self.ids), 2 * (self.window_edits + 1), np.int64)
+        self.bound, self.window_bound = np.array(self.need, np.int64), np.array(self.window_need, np.int64)
+        # Diagonals are counted from where the longest item would begin before the text.
+        self.shift = max((len(i) for i in self.items), default=0)
 
-    def _regions(self, data: np.ndarray) -> list[tuple[int, int]]:
-        """(item, first diagonal of a band) of all bands that reach the bound."""
+    def _hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """(item, its place, diagonal) of all shared grams."""
         codes = gram_codes(data)
         found = np.flatnonzero(self.count[codes])
         if not len(found) or not len(self.ids):
-            return []
+            return None
         hit = codes[found]
         many = self.count[hit]
         ends = np.cumsum(many)
         entry = np.arange(ends[-1]) + np.repeat(self.first[hit] - (ends - many), many)
-        item = self.item[entry]
-        # Diagonals are counted from where the longest item would begin before the text.
-        shift = max(len(i) for i in self.items)
-        diagonal = np.repeat(found, many) - self.place[entry] + shift
-        out, width = set(), self.band[item]
+        place = self.place[entry]
+        return self.item[entry], place, np.repeat(found, many) - place + self.shift
+
+    def _regions(self, item: np.ndarray, diagonal: np.ndarray, band: np.ndarray, bound: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first diagonal, one past the last) of all bands that reach the bound."""
+        out, width = set(), band[item]
         for half in (0, 1):
             number = (diagonal + half * (width // 2)) // width
             keys, counts = np.unique(item << 44 | number, return_counts=True)
-            for key in keys[counts >= self.bound[keys >> 44]].tolist():
+            for key in keys[counts >= bound[keys >> 44]].tolist():
                 k, b = key >> 44, key & ((1 << 44) - 1)
-                w = int(self.band[k])
-                out.add((k, b * w - half * (w // 2) - shift))
+                w = int(band[k])
+                out.add((k, b * w - half * (w // 2) - self.shift))
         # Bands that overlap are one region: two parts that match an item lie further apart than a band is wide.
         merged: list[list[int]] = []
         for k, first in sorted(out):
-            w = int(self.band[k])
+            w = int(band[k])
             if merged and merged[-1][0] == k and first <= merged[-1][1] + w:
                 merged[-1][2] = first + w
             else:
                 merged.append([k, first, first + w])
         return [tuple(r) for r in merged]
 
-    def _candidates(self, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-        """(item, text, start and end of the region, first diagonal) of each text that a region touches."""
-        for k, first, last in self._regions(low):
+    @staticmethod
+    def _texts(low: np.ndarray, offsets: np.ndarray, begin: int, stop: int, least: int) -> Iterator[tuple[int, int, int]]:
+        """(text, start and end of its part) of each text that has so many bytes of a region at least."""
+        begin, stop = max(0, begin), min(len(low), stop)
+        for t in range(int(np.searchsorted(offsets, begin, side="right")) - 1, int(np.searchsorted(offsets, stop, side="left"))):
+            a, b = max(begin, int(offsets[t])), min(stop, int(offsets[t + 1]))
+            if b - a >= least:
+                yield t, a, b
+
+    def _candidates(self, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int, int]]:
+        """(item, start and end of its part, text, start and end of the region, first diagonal, lanes) of whole items and windows."""
+        hits = self._hits(low)
+        if hits is None:
+            return
+        item, place, diagonal = hits
+        for k, first, last in self._regions(item, diagonal, self.band, self.bound):
             size, edits = len(self.items[k]), self.edits[k]
-            begin, stop = max(0, first - edits), min(len(low), last + size + edits)
-            texts = range(int(np.searchsorted(offsets, begin, side="right")) - 1, int(np.searchsorted(offsets, stop, side="left")))
-            for t in texts:
-                a, b = max(begin, int(offsets[t])), min(stop, int(offsets[t + 1]))
-                if b - a >= size - edits:
-                    yield k, t, a, b, first - edits
-
-    def search(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, start, end, edits) of all matches; places are bytes of the text. Of overlapping ones the best stays."""
-        low = normalized(data)
-        candidates = list(self._candidates(low, offsets))
-        found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+            for t, a, b in self._texts(low, offsets, first - edits, last + size + edits, size - edits):
+                yield k, 0, size, t, a, b, first - edits, last - first + 2 * edits + 1
+        regions = self._regions(item, diagonal, self.window_band, self.window_bound)
+        if not regions:
+            return
+        chosen = np.isin(item, sorted({r[0] for r in regions}))
+        item, place, diagonal = item[chosen], place[chosen], diagonal[chosen] - self.shift
+        size, step, edits = self.budget.window, self.budget.step, self.window_edits
+        for k, first, last in regions:
+            places = np.sort(place[(item == k) & (diagonal >= first) & (diagonal < last)])
+            begins = np.unique(np.append(np.arange(0, len(self.items[k]) - size, step), len(self.items[k]) - size))
+            inside = np.searchsorted(places, begins + size - _Q, side="right") - np.searchsorted(places, begins)
+            for begin in begins[inside >= self.window_bound[k]].tolist():
+                for t, a, b in self._texts(low, offsets, first + begin - edits, last + begin + size + edits, size - edits):
+                    yield k, begin, begin + size, t, a, b, first + begin - edits, last - first + 2 * edits + 1
+
+    def _aligned(self, low: np.ndarray, candidates: list) -> Iterator[tuple[tuple, int, int]]:
+        """(candidate, least edits, end of the match) of all candidates."""
         for at in range(0, len(candidates), _TOGETHER):
             some = candidates[at : at + _TOGETHER]
-            lanes = max(2 * int(self.band[c[0]]) + 2 * self.edits[c[0]] + 1 for c in some)
-            first = np.array([c[4] - c[2] for c in some])
-            edits, ends = align([self.items[c[0]] for c in some], [low[c[2] : c[3]] for c in some], first, lanes)
-            good = [(c, int(e), int(z)) for c, e, z in zip(some, edits, ends, strict=True) if e <= self.edits[c[0]]]
-            if not good:
-                continue
-            most = max(self.edits[c[0]] for c, _, _ in good)
-            backward = [low[c[2] : c[2] + z][::-1] for c, _, z in good]
-            items = [self.items[c[0]][::-1] for c, _, _ in good]
-            _, lengths = align(items, backward, np.full(len(good), -most), 2 * most + 1, anchored=True)
+            first = np.array([c[6] - c[4] for c in some])
+            parts = [self.items[c[0]][c[1] : c[2]] for c in some]
+            edits, ends = align(parts, [low[c[4] : c[5]] for c in some], first, max(c[7] for c in some))
+            for c, e, z in zip(some, edits.tolist(), ends.tolist(), strict=True):
+                yield c, e, c[4] + z
+
+    def _spans(self, low: np.ndarray, matches: list) -> Iterator[tuple[tuple, int, int, int]]:
+        """(candidate, edits, start, end) of all matches: their starts by alignment from their ends."""
+        for at in range(0, len(matches), _TOGETHER):
+            good = matches[at : at + _TOGETHER]
+            most = max(max(e for _, e, _ in good), 1)
+            items = [self.items[c[0]][c[1] : c[2]][::-1] for c, _, _ in good]
+            _, lengths = align(items, [low[c[4] : z][::-1] for c, _, z in good], np.full(len(good), -most), 2 * most + 1, anchored=True)
             for (c, e, z), length in zip(good, lengths.tolist(), strict=True):
-                end = c[2] + z - int(offsets[c[1]])
-                found.setdefault((c[1], c[0]), []).append((e, max(0, end - length), end))
+                yield c, e, max(c[4], z - length), z
+
+    def _joined(self, low: np.ndarray, offsets: np.ndarray, matches: list) -> list:
+        """Matching windows that overlap in item and text as one part of the item, aligned anew."""
+        parts: list[list[int]] = []
+        for c, _, start, end in sorted(matches, key=lambda m: (m[0][0], m[0][3], m[2] - m[0][1], m[0][1])):
+            last = parts[-1] if parts else None
+            near = last and last[0] == c[0] and last[3] == c[3] and abs((start - c[1]) - (last[4] - last[1])) <= 2 * int(self.window_band[c[0]])
+            if near and c[1] <= last[2] and c[2] >= last[1]:
+                last[1], last[2], last[4], last[5] = min(last[1], c[1]), max(last[2], c[2]), min(last[4], start), max(last[5], end)
+            else:
+                parts.append([c[0], c[1], c[2], c[3], start, end])
+        spread = 4 * (self.window_edits + 1)
+        again = []
+        for k, x, y, t, start, end in parts:
+            a, b = max(int(offsets[t]), start - spread), min(int(offsets[t + 1]), end + spread)
+            again.append((k, x, y, t, a, b, start - spread, 2 * spread + abs(end - start - (y - x)) + spread))
+        return [(c, e, z) for c, e, z in self._aligned(low, again) if e < c[2] - c[1]]
+
+    def _short(self, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) of all places of items that are shorter than a gram."""
+        for size, numbers in self.tiny.items():
+            codes = _packed(low, size)
+            for k in numbers:
+                for start in np.flatnonzero(codes == _packed(self.items[k], size)[0]).tolist():
+                    if start + size <= offsets[np.searchsorted(offsets, start, side="right")]:
+                        yield k, start, start + size
+
+    def search(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, start, end, edits) of all matches; places are bytes of the text.
+
+        Of overlapping ones a whole item stays before parts of it, and then the best.
+        """
+        low, kept, bounds = collapsed(data, offsets)
+        candidates = list(self._candidates(low, bounds))
+        full = [c for c in candidates if c[2] - c[1] == len(self.items[c[0]])]
+        whole = [(c, e, z) for c, e, z in self._aligned(low, full) if e <= self.edits[c[0]]]
+        # Windows where the whole item is need no look: it stays before its parts.
+        places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for c, _, z in whole:
+            places.setdefault((c[0], c[3]), []).append((z - len(self.items[c[0]]), z))
+        windows = [c for c in candidates if c[2] - c[1] < len(self.items[c[0]])]
+        windows = [c for c in windows if not any(x < (c[4] + c[5]) // 2 < y for x, y in places.get((c[0], c[3]), []))]
+        windows = [(c, e, z) for c, e, z in self._aligned(low, windows) if e <= self.window_edits]
+        # (text, item) -> (part, edits, start, end)
+        found: dict[tuple[int, int], list[tuple[bool, int, int, int]]] = {}
+        parts = self._joined(low, bounds, list(self._spans(low, windows)))
+        for c, e, start, end in self._spans(low, [*whole, *parts]):
+            part = c[2] - c[1] < len(self.items[c[0]])
+            if len(self.items[c[0]]) >= self.budget.least or self._at_words(low, bounds, start, end):
+                found.setdefault((c[3], c[0]), []).append((part, e, start, end))
+        for k, start, end in self._short(low, bounds):
+            if self._at_words(low, bounds, start, end):
+                found.setdefault((int(np.searchsorted(bounds, start, side="right")) - 1, k), []).append((False, 0, start, end))
         out = []
         for (t, k), spans in sorted(found.items()):
             taken: list[tuple[int, int]] = []
-            for distance, start, end in sorted(spans):
+            for _, distance, start, end in sorted(spans):
                 if all(end <= s or start >= e for s, e in taken):
                     taken.append((start, end))
-                    out.append((t, self.ids[k], start, end, distance))
+                    out.append((t, self.ids[k], int(kept[start] - offsets[t]), int(kept[end - 1] + 1 - offsets[t]), distance))
         return out
 
+    @staticmethod
+    def _at_words(low: np.ndarray, offsets: np.ndarray, start: int, end: int) -> bool:
+        """Whether a place neither begins nor ends within a word of its text."""
+        t = int(np.searchsorted(offsets, start, side="right")) - 1
+        for inner, outer, inside in ((start, start - 1, start > offsets[t]), (end - 1, end, end < offsets[t + 1])):
+            if inside and _IN_WORD[low[inner]] and _IN_WORD[low[outer]]:
+                return False
+        return True
+
 
 def _blocks(benchmark: DataFrame, budget: EditBudget) -> Iterator[Searcher]:
     """Searchers for all items, each of bounded size."""
@@ -203,9 +326,9 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, budget: EditBudget
     """doc_id, item_id, start, end, edits of every passage that is in a document, in places of code points; one narrow pass.
 
     `documents` has doc_id and text, `benchmark` item_id and text; other columns are not read. A null or empty text has no
-    passage; null or short items are never found; null keys stay null; items with the same text are each found; repeated
-    rows repeat. Passages are found in whole texts; a passage that is cut off by more than its budget isn't one. Of
-    overlapping matches with one item the one with the fewest edits is returned. Empty tables give no rows.
+    passage; null and blank items are never found; null keys stay null; items with the same text are each found; repeated
+    rows repeat. Passages are found in whole texts: whole items, and parts of an item that hold a window within its budget.
+    Of overlapping matches with one item a whole one, then the one with the fewest edits is returned. Empty tables give no rows.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())])
     kind, out = "doc_id long, item_id long, start long, end long, edits long", None
