@@ -56,11 +56,12 @@ def word_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(bins) >> U64(64 - _BITS)).astype(np.int64), np.concatenate(owners)
 
 
-def _counted(bins: np.ndarray, owner: np.ndarray, place: np.ndarray, n: int, width: int) -> np.ndarray:
-    """log(1 + count) of the chosen features."""
+def _counted(bins: np.ndarray, owner: np.ndarray, place: np.ndarray, n: int, width: int, times: np.ndarray | None = None) -> np.ndarray:
+    """log(1 + count) of the chosen features; each stands once, or so many times as given."""
     column = place[bins]
     known = column >= 0
-    counts = np.bincount(owner[known] * width + column[known], minlength=n * width).reshape(n, width)
+    weights = None if times is None else times[known]
+    counts = np.bincount(owner[known] * width + column[known], weights, minlength=n * width).reshape(n, width)
     return np.log1p(counts).astype(np.float32)
 
 
@@ -103,11 +104,11 @@ class ToxicityChain:
     method: Chain
 
     @classmethod
-    def fit(cls, features: list[np.ndarray], toxic: np.ndarray, keys: np.ndarray, method: Chain) -> ToxicityChain:
-        """`features`: the hashed features of each document; folds follow from `keys`."""
+    def fit(cls, features: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, keys: np.ndarray, method: Chain) -> ToxicityChain:
+        """`features`: the hashed features of each document, each once, and their counts; folds follow from `keys`."""
         positive, negative = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
-        for own, label in zip(features, toxic.tolist(), strict=True):
-            (positive if label == 1 else negative)[np.unique(own)] += 1
+        for (own, _), label in zip(features, toxic.tolist(), strict=True):
+            (positive if label == 1 else negative)[own] += 1
         odds = np.log((positive + 0.5) / (toxic.sum() + 1)) - np.log((negative + 0.5) / ((1 - toxic).sum() + 1))
         # Evidence: the log odds times the square root of how often the feature is seen.
         evidence = np.where(positive + negative >= 3, np.abs(odds) * np.sqrt(positive + negative), 0)
@@ -116,8 +117,8 @@ class ToxicityChain:
         place = np.full(1 << _BITS, -1, np.int64)
         place[chosen] = np.arange(len(chosen))
         x = np.zeros((len(features), len(chosen)), np.float32)
-        for row, own in zip(x, features, strict=True):
-            row += _counted(own, np.zeros(len(own), np.int64), place, 1, len(chosen))[0]
+        for row, (own, times) in zip(x, features, strict=True):
+            row += _counted(own, np.zeros(len(own), np.int64), place, 1, len(chosen), times)[0]
         groups = cls._groups(x * np.maximum(odds[chosen], 0), toxic, method.categories)
         targets = [(groups == c).astype(np.float32) for c in range(method.categories)] + [toxic.astype(np.float32)]
         fold, weights = keys % method.folds, []
@@ -167,7 +168,7 @@ class ToxicityChain:
 
 def fit(documents: DataFrame, labels: DataFrame, method: Chain = Chain()) -> ToxicityChain:
     """Learn from a sample of labelled documents of bounded size."""
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -175,13 +176,13 @@ def fit(documents: DataFrame, labels: DataFrame, method: Chain = Chain()) -> Tox
             order = np.argsort(owner, kind="stable")
             bounds = np.searchsorted(owner[order], np.arange(batch.num_rows + 1))
             sets = [np.unique(bins[order[a:b]], return_counts=True) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            rows = [np.repeat(values, np.minimum(counts, 8)).astype(np.int32) for values, counts in sets]
-            yield record_batch(schema, batch.column(0), batch.column(2), rows)
+            yield record_batch(schema, batch.column(0), batch.column(2), [values.astype(np.int32) for values, _ in sets], [counts for _, counts in sets])
 
     share(documents.sparkSession, None)
     sample = labelled_sample(documents, labels, "toxic", method.labelled)
-    table = sample.mapInArrow(task, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")
-    features = [np.asarray(f) for f in table.column(2).combine_chunks().to_numpy(zero_copy_only=False)] if len(table) else []
+    table = sample.mapInArrow(task, "doc_id long, label int, features array<int>, counts array<long>").toArrow().sort_by("doc_id")
+    columns = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) if len(table) else [] for k in (2, 3)]
+    features = [(np.asarray(f), np.asarray(c)) for f, c in zip(*columns, strict=True)]
     keys = np.array([abs(int(i)) * 2654435761 % (1 << 32) >> 8 for i in table.column(0).to_pylist()], np.int64)
     return ToxicityChain.fit(features, np.array(table.column(1).to_pylist(), np.int64), keys, method)
 
