@@ -11,9 +11,12 @@ from weftline.llm.extraction import extract
 from weftline.llm.fingerprints import edited_fingerprints
 from weftline.llm.neardup import near_duplicates
 from weftline.llm.packing import pack
+from weftline.llm.periodic_runs import Planted, collapse_runs
+from weftline.llm.repeated_passages import remove_repeats
 from weftline.llm.sharding import assign_shards
 from weftline.llm.tokenfiles import read_token_files, write_token_files
 from weftline.llm.tokens import vocabulary_text
+from weftline.llm.whitening import whiten
 from weftline.sources.corpus import read_table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +72,37 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(read_table(spark, folder, "documents"))
+    removed = F.expr("aggregate(zip_with(begins, ends, (b, e) -> e - b), 0L, (total, size) -> total + size)")
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("begins").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of all runs, and of the longest one (of these the first, then that of the smallest period)."""
+    found = collapse_runs(read_table(spark, folder, "documents"), Planted())
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("longest", F.array_max(ranked))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(text, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(read_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +114,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_repeated_passages": op11_repeated_passages,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
 
 _NEAR_DUPLICATES = r"""WITH RECURSIVE words AS (
