@@ -211,3 +211,27 @@ def test_components_of_a_long_path(spark):
 def test_bayes_bound_never_prunes_clear_links():
     for n, least in NearDuplicates().least_matches():
         assert 0 < least < 0.85 * n
+
+
+def test_pairs_are_compared_in_blocks_of_a_hot_node(spark, tmp_path, monkeypatch):
+    """A node with very many others is many groups; each pair is tested once, on signatures as on sets."""
+    monkeypatch.setattr(neardup, "NODE_BLOCKS", 7)
+    values = {bytes([k]): np.arange(k, k + 20 + k % 3, dtype="<u8") for k in range(200)}
+    table = spark.createDataFrame([(k, v.tobytes()) for k, v in values.items()], "node binary, shingles binary")
+    pairs = [(bytes([0]), bytes([k])) for k in range(1, 200)] + [(bytes([9]), bytes([10])), (bytes([9]), bytes([150]))]
+
+    def test(one, others):
+        return np.array([len(np.intersect1d(one, o)) >= 10 for o in others])
+
+    frame = spark.createDataFrame(pairs, "one binary, other binary").repartition(5)
+    found = neardup._compared(frame, table, "shingles", "<u8", test).collect()
+    want = [(a, b) for a, b in pairs if len(np.intersect1d(values[a], values[b])) >= 10]
+    assert sorted((bytes(r["one"]), bytes(r["other"])) for r in found) == sorted(want)
+
+
+def test_signatures_rule_pairs_out_in_batches():
+    method = NearDuplicates()
+    rng = np.random.default_rng(2)
+    one = rng.integers(0, 1 << 16, method.hashes).astype(np.uint16)
+    others = np.stack([np.where(rng.random(method.hashes) < share, one, one ^ 1) for share in (1.0, 0.95, 0.85, 0.5, 0.1)])
+    assert neardup._plausible(one, others, method.least_matches()).tolist() == [True, True, True, False, False]

@@ -26,6 +26,8 @@ BROADCAST_BYTES = 16 << 20
 #: Times more pivots a bucket in each round; pivots and members of a bucket that are compared in one block.
 MORE_PIVOTS = 16
 PIVOT_BLOCK, MEMBER_BLOCK = 256, 2048
+#: Blocks that the others of one node are dealt to when pairs are compared.
+NODE_BLOCKS = 1024
 _CHUNK = 1 << 15
 
 
@@ -151,16 +153,16 @@ class _Verifier:
         needed = materialize(members.select("node").distinct(), "needed-nodes")
         self.signatures = materialize(_joined(classes, needed, ["node"]).select("node", "doc_id", "signature"), "signatures")
         given = share(documents.sparkSession, method)
-        schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+        schema = pa.schema([("node", pa.binary()), ("shingles", pa.binary())])
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in text_slices(batches, "text"):
                 sets = [s for s in shingle_sets(batch.column(0), given.value.words) if len(s)]
-                yield record_batch(schema, [set_digest(s) for s in sets], [s.astype(np.int64) for s in sets])
+                yield record_batch(schema, [set_digest(s) for s in sets], [s.astype("<u8").tobytes() for s in sets])
 
         ids = materialize(self.signatures.select("doc_id").distinct(), "needed-documents")
         texts = _joined(documents.select(F.col("doc_id").cast("long"), "text"), ids, ["doc_id"])
-        self.sets = materialize(texts.select("text").mapInArrow(task, "node binary, shingles array<long>"), "shingle-sets")
+        self.sets = materialize(texts.select("text").mapInArrow(task, "node binary, shingles binary"), "shingle-sets")
 
     def plausible(self, members: DataFrame, pivots: DataFrame) -> DataFrame:
         """one, other: the pairs of a pivot and a later member of its block with another root that the signatures don't rule out.
@@ -182,13 +184,8 @@ class _Verifier:
             roots = np.array([r[2] for r in others], object)
             for _, node, root, signature in (r for r in rows if r[0]):
                 alive = np.flatnonzero((nodes > node) & (roots != root))
-                one, matches, before = np.frombuffer(signature, "<u2"), np.zeros(len(alive), np.int64), 0
-                for n, least in rule:
-                    if not len(alive):
-                        break
-                    matches = matches + (signatures[alive, before:n] == one[before:n]).sum(axis=1)
-                    keep = matches >= least
-                    alive, matches, before = alive[keep], matches[keep], n
+                one = np.frombuffer(signature, "<u2")
+                alive = alive[_plausible(one, signatures[alive], rule)]
                 if len(alive) and band:
                     same = signatures[alive, : band * per_band] == one[: band * per_band]
                     alive = alive[~same.reshape(len(alive), band, per_band).all(axis=2).any(axis=1)]
@@ -218,13 +215,77 @@ class _Verifier:
         dealt = signed.repartition(shuffle_partitions(signed.sparkSession), "bucket", "mine", "theirs")
         return dealt.sortWithinPartitions("bucket", "mine", "theirs").mapInArrow(task, "one binary, other binary")
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (one, other) that the signatures don't rule out."""
+        rule = self.method.least_matches()
+
+        def test(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+            return _plausible(one, np.stack(others), rule)
+
+        return _compared(materialize(pairs, "pairs"), self.signatures.select("node", "signature"), "signature", "<u2", test)
+
     def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (one, other) at or above the threshold, each by its whole sets."""
-        first = materialize(pairs, "plausible-pairs").join(self.sets.toDF("other", "b"), ["other"])
-        both = first.join(self.sets.toDF("one", "a"), ["one"])
-        common = F.size(F.array_intersect("a", "b"))
-        near = both.select("one", "other", common.alias("n"), (F.size("a") + F.size("b") - common).alias("union"))
-        return near.filter(100 * F.col("n") >= self.method.percent * F.col("union")).select("one", "other").distinct()
+        """The pairs (one, other) at or above the threshold, each by its whole sets, and each once."""
+        percent = self.method.percent
+
+        def test(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+            common = np.array([np.isin(other, one, assume_unique=True).sum() for other in others])
+            size = np.array([len(other) for other in others])
+            return 100 * common >= percent * (len(one) + size - common)
+
+        return _compared(materialize(pairs.distinct(), "plausible-pairs"), self.sets, "shingles", "<i8", test)
+
+
+def _plausible(one: np.ndarray, others: np.ndarray, rule: list[tuple[int, int]]) -> np.ndarray:
+    """Which signatures stay after all batches: a pair goes at the first one with too few matches."""
+    alive, matches, before = np.arange(len(others)), np.zeros(len(others), np.int64), 0
+    for n, least in rule:
+        matches = matches + (others[alive, before:n] == one[before:n]).sum(axis=1)
+        keep = matches >= least
+        alive, matches, before = alive[keep], matches[keep], n
+        if not len(alive):
+            break
+    out = np.zeros(len(others), bool)
+    out[alive] = True
+    return out
+
+
+def _compared(pairs: DataFrame, table: DataFrame, column: str, kind: str, test) -> DataFrame:
+    """The pairs (one, other; distinct, a written table) whose values (node, a column of bytes) pass a test.
+
+    The others of a node are dealt to blocks by their hash, and the value of the node goes once to each of its blocks, so a
+    node with very many others is many groups, and a row carries one value, not two.
+    """
+    spark = pairs.sparkSession
+    schema = pa.schema([("one", pa.binary()), ("other", pa.binary())])
+    share(spark, None)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, value = None, None
+        for batch in batches:
+            ones, blocks, others, values = (c.to_pylist() for c in batch.columns)
+            out, low = [], 0
+            while low < len(ones):
+                if others[low] is None:  # the node itself comes before its others
+                    held, value = (ones[low], blocks[low]), np.frombuffer(values[low], kind)
+                    low += 1
+                    continue
+                high = low
+                while high < len(ones) and (ones[high], blocks[high]) == held and others[high] is not None:
+                    high += 1
+                if high == low:
+                    raise ValueError("a pair without the value of its node")
+                passed = test(value, [np.frombuffer(v, kind) for v in values[low:high]])
+                out += [(held[0], others[low + k]) for k in np.flatnonzero(passed)]
+                low = high
+            yield record_batch(schema, [a for a, _ in out], [b for _, b in out])
+
+    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("other"), F.lit(NODE_BLOCKS)).cast("int"))
+    right = _joined(dealt, table.withColumnRenamed("node", "other"), ["other"]).select("one", "block", "other", column)
+    left = _joined(dealt.select("one", "block").distinct(), table.withColumnRenamed("node", "one"), ["one"])
+    left = left.select("one", "block", F.lit(None).cast("binary").alias("other"), column)
+    rows = left.union(right).repartition(shuffle_partitions(spark), "one", "block")
+    return rows.sortWithinPartitions("one", "block", F.asc_nulls_first("other")).mapInArrow(task, "one binary, other binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -286,7 +347,8 @@ def _connected(members: DataFrame, verifier: _Verifier) -> DataFrame:
     # One pivot for each member first: it connects most members of large groups at the price of one check each.
     least = members.groupBy("bucket").agg(F.min("node").alias("one"))
     stars = members.join(least, ["bucket"]).filter("node > one").groupBy("node").agg(F.min("one").alias("one"))
-    roots = _merge(roots, materialize(verifier.links(stars.select("one", F.col("node").alias("other"))), "links"))
+    stars = verifier.likely(stars.select("one", F.col("node").alias("other")))
+    roots = _merge(roots, materialize(verifier.links(stars), "links"))
     left, pivots = members, 1
     while True:
         rooted = materialize(_joined(left, roots, ["node"]), "rooted")
