@@ -17,7 +17,8 @@ from weftline.functions.network import (
 )
 from weftline.functions.positional import positional_vector
 from weftline.operators import evaluation, scoring
-from weftline.operators.averaging import average_chunks, model_table, parameter_rows, state_of
+from weftline.operators.averaging import average_chunks, parameter_rows
+from weftline.operators.exchange import Average, Layout, SharedFiles, StoredState, assemble, state_table
 from weftline.operators.features import add_positions, embedding_matrix, gather_features
 from weftline.operators.scoring import (
     classify,
@@ -163,9 +164,83 @@ def test_one_shuffle_places_samples(spark, monkeypatch):
     assert "Exchange" not in plan and "PartitionFilters: [isnotnull" in plan and "PushedFilters" in plan
 
 
-def test_too_many_rounds_are_refused(spark):
-    with pytest.raises(ValueError, match="more workers"):
-        plan_rounds(toy_samples(spark), TrainConfig(workers=1, batch_size=1, averaging_frequency=1, most_rounds=599), *KEYS)
+def test_workers_keep_rounds_bounded(spark):
+    """No size is refused: beyond most_rounds an epoch gets more workers."""
+    config = TrainConfig(workers=1, batch_size=1, averaging_frequency=1, most_rounds=50)
+    assert [config.workers_for(n) for n in (0, 50, 51, 10**15)] == [1, 1, 2, 2 * 10**13]
+    rounds = plan_rounds(toy_samples(spark), config, *KEYS)
+    assert (rounds.workers, rounds.n_rounds) == (12, 50)
+    units = rounds.table.where("NOT held_out").collect()
+    assert sum(len(u["target_index"]) for u in units) == 600
+    assert {u["worker"] for u in units} <= set(range(12)) and {u["round"] for u in units} <= set(range(50))
+
+
+@pytest.mark.parametrize("config", [
+    TrainConfig(workers=11, batch_size=5, averaging_frequency=2, epochs=2, hidden_size=4),
+    TrainConfig(workers=40, batch_size=50, averaging_frequency=10, epochs=1, hidden_size=3),  # some see nothing
+])
+def test_one_stage_equals_a_job_for_each_round(spark, config):
+    samples, vocab = toy_samples(spark), vocabulary(spark)
+    one = train(samples, vocab, CONFIG, config, toy_samples(spark, 60), one_stage=True)
+    other = train(samples, vocab, CONFIG, config, toy_samples(spark, 60), one_stage=False)
+    assert isinstance(one.held, StoredState) and isinstance(other.held, dict)
+    for name in other.state:
+        np.testing.assert_allclose(one.state[name], other.state[name], rtol=1e-11, atol=1e-14)
+    columns = ["epoch", "round", "worker", "iteration", "n"]
+    ordered = [m.metrics.orderBy(*columns).collect() for m in (one, other)]
+    assert [r[:5] for r in ordered[0]] == [r[:5] for r in ordered[1]]
+    np.testing.assert_allclose(*[[r[5:] for r in rows] for rows in ordered], rtol=1e-9)
+    cells = [sorted(map(tuple, m.confusions.collect())) for m in (one, other)]
+    assert cells[0] == cells[1]
+
+
+def test_an_epoch_is_a_bounded_number_of_jobs(spark):
+    """Jobs don't follow the rounds: 60 rounds of an epoch make as many as 6."""
+    counts = []
+    for frequency in (1, 10):
+        group = f"rounds-{frequency}"
+        spark.sparkContext.setJobGroup(group, group)
+        config = TrainConfig(workers=2, batch_size=5, averaging_frequency=frequency, epochs=1, hidden_size=2)
+        assert train(toy_samples(spark), vocabulary(spark), CONFIG, config).epochs.first()["n_rounds"] == 60 // frequency
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1] < 40
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 32, 70])
+def test_files_average_level_by_level(tmp_path, tasks):
+    """Tasks in lockstep: all run up to a barrier before any goes on."""
+    import threading
+
+    rng = np.random.default_rng(tasks)
+    states, counts = rng.normal(size=(tasks, 101)), rng.integers(0, 4, tasks)
+    counts[0] = 2
+    gate, found = threading.Barrier(tasks), [None] * tasks
+
+    def task(k):
+        average = Average(SharedFiles(str(tmp_path)), k, tasks, 101, gate.wait)
+        for label in ("a", "b"):
+            found[k] = average.of(label, int(counts[k]), states[k])
+
+    threads = [threading.Thread(target=task, args=(k,)) for k in range(tasks)]
+    [t.start() for t in threads], [t.join() for t in threads]
+    for mean in found:
+        np.testing.assert_allclose(mean, counts @ states / counts.sum(), rtol=1e-12, atol=1e-14)
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("a-")]  # those of the round before are gone
+
+
+def test_layout_and_chunks(spark, monkeypatch):
+    from weftline.operators import exchange
+
+    monkeypatch.setattr(exchange, "CHUNK", 7)
+    state = initial_state(initial_parameters(5, 4, 3, 2))
+    layout = Layout.of_network(5, 4, 3)
+    flat = layout.flat(state)
+    assert flat.size == layout.size and all(np.array_equal(layout.arrays(flat)[n], state[n]) for n in state)
+    rows = [r for low, high in ((0, 10), (10, 11), (11, layout.size)) for r in layout.rows(low, high)]
+    assert np.concatenate([flat[r[3] : r[4]] for r in rows]).tolist() == flat.tolist() and max(r[4] - r[3] for r in rows) <= 7
+    back = assemble(state_table(spark, state).repartition(3).toArrow())
+    assert all(np.array_equal(back[name], state[name]) for name in state)
 
 
 def test_steps_are_those_that_were_made(spark):
@@ -188,12 +263,17 @@ def test_a_saved_epoch_predicts_and_goes_on(spark):
     second = train(samples, vocab, CONFIG, replace(config, epochs=1), state=load_state(spark, first.last_epoch_path()))
     for name in whole.state:
         np.testing.assert_allclose(whole.state[name], second.state[name], rtol=1e-12, atol=1e-15)
+    third = train(samples, vocab, CONFIG, replace(config, epochs=1), state=StoredState(first.last_epoch_path()))
+    for name in whole.state:
+        np.testing.assert_allclose(whole.state[name], third.state[name], rtol=1e-12, atol=1e-15)
     queries = token_frame(spark, [["t1", "t2"], ["t0"], []])
     loaded = load_model(spark, whole.last_epoch_path(), vocab, CONFIG)
     rows = [predict(queries, vocab, vocab, m, CONFIG).collect() for m in (whole, loaded)]
     assert sorted(map(str, rows[0])) == sorted(map(str, rows[1])) and len(rows[0]) == 3
     with pytest.raises(ValueError, match="other features"):
         train(samples, vocab, replace(CONFIG, vocab_size=4), config, state=loaded.state)
+    with pytest.raises(ValueError, match="other features"):
+        train(samples, vocab, replace(CONFIG, vocab_size=4), config, state=StoredState(first.last_epoch_path()))
 
 
 @pytest.mark.parametrize("workers", [2, 8, 64])
@@ -225,8 +305,8 @@ def test_chunked_average_is_weighted_by_samples(spark, fan_in):
 
 def test_model_table_round_trip(spark):
     state = initial_state(initial_parameters(6, 4, 3, 2))
-    table = model_table(spark, state)
-    back = state_of(table)
+    table = state_table(spark, state)
+    back = assemble(table.toArrow())
     assert all(np.array_equal(back[name], state[name]) for name in state)
     rows = {(r["layer"], r["kind"], r["i"], r["j"]): r["value"] for r in parameter_rows(table).collect()}
     assert len(rows) == 3 * (6 * 4 + 4 + 4 * 3 + 3) + 1 and rows[0, "step", 0, 0] == 0

@@ -58,6 +58,7 @@ class WindowConfig:
 
 @dataclass(frozen=True)
 class TrainConfig:
+    #: Workers of a round; more are taken where an epoch would have more than most_rounds.
     workers: int = DEFAULT_WORKERS
     batch_size: int = DEFAULT_BATCH_SIZE
     averaging_frequency: int = DEFAULT_AVERAGING_FREQUENCY
@@ -69,9 +70,14 @@ class TrainConfig:
     seed: int = DEFAULT_SEED
     #: Minibatches between two score rows.
     score_every: int = 1
-    #: Averaging rounds of an epoch, each a Spark job; more are refused before any is run.
-    most_rounds: int = 20_000
+    #: Averaging rounds of an epoch. Rounds follow each other, so their number must not grow with the data.
+    most_rounds: int = 256
 
     @property
     def passes(self) -> int:
         return self.epochs + 1 if self.inclusive_epochs else self.epochs
+
+    def workers_for(self, n_samples: int) -> int:
+        """The workers of a round: those asked for, or as many as keep an epoch of n_samples within most_rounds."""
+        per_round = self.batch_size * self.averaging_frequency * self.most_rounds
+        return max(self.workers, -(-n_samples // per_round))

@@ -72,7 +72,7 @@ def score(
 
 def classify(
     samples: DataFrame,
-    parameters: dict[str, np.ndarray],
+    parameters: dict[str, np.ndarray] | None,
     config: WindowConfig,
     matrix: np.ndarray | None = None,
     digits: int | None = None,
@@ -84,16 +84,16 @@ def classify(
     With digits, scores that agree to that many places count as equal.
 
     A batch is scored in pieces, so that many classes or wide features fit in memory. A caller that scores again and
-    again passes its broadcasts: inputs (share_inputs) and weights (the parameters).
+    again passes its broadcasts: inputs (share_inputs) and weights (the parameters, or a state that tasks read themselves).
     """
     column, to_features = _model_input(samples, config, matrix, inputs)
     shared = weights or share(samples.sparkSession, parameters)
-    widest = max(max(value.shape) for value in parameters.values())
-    rows = max(1, _SCORE_CELLS // widest)
+    cells = _SCORE_CELLS
 
     @F.arrow_udf("long")
     def best(values: pa.Array) -> pa.Array:
         out = [np.empty(0, np.int64)]
+        rows = max(1, cells // max(max(value.shape) for value in shared.value.values()))
         for start in range(0, len(values), rows):
             part = to_features(values.slice(start, rows)).astype(np.float64)
             scores = forward(shared.value, part)

@@ -68,8 +68,8 @@ ALL_CLASSES = CONFIG
 NO_POSITIONS = replace(CONFIG, positional=None)
 #: Byte-pair ids are numbers, so the padding is one too.
 BPE_CONFIG = replace(CONFIG, pad_token="0")
-#: The published setting of the original program, for two epochs.
-TRAINING = TrainConfig(workers=32, batch_size=10, averaging_frequency=10, epochs=2, hidden_size=20)
+#: The published setting of the original program.
+TRAINING = TrainConfig(workers=32, batch_size=10, averaging_frequency=10, epochs=20, hidden_size=20)
 #: Hidden units of the network that is given by a formula.
 FORMULA_HIDDEN = 4
 #: Scores are compared to this many places.

@@ -110,16 +110,19 @@ FROM summed LEFT JOIN vocab ON token = target"""
 
 _TRAIN = """('0x' || substr(md5(concat_ws('-', doc_id, group_id, window_no)), 1, 8))::UBIGINT % 100 < 80"""
 
-#: Labelled windows of the training set with their round and worker; 3,200 samples make a round.
+#: Labelled windows of the training set; a worker sees 100 samples in a round, and workers keep an epoch within 256 rounds.
 _PLACED = f"""WITH {_window_rows()},{_VOCAB},
 labelled AS (
   SELECT {_TRAIN} AS fitted, md5(concat_ws('-', 345, doc_id, group_id, window_no)) AS place, token_index AS label
   FROM wins JOIN vocab ON token = target),
 sizes AS (
-  SELECT CAST(count(*) FILTER (fitted) AS BIGINT) AS n_samples, CAST(count(*) FILTER (NOT fitted) AS BIGINT) AS n_test,
-    (CAST(count(*) FILTER (fitted) AS BIGINT) + 3199) // 3200 AS n_rounds
-  FROM labelled),
-epochs AS (SELECT unnest([0, 1]) AS epoch)"""
+  SELECT *, (n_samples + 100 * n_workers - 1) // (100 * n_workers) AS n_rounds
+  FROM (
+    SELECT *, greatest(32, (n_samples + 25599) // 25600) AS n_workers
+    FROM (
+      SELECT CAST(count(*) FILTER (fitted) AS BIGINT) AS n_samples, CAST(count(*) FILTER (NOT fitted) AS BIGINT) AS n_test
+      FROM labelled))),
+epochs AS (SELECT CAST(unnest(range(0, 20)) AS INTEGER) AS epoch)"""
 
 _QUERY_WORDS = """
 query_text AS (
@@ -302,7 +305,7 @@ FROM epochs, sizes""",
     "training_metrics": f"""{_PLACED},
 placed AS (
   SELECT CAST(('0x' || substr(place, 1, 8))::UBIGINT % n_rounds AS INTEGER) AS round,
-    CAST(('0x' || substr(place, 9, 8))::UBIGINT % 32 AS INTEGER) AS worker
+    CAST(('0x' || substr(place, 9, 8))::UBIGINT % n_workers AS INTEGER) AS worker
   FROM labelled, sizes WHERE fitted),
 seen AS (SELECT round, worker, count(*) AS k FROM placed GROUP BY ALL),
 batches AS (SELECT round, worker, k, unnest(range(0, (k + 9) // 10)) AS iteration FROM seen)

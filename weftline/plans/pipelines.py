@@ -18,6 +18,7 @@ from weftline.operators.scoring import (
 )
 from weftline.operators.split import hash_split
 from weftline.operators.tokens import bpe_tokens, word_tokens
+from weftline.operators.exchange import StoredState, can_share
 from weftline.operators.training import Model, TrainedModel, load_state, train
 from weftline.operators.vocab import attach_vectors, token_counts, vocab_by_id, vocab_from_csv, vocab_index
 from weftline.operators.windows import window_total
@@ -75,7 +76,9 @@ def fit(
     path = scratch_path(spark, "samples")
     samples.where(F.col("target_index") >= 0).write.parquet(path)
     fitted, test = hash_split(spark.read.schema(samples.schema).parquet(path), *keys)
-    state = load_state(spark, resume) if resume else None
+    state = None
+    if resume:
+        state = StoredState(resume) if can_share(spark, resume) else load_state(spark, resume)
     model = train(fitted, vocab, window, config, test, keys, model_path, n_windows, state)
     discard(spark, path)
     return model
@@ -97,7 +100,7 @@ def predict(
         samples = samples.drop("window_no", "target_index")
     else:
         samples = index_windows(windows, vocab)
-    predicted = classify(samples, model.parameters, config, model.matrix)
+    predicted = classify(samples, None, config, model.matrix, weights=model.weights(queries.sparkSession))
     return decode_predictions(predicted.drop("features", "input_index"), names)
 
 
