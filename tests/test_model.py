@@ -1,4 +1,5 @@
 import hashlib
+import threading
 from dataclasses import replace
 
 import numpy as np
@@ -209,24 +210,26 @@ def test_an_epoch_is_a_bounded_number_of_jobs(spark):
 
 @pytest.mark.parametrize("tasks", [1, 3, 32, 70])
 def test_files_average_level_by_level(tmp_path, tasks):
-    """Tasks in lockstep: all run up to a barrier before any goes on."""
-    import threading
-
+    """Tasks side by side; then one that starts again goes through the means that are there."""
     rng = np.random.default_rng(tasks)
     states, counts = rng.normal(size=(tasks, 101)), rng.integers(0, 4, tasks)
     counts[0] = 2
-    gate, found = threading.Barrier(tasks), [None] * tasks
+    found = [[] for _ in range(tasks)]
 
-    def task(k):
-        average = Average(SharedFiles(str(tmp_path)), k, tasks, 101, gate.wait)
-        for label in ("a", "b"):
-            found[k] = average.of(label, int(counts[k]), states[k])
+    def task(k, labels="abc"):
+        average = Average(SharedFiles(str(tmp_path)), k, tasks, 101)
+        for label in labels:
+            found[k].append(average.of(label, 0 if label == "b" else int(counts[k]), states[k]))
 
     threads = [threading.Thread(target=task, args=(k,)) for k in range(tasks)]
     [t.start() for t in threads], [t.join() for t in threads]
-    for mean in found:
-        np.testing.assert_allclose(mean, counts @ states / counts.sum(), rtol=1e-12, atol=1e-14)
-    assert not [p for p in tmp_path.iterdir() if p.name.startswith("a-")]  # those of the round before are gone
+    assert not [p for p in tmp_path.iterdir() if p.name[:1] in "ab" and "-mean-" not in p.name]  # rounds before the last
+    task(tasks - 1)
+    for k, means in enumerate(found):
+        for mean, label in zip(means, "abcabc"):
+            want = states[k] if label == "b" else counts @ states / counts.sum()
+            np.testing.assert_allclose(mean, want, rtol=1e-12, atol=1e-14)
+    assert len(found[-1]) == 6
 
 
 def test_layout_and_chunks(spark, monkeypatch):
