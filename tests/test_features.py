@@ -188,3 +188,18 @@ def test_vocabulary_by_id_decodes_each_id_once(spark):
     pieces = spark.createDataFrame([(0, "!"), (5, "t1"), (6, "zz"), (7, "t1")], "id int, piece string")
     rows = vocab_by_id(vocabulary(spark), pieces).collect()
     assert sorted((r["token"], r["token_index"]) for r in rows) == [(5, 1), (7, 1)]
+
+
+def test_beyond_the_bound_no_vector_is_exchanged_for_an_occurrence(spark):
+    """Indices are exchanged for occurrences; vectors only for the distinct tokens of a segment."""
+    tokens = token_frame(spark, [[f"t{(i * i + d) % 5}" for i in range(300)] for d in range(3)] + [[], ["t1"], ["none"] * 9])
+    vocab = spark.createDataFrame(
+        [(f"t{i}", i, [float(i + j) for j in range(4)]) for i in range(4)], "token string, token_index long, vector array<float>"
+    )
+    config = WindowConfig(window_size=3, stride=2, embedding_dim=4)
+    small, large = embed_windows(tokens, vocab, config), embed_windows(tokens, vocab, config, limit=0)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    # Where vectors meet their keys, rows are (segment, distinct index); arrays by position hold indices only.
+    assert "array_distinct(" in plan and plan.index("array_distinct(") > plan.index("map_from_entries(")
+    assert not [line for line in plan.splitlines() if "collect_list(struct(pos" in line and "vector" in line]

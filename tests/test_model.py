@@ -452,3 +452,19 @@ def test_beyond_the_bound_features_are_joined_and_predicted(spark):
     first = predict(queries, vocab, vocab, small, CONFIG).collect()
     second = predict(queries, vocab, vocab, large, CONFIG).collect()
     assert sorted(map(str, first)) == sorted(map(str, second)) and len(first) == 4
+
+
+def test_a_quarter_million_classes_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "_SCORE_CELLS", 1_000_000)
+    n_classes = 250_000
+    rng = np.random.default_rng(4)
+    parameters = {**initial_parameters(8, 3, n_classes, 5), "b1": rng.normal(size=n_classes)}
+    parameters["w1"][:, 200_001] = parameters["w1"][:, 140_007]  # a tie: the first one counts
+    parameters["b1"][[140_007, 200_001]] = 30.0
+    features = rng.normal(size=(40, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(k, f.tolist()) for k, f in enumerate(features)], "id long, features array<float>")
+    got = {r["id"]: r["prediction"] for r in classify(rows, parameters, CONFIG).collect()}
+    assert got == dict(enumerate(forward(parameters, features.astype(np.float64)).argmax(axis=1)))
+    assert 140_007 in got.values() and 200_001 not in got.values()
+    sizes = score(rows.coalesce(1), parameters, CONFIG).select(F.size("scores").alias("n")).distinct().collect()
+    assert [r["n"] for r in sizes] == [n_classes]

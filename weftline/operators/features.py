@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.config import WindowConfig
 from weftline.functions.arrays import one_hot, pad_right, zeros
@@ -16,7 +18,10 @@ from weftline.functions.positional import add_vector, positional_vector
 from weftline.operators.lookup import index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
 from weftline.operators.windows import segment_windows, segments, sliding_windows
-from weftline.session import by_key, fits_broadcast, other_columns, share
+from weftline.session import by_key, fits_broadcast, other_columns, share, table_bytes
+
+#: Values of feature rows that are gathered at a time.
+FEATURE_CELLS = 4_000_000
 
 
 def checked_size(vector: Column, dim: int) -> Column:
@@ -102,11 +107,15 @@ def index_samples(tokens: DataFrame, vocab: DataFrame, config: WindowConfig, lim
 def embed_windows(tokens: DataFrame, vocab: DataFrame, config: WindowConfig, limit: int | None = None) -> DataFrame:
     """Keys, window_no, features array<float> of window_size x embedding_dim, target_index.
 
-    Vectors are looked up once per token of a segment and then sliced into windows.
+    Vectors are looked up once per token of a segment and then sliced into windows. Beyond the broadcast bound indices
+    are looked up first, and vectors once for each distinct token of a segment.
     """
     rows, keys = _segment_rows(tokens, config)
-    found = token_vector(rows, vocab, config.embedding_dim, limit)
-    parts = _regroup(found, keys, "vector", "token_index")
+    if fits_broadcast(table_bytes(vocab.select("token", "token_index", "vector")), limit):
+        found = token_vector(rows, vocab, config.embedding_dim, limit)
+        parts = _regroup(found, keys, "vector", "token_index")
+    else:
+        parts = _gathered_segments(_regroup(token_index(rows, vocab, limit), keys, "token_index"), keys, vocab, config, limit)
     windows = segment_windows(parts, config, "vector", "token_index")
     pad = F.lit(pad_entry(vocab, config)[1]).cast("array<float>")
     features = F.flatten(pad_right(F.col("vector_input"), config.window_size, pad))
@@ -117,6 +126,24 @@ def embed_windows(tokens: DataFrame, vocab: DataFrame, config: WindowConfig, lim
     )
 
 
+def _gathered_segments(parts: DataFrame, keys: list[str], vocab: DataFrame, config: WindowConfig, limit: int | None) -> DataFrame:
+    """Segments of token_index with vector, their arrays of vectors.
+
+    Only (segment, distinct index) rows meet the vectors; occurrences are filled in from the segment's own map, whose
+    size is bounded by the segment.
+    """
+    named = parts.select(*[F.col(c).alias(f"_{c}") for c in keys], F.explode(F.array_distinct("token_index")).alias("token_index"))
+    vectors = vocab.select("token_index", checked_size(F.col("vector"), config.embedding_dim).alias("vector"))
+    found = lookup(named.where("token_index >= 0"), vectors, "token_index", limit)
+    entries = F.map_from_entries(F.collect_list(F.struct("token_index", "vector"))).alias("_vectors")
+    held = found.groupBy(*[f"_{c}" for c in keys]).agg(entries)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    joined = parts.join(held, same, "left")
+    missing = zeros(config.embedding_dim)
+    filled = F.transform("token_index", lambda index: F.coalesce(F.try_element_at("_vectors", index), missing))
+    return joined.select(*keys, filled.alias("vector"), "token_index")
+
+
 def add_positions(samples: DataFrame, config: WindowConfig) -> DataFrame:
     """Add the positional vector to the features."""
     if config.positional is None:
@@ -158,14 +185,29 @@ def gatherer(shared):
 def gather_features(samples: DataFrame, matrix: np.ndarray, config: WindowConfig) -> DataFrame:
     """Replace input_index by features with positions, an Arrow batch at a time."""
     to_features = gatherer(share_inputs(samples.sparkSession, matrix, config))
+    kept = other_columns(samples, "input_index")
+    place, rows = len(kept), max(1, FEATURE_CELLS // config.feature_size)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, rows):
+            features = float_lists(to_features(part.column(place)))
+            yield part.select(kept).append_column("features", features)
+
+    schema = [samples.schema[c] for c in kept] + [T.StructField("features", T.ArrayType(T.FloatType()))]
+    return samples.select(*kept, "input_index").mapInArrow(task, T.StructType(schema))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, so many at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
 
-    @F.arrow_udf("array<float>")
-    def gathered(index: pa.Array) -> pa.Array:
-        rows = to_features(index)
-        bounds = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(rows.ravel()))
 
-    return samples.withColumn("features", gathered("input_index")).drop("input_index")
+def float_lists(rows: np.ndarray) -> pa.ListArray:
+    """A list for each row of a matrix, of fewer than 2^31 cells."""
+    bounds = np.arange(len(rows) + 1, dtype=np.int64) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(rows.ravel()))
 
 
 def with_classes(config: WindowConfig, vocab: DataFrame) -> WindowConfig:

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.config import MISSING_TOKEN, WindowConfig
 from weftline.functions.arrays import argmax, pad_right
-from weftline.functions.network import forward
-from weftline.operators.features import gatherer, share_inputs, token_index, with_classes
+from weftline.functions.network import best_class, forward
+from weftline.operators.features import float_lists, gatherer, pieces, share_inputs, token_index, with_classes
 from weftline.operators.lookup import index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
 from weftline.session import by_key, other_columns, share
 
 
+#: Classes that are scored at a time.
+CLASS_TILE = 8192
 #: Cells of a score matrix that is held at once.
 _SCORE_CELLS = 4_000_000
 
@@ -56,18 +61,20 @@ def score(
 ) -> DataFrame:
     """Add scores array<double>: the forward pass over Arrow batches.
 
-    The parameters have the size that the configuration gives them.
+    Rows leave in pieces of _SCORE_CELLS scores or feature values, so many classes need no more memory at once.
     """
     column, to_features = _model_input(samples, config, matrix)
     shared = share(samples.sparkSession, parameters)
 
-    @F.arrow_udf("array<double>")
-    def network(values: pa.Array) -> pa.Array:
-        out = forward(shared.value, to_features(values).astype(np.float64))
-        bounds = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(out.ravel()))
+    place, cells = samples.columns.index(column), _SCORE_CELLS
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        widest = max(max(value.shape) for value in shared.value.values())
+        for part in pieces(batches, max(1, cells // widest)):
+            out = forward(shared.value, to_features(part.column(place)).astype(np.float64))
+            yield part.append_column("scores", float_lists(out))
 
-    return samples.withColumn("scores", network(column))
+    return samples.mapInArrow(task, T.StructType([*samples.schema, T.StructField("scores", T.ArrayType(T.DoubleType()))]))
 
 
 def classify(
@@ -83,7 +90,8 @@ def classify(
 
     With digits, scores that agree to that many places count as equal.
 
-    A batch is scored in pieces, so that many classes or wide features fit in memory. A caller that scores again and
+    A batch is scored in pieces of rows and, without digits, in tiles of classes with a running maximum, so that many
+    classes or wide features fit in memory. A caller that scores again and
     again passes its broadcasts: inputs (share_inputs) and weights (the parameters, or a state that tasks read themselves).
     """
     column, to_features = _model_input(samples, config, matrix, inputs)
@@ -93,11 +101,15 @@ def classify(
     @F.arrow_udf("long")
     def best(values: pa.Array) -> pa.Array:
         out = [np.empty(0, np.int64)]
-        rows = max(1, cells // max(max(value.shape) for value in shared.value.values()))
+        features, classes = shared.value["w0"].shape[0], max(b.shape[0] for n, b in shared.value.items() if n[0] == "b")
+        tile = classes if digits is not None else min(classes, CLASS_TILE)
+        rows = max(1, cells // max(features, tile))
         for start in range(0, len(values), rows):
             part = to_features(values.slice(start, rows)).astype(np.float64)
-            scores = forward(shared.value, part)
-            out.append((scores if digits is None else scores.round(digits)).argmax(axis=1))
+            if digits is None:
+                out.append(best_class(shared.value, part, tile))
+            else:
+                out.append(forward(shared.value, part).round(digits).argmax(axis=1))
         return pa.array(np.concatenate(out))
 
     return samples.withColumn("prediction", best(column))

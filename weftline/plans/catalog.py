@@ -88,14 +88,17 @@ def _words(spark, folder):
 def _digest(samples: DataFrame, *columns: str) -> DataFrame:
     """Three whole numbers that depend on every value and place of the feature vector.
 
-    Sums of millionths are exact in any order, and run as generated code.
+    They are summed over the array where it is: no row is widened and nothing is shuffled. Sums of millionths are exact.
     """
-    micro = F.floor(F.col("value").cast("double") * 1000000 + 0.5)
-    values = samples.select(*columns, F.posexplode("features").alias("place", "value"))
-    return values.groupBy(*[c for c in values.columns if c not in ("place", "value")]).agg(
-        F.count(F.lit(1)).cast("int").alias("n_features"),
-        F.sum(micro).alias("micro_sum"),
-        F.sum(micro * (F.col("place") + 1)).alias("micro_weighted"),
+    micro = F.transform("features", lambda value: F.floor(value.cast("double") * 1000000 + 0.5))
+    placed = samples.withColumn("micro", micro)
+    weighted = F.transform("micro", lambda value, place: value * (place + 1))
+    zero = F.lit(0).cast("long")
+    return placed.select(
+        *columns,
+        F.size("features").alias("n_features"),
+        F.aggregate("micro", zero, lambda total, value: total + value).alias("micro_sum"),
+        F.aggregate(weighted, zero, lambda total, value: total + value).alias("micro_weighted"),
     )
 
 
