@@ -468,3 +468,18 @@ def test_a_quarter_million_classes_in_tiles(spark, monkeypatch):
     assert 140_007 in got.values() and 200_001 not in got.values()
     sizes = score(rows.coalesce(1), parameters, CONFIG).select(F.size("scores").alias("n")).distinct().collect()
     assert [r["n"] for r in sizes] == [n_classes]
+
+
+def test_mean_gradient_is_that_of_all_samples_at_once(spark, monkeypatch):
+    monkeypatch.setattr(training, "FEATURE_CELLS", 64)
+    vocab, samples = vocabulary(spark), toy_samples(spark, 300).repartition(5)
+    state = initial_parameters(8, 5, 3, 11)
+    matrix = embedding_matrix(vocab, CONFIG)
+    rows = samples.unionByName(toy_samples(spark, 20).withColumn("target_index", F.lit(-1).cast("long")))  # left out
+    found = {r["name"]: np.array(r["cells"]) for r in training.mean_gradient(rows, training.Model(state, matrix), CONFIG).collect()}
+    positions = np.array(positional_vector(spark, 2, 4, "standard"), np.float32)
+    kept = samples.collect()
+    x = (gather(matrix, np.array([r["input_index"] for r in kept])) + positions).astype(np.float64)
+    loss, gradients = loss_and_gradients(state, x, np.array([r["target_index"] for r in kept]))
+    for name, value in {training.LOSS: loss, **gradients}.items():
+        np.testing.assert_allclose(found[name], np.ravel(value), rtol=1e-9, atol=1e-12)

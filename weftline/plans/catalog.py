@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.bpe import BpeVocabulary
 from weftline.operators import evaluation
-from weftline.operators.averaging import average_chunks, parameter_rows
+from weftline.operators.averaging import CHUNK, average_chunks, parameter_rows
 from weftline.operators.features import (
     add_positions,
     embed_windows,
@@ -39,7 +39,7 @@ from weftline.operators.tokens import (
     tokens_to_string,
     word_tokens,
 )
-from weftline.operators.training import Model, read_model
+from weftline.operators.training import LOSS, Model, mean_gradient, read_model
 from weftline.operators.vocab import (
     attach_vectors,
     last_row_wins,
@@ -74,6 +74,8 @@ TRAINING = TrainConfig(workers=32, batch_size=10, averaging_frequency=10, epochs
 FORMULA_HIDDEN = 4
 #: Scores are compared to this many places.
 DIGITS = 6
+#: Cells of a gradient are small.
+GRADIENT_DIGITS = 8
 KEYS = ("doc_id", "group_id", "window_no")
 
 
@@ -452,6 +454,15 @@ def predict_next_token(spark: SparkSession, folder: str) -> DataFrame:
     return predict(word_tokens(query_texts(spark, folder)), vocab, vocab, formula_model(vocab), CONFIG)
 
 
+def formula_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of the network that is given by a formula over the test windows, and its gradient behind the first weights."""
+    test, vocab = _test_windows(spark, folder)
+    found = mean_gradient(test, formula_model(vocab), with_classes(CONFIG, vocab)).where(F.col("name").isin(LOSS, "b0", "w1", "b1"))
+    cells = found.select("name", "chunk", F.posexplode("cells").alias("at", "value"))
+    place = (F.col("chunk").cast("long") * CHUNK + F.col("at")).alias("cell")
+    return cells.select("name", place, F.round("value", GRADIENT_DIGITS).alias("value"))
+
+
 def predict_trained(spark: SparkSession, folder: str) -> DataFrame:
     model, vocab = _trained(spark, folder)
     return predict(word_tokens(query_texts(spark, folder)), vocab, vocab, model, CONFIG)
@@ -505,5 +516,6 @@ QUERIES = {
     "training_confusion": training_confusion,
     "model_params": model_params,
     "predict_next_token": predict_next_token,
+    "formula_gradient": formula_gradient,
     "predict_trained": predict_trained,
 }

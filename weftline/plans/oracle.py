@@ -191,6 +191,35 @@ chosen AS (
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY share DESC, class) = 1)"""
 
 
+#: The same network on the test windows with a label: shares of all classes, and what the loss makes of them.
+_GRADIENT = f"""WITH {_window_rows()},{_VOCAB},{_position_cells(20, 64, "standard")},
+test AS (
+  SELECT row_number() OVER () AS id, input, token_index AS label FROM wins JOIN vocab ON token = target WHERE NOT ({_TRAIN})),
+cells AS (
+  SELECT token_index, unnest(range(0, 64)) AS d, unnest(vector) AS v FROM vocab
+  UNION ALL SELECT -1, unnest(range(0, 64)), CAST(0 AS FLOAT)),
+units AS (SELECT unnest(range(0, 4)) AS h),
+parts AS (
+  SELECT token_index, p, h, sum(CAST(v + pos AS DOUBLE) * (((p * 64 + d) * 7 + h * 13) % 11 - 5) / 100.0) AS s
+  FROM cells JOIN positions USING (d), units GROUP BY token_index, p, h),
+placed AS (SELECT id, unnest(range(0, 20)) AS p, unnest(list_resize(input, 20, NULL)) AS token FROM test),
+hidden AS (
+  SELECT id, h, greatest(sum(s) + h / 10.0, 0.0) AS a
+  FROM (SELECT id, p, coalesce(token_index, -1) AS token_index FROM placed LEFT JOIN vocab USING (token))
+  JOIN parts USING (token_index, p) GROUP BY id, h),
+logits AS (
+  SELECT id, token_index AS class, sum(a * sin((h + 1.0) * (token_index + 1.0))) AS z FROM hidden, vocab GROUP BY id, token_index),
+tops AS (SELECT id, max(z) AS top FROM logits GROUP BY id),
+sums AS (SELECT id, top, sum(exp(z - top)) AS total FROM logits JOIN tops USING (id) GROUP BY id, top),
+errors AS (
+  SELECT id, class, exp(z - top) / total AS share, exp(z - top) / total - CASE WHEN class = label THEN 1 ELSE 0 END AS error, label
+  FROM logits JOIN sums USING (id) JOIN test USING (id)),
+size AS (SELECT count(*) AS n FROM test),
+classes AS (SELECT count(*) AS v FROM vocab),
+back AS (
+  SELECT id, h, sum(error * sin((h + 1.0) * (class + 1.0))) AS e FROM errors, units GROUP BY id, h)"""
+
+
 def _class_counts(pairs: str) -> str:
     return f"""
 classes AS (SELECT label AS class FROM {pairs} UNION SELECT prediction FROM {pairs})
@@ -325,4 +354,11 @@ SELECT CAST(layer AS INTEGER) AS layer, kind, CAST(height * width AS BIGINT) AS
   CAST(height - 1 AS INTEGER) AS max_i, CAST(width - 1 AS INTEGER) AS max_j FROM arrays""",
     "predict_next_token": f"""{_PREDICTED}
 SELECT query_id, prediction, coalesce(token, 'NULL') AS token FROM chosen LEFT JOIN vocab ON token_index = prediction""",
+    "formula_gradient": f"""{_GRADIENT}
+SELECT name, CAST(cell AS BIGINT) AS cell, round(value, 8) AS value FROM (
+  SELECT 'loss' AS name, 0 AS cell, avg(-ln(share)) AS value FROM errors WHERE class = label
+  UNION ALL SELECT 'b1', class, sum(error) / any_value(n) FROM errors, size GROUP BY class
+  UNION ALL SELECT 'w1', h * any_value(v) + class, sum(a * error) / any_value(n)
+    FROM errors JOIN hidden USING (id), size, classes GROUP BY h, class
+  UNION ALL SELECT 'b0', h, sum(CASE WHEN a > 0 THEN e ELSE 0 END) / any_value(n) FROM back JOIN hidden USING (id, h), size GROUP BY h)""",
 }
