@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ from weftline.operators.vocab import (
 )
 from weftline.operators.windows import pad_windows, sliding_windows, window_counts, window_total
 from weftline.plans.pipelines import document_words, fit, predict, query_texts, word_vocab
-from weftline.session import materialize, scratch_path
+from weftline.session import materialize, scratch_path, share
 from weftline.sources.corpus import (
     document_groups,
     document_lines,
@@ -90,18 +91,23 @@ def _words(spark, folder):
 def _digest(samples: DataFrame, *columns: str) -> DataFrame:
     """Three whole numbers that depend on every value and place of the feature vector.
 
-    They are summed over the array where it is: no row is widened and nothing is shuffled. Sums of millionths are exact.
+    They are summed over the array where it is, an Arrow batch at a time: no row is widened and nothing is shuffled. Sums
+    of millionths are exact.
     """
-    micro = F.transform("features", lambda value: F.floor(value.cast("double") * 1000000 + 0.5))
-    placed = samples.withColumn("micro", micro)
-    weighted = F.transform("micro", lambda value, place: value * (place + 1))
-    zero = F.lit(0).cast("long")
-    return placed.select(
-        *columns,
-        F.size("features").alias("n_features"),
-        F.aggregate("micro", zero, lambda total, value: total + value).alias("micro_sum"),
-        F.aggregate(weighted, zero, lambda total, value: total + value).alias("micro_weighted"),
-    )
+
+    @F.arrow_udf("struct<n_features int, micro_sum long, micro_weighted long>")
+    def digested(features: pa.Array) -> pa.Array:
+        values = features.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        sizes = features.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        micro = np.floor(values * 1000000 + 0.5).astype(np.int64)
+        places = np.arange(1, len(micro) + 1) - np.repeat(ends - sizes, sizes)
+        sums = [np.concatenate([[0], np.cumsum(x)]) for x in (micro, micro * places)]
+        columns = [sizes.astype(np.int32), *(x[ends] - x[ends - sizes] for x in sums)]
+        return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=["n_features", "micro_sum", "micro_weighted"])
+
+    share(samples.sparkSession, None)
+    return samples.select(*columns, digested("features").alias("digest")).select(*columns, "digest.*")
 
 
 def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
