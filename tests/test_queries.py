@@ -84,7 +84,7 @@ def test_files_to_prediction(spark, folder, tmp_path):
     )
     epochs = model.epochs.orderBy("epoch").collect()
     assert epochs[1]["mean_loss"] < epochs[0]["mean_loss"]
-    texts = spark.createDataFrame(list(enumerate(["express power", "since war", "free situation"])), "query_id long, text string")
+    texts = spark.createDataFrame(list(enumerate(["open harbour", "green lamp", "quiet morning"])), "query_id long, text string")
     rows = predict(bpe_tokens(texts, bpe), vocab, names, model, window).collect()
     assert len(rows) == 3
     assert all(r["token"] == (pieces[r["prediction"]] if r["prediction"] < 8 else "NULL") for r in rows)
