@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +110,40 @@ def test_file_numbers_do_not_depend_on_how_a_later_scan_packs_files(spark, tmp_p
         for name in settings:
             spark.conf.unset(name)
     assert rows == {7 * file + line: f"{file}-{line}" for file in range(12) for line in range(7)}
+
+
+def test_file_numbers_write_nothing_and_shuffle_counts_only(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    for file in range(5):
+        (folder / f"{file}.txt").write_text("".join(f"{file}-{line}\n" for line in range(100)))
+    root = Path(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")) / "weftline"
+    before = set(root.iterdir()) if root.exists() else set()
+    numbered = text_file_lines(spark, str(folder))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert numbered.count() == 500
+    assert (set(root.iterdir()) if root.exists() else set()) == before
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert exchanges and "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("size", ["64", "1000", "134217728"])
+def test_file_numbers_under_any_cut(spark, tmp_path, size):
+    for file in range(3):
+        (tmp_path / f"{file}.txt").write_text("".join(f"{file}-{'x' * (line % 90)}-{line}\n" for line in range(400 * file)))
+    numbered = text_file_lines(spark, str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        rows = sorted(map(tuple, numbered.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == list(enumerate(f"{file}-{'x' * (line % 90)}-{line}" for file in range(3) for line in range(400 * file)))
+
+
+def test_file_numbers_beyond_the_broadcast_bound(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("".join(f"{line}\n" for line in range(3000)))
+    (tmp_path / "b.txt").write_text("")
+    monkeypatch.setattr("weftline.session.BROADCAST_LIMIT_BYTES", 0)
+    rows = sorted(map(tuple, text_file_lines(spark, str(tmp_path)).collect()))
+    assert rows == [(i, str(i)) for i in range(3000)]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.session import fits_broadcast, materialize, shuffle_partitions, table_bytes
+from weftline.session import fits_broadcast, materialize, shuffle_partitions
 
 _OFFSET_BYTES = 64
 
@@ -20,31 +20,56 @@ def _add_index(tagged: DataFrame, offsets: DataFrame, size: int, keys: list[str]
     if fits_broadcast(size):
         offsets = F.broadcast(offsets)
     changed = F.raise_error(F.lit("the input changed while its rows were being numbered")).cast("long")
-    index = F.coalesce("_offset", changed) + F.col("_id") - F.col("_first")
+    place = F.col("_id") - F.col("_first")
+    inside = (place >= 0) & (F.col("_id") <= F.col("_last"))
+    index = F.when(inside, F.col("_offset") + place).otherwise(changed)
     return tagged.join(offsets, keys, "left").withColumn(name, index)
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Keep the least number of file splits at its value of now, where the session leaves it to Spark.
+
+    Spark takes it from the task slots at hand, which change as executors come and go; two scans of one plan must cut alike.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, spark.sparkContext.defaultParallelism)
+
+
+def _blocks_bytes(scan: DataFrame) -> int:
+    """A bound of the bytes of a row for each file block, from the plan alone.
+
+    Spark packs blocks into partitions that are half full on average at least, so a scan of f files and p partitions
+    has no more than f + 2p blocks.
+    """
+    files = scan.inputFiles()
+    longest = max((len(f.encode()) for f in files), default=0)
+    return (len(files) + 2 * scan.rdd.getNumPartitions()) * (longest + _OFFSET_BYTES)
+
+
 def number_file_rows(scan: DataFrame, name: str) -> DataFrame:
     """Number the rows of a file scan from 0, by file path and then by place in the file.
 
-    The scan is written once with the block and the place of each row, so the numbers don't depend on how a later
-    scan would pack the files; rows per block and offsets come from the written table.
+    Nothing is written: the plan scans the files twice, once to count the rows of each file block and once to number
+    them, and both scans of a job cut and pack the files alike, whatever the settings are when it runs. A row whose
+    block was not counted in the same cut fails the job instead of getting a wrong number. An empty scan has no rows.
     """
-    columns = scan.columns
+    pin_splits(scan.sparkSession)
+    columns, keys = scan.columns, ["_file", "_block", "_length"]
     tagged = scan.select(
         *columns,
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_block_length").alias("_length"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    tagged = materialize(tagged, "file-rows")
-    blocks = tagged.groupBy("_file", "_block").agg(
+    blocks = tagged.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"), F.max("_id").alias("_last")
     )
     torn = F.raise_error(F.lit("the rows of a file block do not stand together")).cast("long")
     blocks = blocks.withColumn("_first", F.when(F.col("_last") - F.col("_first") + 1 == F.col("_rows"), F.col("_first")).otherwise(torn))
-    offsets = materialize(_with_offsets(blocks, ["_file", "_block"]).drop("_rows", "_last"), "block-offsets")
-    return _add_index(tagged, offsets, table_bytes(offsets), ["_file", "_block"], name).select(name, *columns)
+    offsets = _with_offsets(blocks, keys[:2]).drop("_rows")
+    return _add_index(tagged, offsets, _blocks_bytes(scan), keys, name).select(name, *columns)
 
 
 def number_sorted_rows(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -55,7 +80,7 @@ def number_sorted_rows(df: DataFrame, order: list, name: str) -> DataFrame:
     columns = df.columns
     ranked = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
     ranked = materialize(ranked.withColumn("_part", F.spark_partition_id()), "sorted")
-    parts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    parts = ranked.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     offsets = _with_offsets(parts, ["_part"]).drop("_rows")
     most = shuffle_partitions(df.sparkSession)  # a sort makes no more partitions than this
     return _add_index(ranked, offsets, most * _OFFSET_BYTES, ["_part"], name).select(*columns, name)
