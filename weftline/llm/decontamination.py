@@ -8,6 +8,7 @@ found too. Items that are too short for edits are matched as they are, at the bo
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,21 +28,28 @@ _BITS = 22
 _FACTOR = U64(0x9E3779B97F4A7C15)
 _FAR = 1 << 20
 _IN_WORD = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
-#: Regions that are aligned at a time.
+#: Regions that are aligned at a time, and the most cells of their texts where bands are wide.
 _TOGETHER = 64
+_CELLS = 1 << 22
+#: Shared q-grams that are held at a time.
+_HITS = 1 << 20
+#: Item and band or place in one number.
+_LOW = 44
 
 
 @dataclass(frozen=True)
 class EditBudget:
     """Edits for each byte of an item or of a window of it; items of fewer bytes than `least` have none.
 
-    Windows begin at every `step`-th byte, so that every part of an item of window + step - 1 bytes holds one.
+    Windows begin at every `step`-th byte, so that every part of an item of window + step - 1 bytes holds one. An item of
+    more than `whole` bytes is looked for by its windows alone, which are then joined: work grows with its length only.
     """
 
     share: float = 0.1
     least: int = 40
     window: int = 96
     step: int = 8
+    whole: int = 4096
 
     def edits(self, size: int) -> int:
         """The budget, as far as the lemma still asks for a shared q-gram."""
@@ -114,6 +122,57 @@ def align(items: list[np.ndarray], texts: list[np.ndarray], lows: np.ndarray, la
     return edits, stop
 
 
+def _together(items: list, width) -> Iterator[list]:
+    """Runs of items, so few that their number times the largest width stays bounded; one at least."""
+    run, widest = [], 0
+    for item in items:
+        wide = max(widest, width(item))
+        if run and (len(run) == _TOGETHER or (len(run) + 1) * wide > _CELLS):
+            yield run
+            run, wide = [], width(item)
+        run.append(item)
+        widest = wide
+    if run:
+        yield run
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if len(keys) == 1:
+        return keys[0], counts[0]
+    distinct, inverse = np.unique(np.concatenate([*keys, np.empty(0, np.int64)]), return_inverse=True)
+    sums = np.bincount(inverse, np.concatenate([*counts, np.empty(0, np.int64)]), len(distinct))
+    return distinct, sums.astype(np.int64)
+
+
+def _within(spans: list[tuple[int, int]], place: int) -> bool:
+    """Whether a place lies inside one of equally long spans, which are in order."""
+    at = bisect.bisect_left(spans, (place, place))
+    return at > 0 and spans[at - 1][1] > place
+
+
+class _Tally:
+    """Counts of keys over blocks; what is held is a few times the number of distinct keys."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held, self.limit = 0, 4 * _HITS
+
+    def add(self, keys: np.ndarray) -> None:
+        distinct, counts = np.unique(keys, return_counts=True)
+        self.keys.append(distinct), self.counts.append(counts)
+        self.held += len(distinct)
+        if self.held > self.limit:
+            distinct, counts = self.sums()
+            self.limit = max(4 * _HITS, 2 * self.held)
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        distinct, counts = _summed(self.keys, self.counts)
+        self.keys, self.counts, self.held = [distinct], [counts], len(distinct)
+        return distinct, counts
+
+
 class Searcher:
     """The q-grams of a bounded block of items, and the search for them."""
 
@@ -152,43 +211,79 @@ class Searcher:
         self.item, self.place = table[:, 1], table[:, 2]
         self.band = np.array([2 * (e + 1) for e in self.edits], np.int64)
         self.window_band = np.full(len(self.ids), 2 * (self.window_edits + 1), np.int64)
+        self.need = [_FAR if len(i) > budget.whole else n for i, n in zip(self.items, self.need, strict=True)]
         self.bound, self.window_bound = np.array(self.need, np.int64), np.array(self.window_need, np.int64)
         # Diagonals are counted from where the longest item would begin before the text.
         self.shift = max((len(i) for i in self.items), default=0)
 
-    def _hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """(item, its place, diagonal) of all shared grams."""
+    def _hits(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, its place, diagonal) of all shared grams, in blocks of bounded size in the order of the text."""
         codes = gram_codes(data)
         found = np.flatnonzero(self.count[codes])
-        if not len(found) or not len(self.ids):
-            return None
+        if not len(self.ids):
+            return
         hit = codes[found]
-        many = self.count[hit]
-        ends = np.cumsum(many)
-        entry = np.arange(ends[-1]) + np.repeat(self.first[hit] - (ends - many), many)
-        place = self.place[entry]
-        return self.item[entry], place, np.repeat(found, many) - place + self.shift
+        ends, at = np.cumsum(self.count[hit], dtype=np.int64), 0
+        while at < len(found):
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + _HITS, side="right")))
+            many = self.count[hit[at:stop]]
+            own = ends[at:stop] - before
+            entry = np.arange(own[-1]) + np.repeat(self.first[hit[at:stop]] - (own - many), many)
+            place = self.place[entry]
+            yield self.item[entry], place, np.repeat(found[at:stop], many) - place + self.shift
+            at = stop
+
+    @staticmethod
+    def _bands(item: np.ndarray, diagonal: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """Both bands of each hit, as (item, first diagonal in halves of a band)."""
+        width = band[item]
+        bands = [2 * ((diagonal + half * (width // 2)) // width) - half + 1 for half in (0, 1)]
+        return np.concatenate([item << _LOW | b for b in bands])
 
-    def _regions(self, item: np.ndarray, diagonal: np.ndarray, band: np.ndarray, bound: np.ndarray) -> list[tuple[int, int, int]]:
+    def _regions(self, tally: _Tally, band: np.ndarray, bound: np.ndarray) -> list[tuple[int, int, int]]:
         """(item, first diagonal, one past the last) of all bands that reach the bound."""
-        out, width = set(), band[item]
-        for half in (0, 1):
-            number = (diagonal + half * (width // 2)) // width
-            keys, counts = np.unique(item << 44 | number, return_counts=True)
-            for key in keys[counts >= bound[keys >> 44]].tolist():
-                k, b = key >> 44, key & ((1 << 44) - 1)
-                w = int(band[k])
-                out.add((k, b * w - half * (w // 2) - self.shift))
+        keys, counts = tally.sums()
         # Bands that overlap are one region: two parts that match an item lie further apart than a band is wide.
         merged: list[list[int]] = []
-        for k, first in sorted(out):
-            w = int(band[k])
+        for key in keys[counts >= bound[keys >> _LOW]].tolist():
+            k, w = key >> _LOW, int(band[key >> _LOW])
+            first = ((key & ((1 << _LOW) - 1)) - 1) * (w // 2) - self.shift
             if merged and merged[-1][0] == k and first <= merged[-1][1] + w:
                 merged[-1][2] = first + w
             else:
                 merged.append([k, first, first + w])
         return [tuple(r) for r in merged]
 
+    def _windows(self, low: np.ndarray, regions: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+        """(region, start of a window of its item) of all windows that share enough grams within the region.
+
+        Regions are in order and no diagonal of an item lies in more than two, so each hit finds its own by bisection.
+        """
+        items, firsts, lasts = (np.array(c, np.int64) for c in zip(*regions, strict=True))
+        pad, long = int(self.window_band.max()), max(len(i) for i in self.items)
+        heads = items << _LOW | (firsts + self.shift + pad)
+        wanted = np.zeros(len(self.items), bool)
+        wanted[items] = True
+        tally = _Tally()
+        for item, place, diagonal in self._hits(low):
+            chosen = wanted[item]
+            item, place, diagonal = item[chosen], place[chosen], diagonal[chosen]
+            last = np.searchsorted(heads, item << _LOW | (diagonal + pad), side="right") - 1
+            for r in (last, last - 1):
+                own = np.maximum(r, 0)
+                inside = (r >= 0) & (items[own] == item) & (diagonal - self.shift < lasts[own])
+                tally.add(r[inside] * long + place[inside])
+        codes, counts = tally.sums()
+        before = np.concatenate([[0], np.cumsum(counts)])
+        size, step = self.budget.window, self.budget.step
+        for r, k in enumerate(items.tolist()):
+            begins = np.unique(np.append(np.arange(0, len(self.items[k]) - size, step), len(self.items[k]) - size))
+            stop = np.searchsorted(codes, r * long + begins + size - _Q, side="right")
+            inside = before[stop] - before[np.searchsorted(codes, r * long + begins)]
+            for begin in begins[inside >= self.window_bound[k]].tolist():
+                yield r, begin
+
     @staticmethod
     def _texts(low: np.ndarray, offsets: np.ndarray, begin: int, stop: int, least: int) -> Iterator[tuple[int, int, int]]:
         """(text, start and end of its part) of each text that has so many bytes of a region at least."""
@@ -200,32 +295,26 @@ class Searcher:
 
     def _candidates(self, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int, int, int]]:
         """(item, start and end of its part, text, start and end of the region, first diagonal, lanes) of whole items and windows."""
-        hits = self._hits(low)
-        if hits is None:
-            return
-        item, place, diagonal = hits
-        for k, first, last in self._regions(item, diagonal, self.band, self.bound):
+        whole, parts = _Tally(), _Tally()
+        for item, _, diagonal in self._hits(low):
+            whole.add(self._bands(item, diagonal, self.band))
+            parts.add(self._bands(item, diagonal, self.window_band))
+        for k, first, last in self._regions(whole, self.band, self.bound):
             size, edits = len(self.items[k]), self.edits[k]
             for t, a, b in self._texts(low, offsets, first - edits, last + size + edits, size - edits):
                 yield k, 0, size, t, a, b, first - edits, last - first + 2 * edits + 1
-        regions = self._regions(item, diagonal, self.window_band, self.window_bound)
+        regions = self._regions(parts, self.window_band, self.window_bound)
         if not regions:
             return
-        chosen = np.isin(item, sorted({r[0] for r in regions}))
-        item, place, diagonal = item[chosen], place[chosen], diagonal[chosen] - self.shift
-        size, step, edits = self.budget.window, self.budget.step, self.window_edits
-        for k, first, last in regions:
-            places = np.sort(place[(item == k) & (diagonal >= first) & (diagonal < last)])
-            begins = np.unique(np.append(np.arange(0, len(self.items[k]) - size, step), len(self.items[k]) - size))
-            inside = np.searchsorted(places, begins + size - _Q, side="right") - np.searchsorted(places, begins)
-            for begin in begins[inside >= self.window_bound[k]].tolist():
-                for t, a, b in self._texts(low, offsets, first + begin - edits, last + begin + size + edits, size - edits):
-                    yield k, begin, begin + size, t, a, b, first + begin - edits, last - first + 2 * edits + 1
+        size, edits = self.budget.window, self.window_edits
+        for r, begin in self._windows(low, regions):
+            k, first, last = regions[r]
+            for t, a, b in self._texts(low, offsets, first + begin - edits, last + begin + size + edits, size - edits):
+                yield k, begin, begin + size, t, a, b, first + begin - edits, last - first + 2 * edits + 1
 
     def _aligned(self, low: np.ndarray, candidates: list) -> Iterator[tuple[tuple, int, int]]:
         """(candidate, least edits, end of the match) of all candidates."""
-        for at in range(0, len(candidates), _TOGETHER):
-            some = candidates[at : at + _TOGETHER]
+        for some in _together(candidates, lambda c: c[2] - c[1] + c[7]):
             first = np.array([c[6] - c[4] for c in some])
             parts = [self.items[c[0]][c[1] : c[2]] for c in some]
             edits, ends = align(parts, [low[c[4] : c[5]] for c in some], first, max(c[7] for c in some))
@@ -234,8 +323,7 @@ class Searcher:
 
     def _spans(self, low: np.ndarray, matches: list) -> Iterator[tuple[tuple, int, int, int]]:
         """(candidate, edits, start, end) of all matches: their starts by alignment from their ends."""
-        for at in range(0, len(matches), _TOGETHER):
-            good = matches[at : at + _TOGETHER]
+        for good in _together(matches, lambda m: m[0][2] - m[0][1] + 2 * m[1]):
             most = max(max(e for _, e, _ in good), 1)
             items = [self.items[c[0]][c[1] : c[2]][::-1] for c, _, _ in good]
             _, lengths = align(items, [low[c[4] : z][::-1] for c, _, z in good], np.full(len(good), -most), 2 * most + 1, anchored=True)
@@ -282,7 +370,9 @@ class Searcher:
         for c, _, z in whole:
             places.setdefault((c[0], c[3]), []).append((z - len(self.items[c[0]]), z))
         windows = [c for c in candidates if c[2] - c[1] < len(self.items[c[0]])]
-        windows = [c for c in windows if not any(x < (c[4] + c[5]) // 2 < y for x, y in places.get((c[0], c[3]), []))]
+        for spans in places.values():
+            spans.sort()
+        windows = [c for c in windows if not _within(places.get((c[0], c[3]), []), (c[4] + c[5]) // 2)]
         windows = [(c, e, z) for c, e, z in self._aligned(low, windows) if e <= self.window_edits]
         # (text, item) -> (part, edits, start, end)
         found: dict[tuple[int, int], list[tuple[bool, int, int, int]]] = {}
@@ -298,8 +388,9 @@ class Searcher:
         for (t, k), spans in sorted(found.items()):
             taken: list[tuple[int, int]] = []
             for _, distance, start, end in sorted(spans):
-                if all(end <= s or start >= e for s, e in taken):
-                    taken.append((start, end))
+                at = bisect.bisect(taken, (start, end))
+                if (not at or taken[at - 1][1] <= start) and (at == len(taken) or end <= taken[at][0]):
+                    taken.insert(at, (start, end))
                     out.append((t, self.ids[k], int(kept[start] - offsets[t]), int(kept[end - 1] + 1 - offsets[t]), distance))
         return out
 
@@ -328,6 +419,8 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, budget: EditBudget
     `documents` has doc_id and text, `benchmark` item_id and text; other columns are not read. A null or empty text has no
     passage; null and blank items are never found; null keys stay null; items with the same text are each found; repeated
     rows repeat. Passages are found in whole texts: whole items, and parts of an item that hold a window within its budget.
+    Items of more than 4,096 bytes are put together from their windows. Work on a text grows with the q-grams that it shares
+    with items, also where one line or character is repeated all over it.
     Of overlapping matches with one item a whole one, then the one with the fewest edits is returned. Empty tables give no rows.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())])
