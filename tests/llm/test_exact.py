@@ -147,6 +147,43 @@ def test_numbered_kmers_follow_their_definition():
     assert method.likeness(method.signature(one, seeds), method.signature(two, seeds)) < 0.3
 
 
+def plain_mix(x):
+    full = (1 << 64) - 1
+    x = (x + 0x9E3779B97F4A7C15) & full
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & full
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & full
+    return x ^ x >> 31
+
+
+@pytest.mark.parametrize("select", [1, 2, 3])
+def test_signatures_by_plain_loops(monkeypatch, select):
+    monkeypatch.setattr(fingerprints, "_BLOCK", 7)
+    method = OrderMinHash(k=4, select=select, tuples=24)
+    factors, weights = ([int(x) for x in part] for part in method.seeds())
+    for text in ("", "a", "abcd", "abcde", "abababababababab", "so it goes, and so it went, and so it goes", "aaaaaaaaaaaa"):
+        hashes = [int(x) for x in method.numbered(method.kmers(np.frombuffer(text.encode("utf-32-le"), "<u4")))]
+        want = []
+        for factor in factors:
+            ranked = sorted(range(len(hashes)), key=lambda i: ((hashes[i] >> 32) * factor % (1 << 32), i))
+            chosen = sorted(ranked[:select])
+            tuple_ = len(chosen)
+            for weight, place in zip(weights, chosen, strict=False):
+                tuple_ = plain_mix((tuple_ * weight + hashes[place]) % (1 << 64))
+            want.append(tuple_ >> 48 if hashes else 0)
+        assert method.signature(text, method.seeds()).tolist() == want
+
+
+def test_functions_are_independent_on_short_texts():
+    """The spread of the likeness of short texts is that of as many independent draws."""
+    method, rng, found = OrderMinHash(), np.random.default_rng(4), []
+    for _ in range(300):
+        one = "".join(chr(97 + int(c)) for c in rng.integers(0, 9, 60))
+        other = one[:30] + "".join(chr(97 + int(c)) for c in rng.integers(0, 9, 8)) + one[38:]
+        found.append(method.likeness(method.signature(one, method.seeds()), method.signature(other, method.seeds())))
+    share = np.mean(found)
+    assert 0.1 < share < 0.6 and np.std(found) < 1.2 * np.sqrt(share * (1 - share) / method.tuples)
+
+
 def plain_groups(rows, percent, words=5):
     import re
 

@@ -1,8 +1,8 @@
 """Order MinHash fingerprints of whole texts, sensitive to the order of their parts.
 
-Each k-mer of code points is numbered by its occurrence in the text and hashed to h(x). For each of m hash functions
-h(x) - a_j modulo 2^64, with fixed random a_j, the l numbered k-mers with the smallest values are selected: in one sorted
-list they are those that follow a_j. They are put back in the order of the text, and hashed as a tuple. The share of equal
+Each k-mer of code points is numbered by its occurrence in the text and hashed to h(x). For each of m independent hash
+functions a_j * h(x) modulo 2^32, with fixed random odd a_j, the l numbered k-mers with the smallest values are selected
+(of equal values the first in the text). They are put back in the order of the text, and hashed as a tuple. The share of equal
 tuples of two texts estimates a likeness that falls with their edit distance, also when only the order changes.
 """
 
@@ -23,6 +23,8 @@ from weftline.session import shuffle_partitions
 #: Ranges of doc_id for each shuffle partition; neighbours meet within a range.
 RANGES_PER_PARTITION = 4
 _MOST_RANGES = 20_000
+#: k-mers that all functions see at a time.
+_BLOCK = 1 << 12
 
 
 def _place_bits(count: int) -> np.uint64:
@@ -45,7 +47,8 @@ class OrderMinHash:
     tuples: int = 64
 
     def seeds(self) -> tuple[np.ndarray, np.ndarray]:
-        return numbers(self.tuples, 101), numbers(self.select + 1, 303) | U64(1)
+        """The odd factors of the functions, and the weights of a tuple's places."""
+        return (numbers(self.tuples, 101) >> U64(32)).astype(np.uint32) | np.uint32(1), numbers(self.select + 1, 303) | U64(1)
 
     def kmers(self, points: np.ndarray) -> np.ndarray:
         """A 64-bit hash of every k-mer; a text shorter than k is one k-mer, an empty one has none."""
@@ -79,17 +82,32 @@ class OrderMinHash:
         out[at] = mix(kmers[at] ^ (occurrence.astype(U64) * U64(0xD6E8FEB86659FD93)))
         return out
 
+    def selected(self, numbered: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        """The places, in the order of the text, of the smallest k-mers of each function."""
+        take = min(self.select, len(numbered))
+        high, rows = (numbered >> U64(32)).astype(np.uint32), np.arange(len(factors))
+        values, places = [], []
+        for at in range(0, len(high), _BLOCK):
+            table = factors[:, None] * high[at : at + _BLOCK]
+            for left in range(min(take, table.shape[1]), 0, -1):
+                least = np.argmin(table, axis=1)
+                values.append(table[rows, least]), places.append(least + at)
+                if left > 1:
+                    table[rows, least] = np.iinfo(np.uint32).max
+        values, places = np.stack(values, axis=1), np.stack(places, axis=1)
+        if places.shape[1] > take:
+            best = np.argsort(values, axis=1, kind="stable")[:, :take]
+            places = np.take_along_axis(places, best, axis=1)
+        return np.sort(places, axis=1)
+
     def signature(self, text: str, seeds) -> np.ndarray:
         """The hashes of the tuples; an empty text has those of empty tuples."""
-        points, weights = seeds
+        factors, weights = seeds
         numbered = self.numbered(self.kmers(np.frombuffer(text.encode("utf-32-le"), "<u4")))
         if not len(numbered):
             return np.zeros(self.tuples, np.uint16)
         take = min(self.select, len(numbered))
-        order, place = _sorted(numbered)
-        first = np.searchsorted(order, points)
-        chosen = place[(first[:, None] + np.arange(take)) % len(order)]
-        chosen.sort(axis=1)
+        chosen = self.selected(numbered, factors)
         tuples = np.full(self.tuples, U64(take))
         for j in range(take):
             tuples = mix(tuples * weights[j] + numbered[chosen[:, j]])
