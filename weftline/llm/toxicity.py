@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import IS_SPACE, LOWER, U64, fresh, mix, record_batch, share, span_hashes, text_bytes, text_slices, word_spans
 from weftline.llm.quality import labelled_sample
+from weftline.session import materialize
 
 _BITS = 18
 #: Bytes of the beginnings of words that are features beside whole words.
@@ -34,6 +35,14 @@ class Chain:
     penalty: float = 3e-5
     threshold: float = 0.3
 
+    def choose(self, positive: np.ndarray, negative: np.ndarray, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
+        """Log odds of all features from the numbers of documents with them, and the chosen ones, the strongest first."""
+        odds = np.log((positive + 0.5) / (toxic + 1)) - np.log((negative + 0.5) / (clean + 1))
+        # Evidence: the log odds times the square root of how often the feature is seen.
+        evidence = np.where(positive + negative >= 3, np.abs(odds) * np.sqrt(positive + negative), 0)
+        chosen = np.argsort(-evidence, kind="stable")[: self.features]
+        return odds, chosen[evidence[chosen] > 0]
+
 
 def _is_mark() -> np.ndarray:
     table = IS_SPACE.copy()
@@ -109,11 +118,7 @@ class ToxicityChain:
         positive, negative = np.zeros(1 << _BITS), np.zeros(1 << _BITS)
         for (own, _), label in zip(features, toxic.tolist(), strict=True):
             (positive if label == 1 else negative)[own] += 1
-        odds = np.log((positive + 0.5) / (toxic.sum() + 1)) - np.log((negative + 0.5) / ((1 - toxic).sum() + 1))
-        # Evidence: the log odds times the square root of how often the feature is seen.
-        evidence = np.where(positive + negative >= 3, np.abs(odds) * np.sqrt(positive + negative), 0)
-        chosen = np.argsort(-evidence, kind="stable")[: method.features]
-        chosen = chosen[evidence[chosen] > 0]
+        odds, chosen = method.choose(positive, negative, toxic.sum(), (1 - toxic).sum())
         place = np.full(1 << _BITS, -1, np.int64)
         place[chosen] = np.arange(len(chosen))
         x = np.zeros((len(features), len(chosen)), np.float32)
@@ -167,7 +172,11 @@ class ToxicityChain:
 
 
 def fit(documents: DataFrame, labels: DataFrame, method: Chain = Chain()) -> ToxicityChain:
-    """Learn from a sample of labelled documents of bounded size."""
+    """Learn from a sample of labelled documents of bounded size.
+
+    Documents with each feature are counted in Spark; the driver gets these counts, at most one row for each hashed
+    feature, and of each document the chosen features alone, however long its text is.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +189,17 @@ def fit(documents: DataFrame, labels: DataFrame, method: Chain = Chain()) -> Tox
 
     share(documents.sparkSession, None)
     sample = labelled_sample(documents, labels, "toxic", method.labelled)
-    table = sample.mapInArrow(task, "doc_id long, label int, features array<int>, counts array<long>").toArrow().sort_by("doc_id")
+    counted = sample.mapInArrow(task, "doc_id long, label int, features array<int>, counts array<long>")
+    counted = materialize(counted, "toxicity-features")
+    toxic, clean = counted.agg(F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("label")), F.lit(0))).first()
+    seen = counted.select("label", F.explode("features").alias("feature")).groupBy("feature")
+    seen = seen.agg(F.count_if(F.col("label") == 1).alias("positive"), F.count_if(F.col("label") != 1).alias("negative")).toArrow()
+    sides = np.zeros((2, 1 << _BITS))
+    sides[:, seen.column("feature").to_numpy()] = seen.column("positive").to_numpy(), seen.column("negative").to_numpy()
+    _, chosen = method.choose(*sides, toxic, clean)
+    pairs = F.filter(F.arrays_zip("features", "counts"), lambda pair: pair["features"].isin(chosen.tolist()))
+    kept = counted.select("doc_id", "label", pairs.alias("pairs"))
+    table = kept.select("doc_id", "label", "pairs.features", "pairs.counts").toArrow().sort_by("doc_id")
     columns = [table.column(k).combine_chunks().to_numpy(zero_copy_only=False) if len(table) else [] for k in (2, 3)]
     features = [(np.asarray(f), np.asarray(c)) for f, c in zip(*columns, strict=True)]
     keys = np.array([abs(int(i)) * 2654435761 % (1 << 32) >> 8 for i in table.column(0).to_pylist()], np.int64)
