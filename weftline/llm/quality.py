@@ -87,6 +87,11 @@ def term_matrix(texts: pa.Array, weight: float) -> np.ndarray:
     return out
 
 
+#: Units of weighted terms, and of the basis and unit vectors: products of TERMS of them stay below 2^53.
+_TERM_UNITS = float(1 << 18)
+_UNITS = float(1 << 20)
+
+
 @dataclass
 class Voter:
     """A fitted model of bounded size: term weights, basis, labelled unit vectors and their labels."""
@@ -110,13 +115,19 @@ class Voter:
                 q, _ = np.linalg.qr(weighted.T @ (weighted @ q))
             _, _, v = np.linalg.svd(weighted @ q, full_matrices=False)
             basis = (q @ v.T)[:, :d].astype(np.float32)
-        model = cls(weights, basis, np.zeros((0, d), np.float32), labels.astype(np.float32), method)
+        model = cls(weights, basis, np.zeros((0, d)), labels.astype(np.float32), method)
         model.vectors = model.project(terms)
         return model
 
     def project(self, terms: np.ndarray) -> np.ndarray:
-        out = (terms * self.weights) @ self.basis
-        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+        """Unit vectors in whole units of 2^-20.
+
+        Factors are rounded to whole units before each product, so sums are exact in double precision and a row has the
+        same vector wherever it stands in a block.
+        """
+        weighted = np.rint(terms.astype(np.float64) * self.weights * _TERM_UNITS)
+        out = weighted @ np.rint(self.basis.astype(np.float64) * _UNITS)
+        return np.rint(out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12) * _UNITS)
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """The share of label 1 among the nearest, weighted by similarity; their mean label where nothing is similar."""
@@ -124,11 +135,13 @@ class Voter:
         out = np.full(len(terms), prior)
         k = min(self.method.neighbours, len(self.labels))
         for low in range(0, len(terms) if k else 0, _BLOCK):
-            near = self.project(terms[low : low + _BLOCK]) @ self.vectors.T
-            best = np.argpartition(near, -k, axis=1)[:, -k:]
+            near = (self.project(terms[low : low + _BLOCK]) @ self.vectors.T).astype(np.int64)
+            # Of equal similarities the first labelled rows count.
+            keys = near * len(self.labels) - np.arange(len(self.labels))
+            best = np.argpartition(keys, -k, axis=1)[:, -k:]
             weight = np.maximum(np.take_along_axis(near, best, axis=1).astype(np.float64), 0)
             total = weight.sum(axis=1)
-            votes = (weight * self.labels[best]).sum(axis=1) / np.maximum(total, 1e-12)
+            votes = (weight * self.labels[best]).sum(axis=1) / np.maximum(total, 1)
             out[low : low + _BLOCK] = np.where(total > 0, np.clip(votes, 0, 1), prior)
         return out
 
