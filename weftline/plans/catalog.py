@@ -284,7 +284,7 @@ def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
     first = words.where(F.size("tokens") > 0).orderBy("doc_id", "group_id").limit(1)
     head = training_samples(first, vocab, CONFIG).where(F.col("window_no") == 0)
     labelled = one_hot_labels(head, with_classes(CONFIG, vocab).vocab_size)
-    return _digest(labelled, *KEYS, F.size("label").alias("n_classes")).withColumn("n_samples", total)
+    return _digest(labelled.withColumn("n_classes", F.size("label")), *KEYS, "n_classes").withColumn("n_samples", total)
 
 
 def split_hash(spark: SparkSession, folder: str) -> DataFrame:
