@@ -29,7 +29,7 @@ def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents")
     words = secret_scan.dictionary(vocabulary_text(VOCABULARY))
-    forest = secret_scan.fit(secret_scan.labelled_findings(documents, words))
+    forest = secret_scan.fit(secret_scan.labelled_findings(documents, words), planted=secret_scan.planted_rows(words))
     return secret_scan.scan(documents, forest, words)
 
 

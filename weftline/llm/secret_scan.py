@@ -3,7 +3,8 @@
 A candidate is a run of characters with digits or changing case, as keys and passwords are, a quoted or delimited part of
 such a run, or whatever is assigned to a name of secrets. The forest looks at its length, the
 transitions between its characters, how much of it dictionary words cover, the path it stands in, and its neighbouring
-words, and is trained on labelled findings.
+words, and is trained on labelled findings: planted ones, whose labels come from how they were made, and those of the
+corpus. Where the name before a corpus value gave its label, the forest is shown the value without its surroundings.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm import planted_findings
 from weftline.llm.common import fresh, record_batch, share, text_bytes, text_slices, word_spans
 
 _LEAST, _CONTEXT = 8, 64
@@ -36,6 +38,10 @@ _DIVIDES = re.compile(rb"""["'`=:&,;{}()\[\]<>\\]""")
 _PIECE = re.compile(rb"""[^"'`=:&,;{}()\[\]<>\\]+(?:={1,2}(?=["'`&,;{}()\[\]<>\\]|$))?""")
 _EDGE = b"\"'`,;:.!?()[]{}<>"
 _TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
+# The password in the authority of a URL, and the marks around a private key, by their public formats.
+_USERINFO = re.compile(rb"://[^\x20\x09-\x0D:@/]*:([^\x20\x09-\x0D@/]+)@")
+_KEY_BEGIN = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,32}PRIVATE KEY(?: BLOCK)?-----")
+_KEY_END = b"-----END "
 # Words that stand beside secrets, and words that stand beside other long strings.
 _SECRET_WORDS = set(
     b"password passwd pwd pass passphrase secret token key apikey api_key access_key secret_key private_key client_secret "
@@ -60,9 +66,11 @@ _PLAIN_FORMS = [re.compile(rb"[0-9][0-9.\-/+:]*"), re.compile(rb"[A-Za-z]+[0-9]{
 
 @dataclass(frozen=True)
 class SecretForest:
-    """Parameters: findings that train the forest at most, trees, depth, least rows of a leaf, least share of votes for a secret."""
+    """Parameters: findings of the corpus that train the forest at most, planted findings, trees, depth, least rows of a leaf,
+    least share of votes for a secret."""
 
     findings: int = 6000
+    planted: int = 3000
     trees: int = 32
     depth: int = 8
     leaf: int = 3
@@ -133,6 +141,7 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
     """(text, start, end, key, before, after): places in bytes of the text, the name it is assigned to, and its neighbours.
 
     A run without white space is one candidate, and each quoted or delimited part of it another one; they may overlap.
+    So are the password in a URL and all between the marks of a private key; without its end mark a key has only its lines.
     """
     starts, ends, first = word_spans(data, offsets)
     if not len(starts):
@@ -157,6 +166,12 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
             w = int(np.searchsorted(ends, _ASSIGNED.match(raw, at).end(), side="right"))
             if w < len(starts) and np.searchsorted(offsets, starts[w], side="right") == np.searchsorted(offsets, at, side="right"):
                 named[w] = True
+    passwords: dict[int, list[tuple[int, int]]] = {}
+    for m in _USERINFO.finditer(raw):
+        w = int(np.searchsorted(ends, m.start(1), side="right"))
+        if w < len(starts) and starts[w] <= m.start() and m.end() <= ends[w]:
+            passwords.setdefault(w, []).append(m.span(1))
+            named[w] = True
     chosen = np.flatnonzero(wanted | named)
     owner = np.searchsorted(first, chosen, side="right") - 1
     for t, w in zip(owner.tolist(), chosen.tolist(), strict=True):
@@ -169,6 +184,9 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
         after = raw[high : min(bottom, high + _CONTEXT)]
         found: dict[tuple[int, int], tuple[bytes, bytes, bytes]] = {}
 
+        for x, y in passwords.get(w, ()):
+            found[x, y] = b"password", raw[max(top, x - _CONTEXT) : x], raw[y : min(bottom, y + _CONTEXT)]
+
         def add(a: int, b: int, key: bytes, before: bytes, after: bytes, whole: bool) -> None:
             if not key:
                 spoken = _NAME.search(before)
@@ -186,6 +204,20 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, in
         for x, y in _parts(word):
             add(low + x, low + y, b"", raw[max(top, low + x - _CONTEXT) : low + x], raw[low + y : min(bottom, low + y + _CONTEXT)], False)
         out += [(t, x - top, y - top, *found[x, y]) for x, y in sorted(found)]
+    return out + _private_keys(raw, offsets)
+
+
+def _private_keys(raw: bytes, offsets: np.ndarray) -> list[tuple[int, int, int, bytes, bytes, bytes]]:
+    out, done = [], 0
+    for m in _KEY_BEGIN.finditer(raw):
+        t = int(np.searchsorted(offsets, m.start(), side="right")) - 1
+        top, bottom = int(offsets[t]), int(offsets[t + 1])
+        if m.start() < done or m.end() > bottom:
+            continue
+        end = raw.find(_KEY_END, m.end(), bottom)
+        done = bottom if end < 0 else end  # without an end here, there is none for a later key of the text
+        if end > m.end():
+            out.append((t, m.end() - top, end - top, b"private_key", raw[max(top, m.end() - _CONTEXT) : m.end()], raw[end : min(bottom, end + _CONTEXT)]))
     return out
 
 
@@ -193,6 +225,7 @@ _KINDS = np.zeros(256, np.int64)
 for _low, _high, _kind in ((0x30, 0x3A, 1), (0x41, 0x5B, 2), (0x61, 0x7B, 3)):
     _KINDS[_low:_high] = _kind
 N_FEATURES = 17 + 16 + 14
+_AROUND = slice(N_FEATURES - 7, N_FEATURES)  # features of the name and the neighbouring words
 
 
 def _covered(value: bytes, words: Lexicon) -> float:
@@ -248,6 +281,11 @@ def form_label(value: bytes, key: bytes) -> int | None:
     return 0 if parts & _OTHER_WORDS else None
 
 
+def _labelled_by_name(value: bytes) -> bool:
+    """Whether a label of form_label can't come from the value."""
+    return not any(f.fullmatch(value) for f in (*_SECRET_FORMS, *_OTHER_FORMS, *_PLAIN_FORMS))
+
+
 class Forest:
     """Classification trees on bootstrap samples, each split chosen among random features by the Gini gain."""
 
@@ -280,7 +318,8 @@ class Forest:
                     whole = ones[-1] / len(rows)
                     gain = 2 * whole * (1 - whole) - impurity[k]
                     if gain > best[0]:
-                        best = (gain, int(f), (values[k] + values[k + 1]) / 2)
+                        middle = (values[k] + values[k + 1]) / 2
+                        best = (gain, int(f), middle if middle < values[k + 1] else values[k])
             if best[1] >= 0:
                 left = x[rows, best[1]] <= best[2]
                 nodes[number][:2] = best[1:]
@@ -330,6 +369,8 @@ def labelled_findings(documents: DataFrame, words: Lexicon, method: SecretForest
             rows = [k for k, label in enumerate(labels) if label is not None]
             order = [int.from_bytes(hashlib.blake2b(values[k] + b"|" + found[k][3], digest_size=8).digest(), "little", signed=True) for k in rows]
             for k, at in zip(rows, order, strict=True):
+                if _labelled_by_name(values[k]):  # what gave the label isn't shown
+                    table[k, _AROUND] = 0
                 own = kept[labels[k]]
                 if at not in own or table[k].tolist() < own[at].tolist():
                     own[at] = table[k].copy()
@@ -347,9 +388,23 @@ def labelled_findings(documents: DataFrame, words: Lexicon, method: SecretForest
     return each[0].unionByName(each[1]).select("features", "label")
 
 
-def fit(findings: DataFrame, method: SecretForest = SecretForest()) -> Forest:
-    """Train on labelled findings (features, label), of which there is a bounded number."""
-    rows = sorted((list(r[0]), r[1]) for r in findings.select("features", "label").collect())
+def planted_rows(words: Lexicon, method: SecretForest = SecretForest(), seed: int = 29) -> list[tuple[list[float], int]]:
+    """features, label of the planted findings that the scan takes for candidates, and of other candidates in their texts."""
+    planted = planted_findings.sentences(method.planted, sorted(w.decode() for w in words.words), seed)
+    _, _, found, values, table = _found(planted_findings.texts_of(planted), words)
+    out = []
+    for f, value, row in zip(found, values, table.tolist(), strict=True):
+        _, wanted, label = planted[f[0]]
+        if value == wanted.encode():
+            out.append((row, label))
+        elif wanted.encode() not in value and value not in wanted.encode():  # a run around the value, or a part of it, has no label
+            out.append((row, 0))
+    return out
+
+
+def fit(findings: DataFrame, method: SecretForest = SecretForest(), planted: list[tuple[list[float], int]] = ()) -> Forest:
+    """Train on labelled findings (features, label), of which there is a bounded number, and on planted ones."""
+    rows = sorted([*((list(r[0]), r[1]) for r in findings.select("features", "label").collect()), *planted])
     x = np.array([r[0] for r in rows], float).reshape(len(rows), N_FEATURES)
     return Forest(x, np.array([r[1] for r in rows], float), method)
 
