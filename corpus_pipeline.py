@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by a mark; n_chars is that of the new text."""
     words = secret_scan.dictionary(vocabulary_text(VOCABULARY))
-    forest = secret_scan.fit(secret_scan.labelled_findings(docs, words))
+    forest = secret_scan.fit(secret_scan.labelled_findings(docs, words), planted=secret_scan.planted_rows(words))
     redacted = secret_scan.redact(docs, forest, words)
     if "n_chars" not in docs.columns:
         return redacted
