@@ -354,38 +354,37 @@ def _found(texts: pa.Array, words: Lexicon):
 
 
 def labelled_findings(documents: DataFrame, words: Lexicon, method: SecretForest = SecretForest()) -> DataFrame:
-    """features, label of findings whose form tells what they are, one of each value and key.
+    """features, label, by_name of findings whose form or name tells what they are, one of each value and key.
 
-    There are at most so many of each label, those with the smallest hashes.
+    `by_name` says that the name before the value gave the label. There are at most so many of each label, those with the
+    smallest hashes.
     """
     given, most = share(documents.sparkSession, words), method.findings // 2
-    schema = pa.schema([("label", pa.int32()), ("order", pa.int64()), ("features", pa.list_(pa.float64()))])
+    schema = pa.schema([("label", pa.int32()), ("order", pa.int64()), ("features", pa.list_(pa.float64())), ("by_name", pa.bool_())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[dict, dict] = {}, {}  # of each label: features by order, the smallest ones
+        kept: tuple[dict, dict] = {}, {}  # of each label: features and what gave it by order, the smallest ones
         for batch in text_slices(batches, "text"):
             _, _, found, values, table = _found(batch.column(0), given.value)
             labels = [form_label(v, f[3]) for v, f in zip(values, found, strict=True)]
             rows = [k for k, label in enumerate(labels) if label is not None]
             order = [int.from_bytes(hashlib.blake2b(values[k] + b"|" + found[k][3], digest_size=8).digest(), "little", signed=True) for k in rows]
             for k, at in zip(rows, order, strict=True):
-                if _labelled_by_name(values[k]):  # what gave the label isn't shown
-                    table[k, _AROUND] = 0
                 own = kept[labels[k]]
-                if at not in own or table[k].tolist() < own[at].tolist():
-                    own[at] = table[k].copy()
+                if at not in own or table[k].tolist() < own[at][0]:
+                    own[at] = table[k].tolist(), _labelled_by_name(values[k])
             for own in kept:
                 if len(own) > 2 * most:
                     for at in sorted(own)[most:]:
                         del own[at]
         for label, own in enumerate(kept):
             chosen = sorted(own)[:most]
-            yield record_batch(schema, [label] * len(chosen), chosen, [own[at] for at in chosen])
+            yield record_batch(schema, [label] * len(chosen), chosen, [own[at][0] for at in chosen], [own[at][1] for at in chosen])
 
-    findings = documents.select("text").mapInArrow(task, "label int, order long, features array<double>")
-    single = findings.groupBy("label", "order").agg(F.min("features").alias("features"))
+    findings = documents.select("text").mapInArrow(task, "label int, order long, features array<double>, by_name boolean")
+    single = findings.groupBy("label", "order").agg(F.min("features").alias("features"), F.min("by_name").alias("by_name"))
     each = [single.filter(F.col("label") == c).orderBy("order").limit(most) for c in (0, 1)]
-    return each[0].unionByName(each[1]).select("features", "label")
+    return each[0].unionByName(each[1]).select("features", "label", "by_name")
 
 
 def planted_rows(words: Lexicon, method: SecretForest = SecretForest(), seed: int = 29) -> list[tuple[list[float], int]]:
@@ -403,8 +402,18 @@ def planted_rows(words: Lexicon, method: SecretForest = SecretForest(), seed: in
 
 
 def fit(findings: DataFrame, method: SecretForest = SecretForest(), planted: list[tuple[list[float], int]] = ()) -> Forest:
-    """Train on labelled findings (features, label), of which there is a bounded number, and on planted ones."""
-    rows = sorted([*((list(r[0]), r[1]) for r in findings.select("features", "label").collect()), *planted])
+    """Train on labelled findings of the corpus, of which there is a bounded number, and on planted ones.
+
+    With planted findings, a corpus value whose name gave its label is shown without its surroundings; without them, names
+    can be learned from the corpus alone.
+    """
+    rows = [(list(features), label) for features, label in planted]
+    for features, label, by_name in findings.select("features", "label", "by_name").collect():
+        features = list(features)
+        if by_name and planted:
+            features[_AROUND] = [0.0] * 7
+        rows.append((features, label))
+    rows.sort()
     x = np.array([r[0] for r in rows], float).reshape(len(rows), N_FEATURES)
     return Forest(x, np.array([r[1] for r in rows], float), method)
 
