@@ -5,15 +5,17 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 
 from weftline.llm.common import LOWER, text_bytes
 
-#: Words whose ids a task remembers, and the ids that go with them, before it starts anew.
+#: Words whose ids a worker remembers, and the ids that go with them; beyond, it keeps those that came in several slices.
 REMEMBERED = 300_000
+#: Plain words that go to the model in one string.
+_JOINED = 64
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x61:0x7B] = _LETTER[0x41:0x5B] = True
@@ -28,7 +30,7 @@ _PLAIN = re.compile(f"[a-z{_LATIN}]+")
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file that drops white space, lowers case and splits letters from marks.
+    """Ids of texts by a tokenizer file that drops white space, lowers case, splits letters from marks and ends words by a suffix.
 
     A text is cut at spaces, line feeds and between ASCII letters and marks, where that tokenizer cuts too, and its
     pieces are encoded once for each distinct one. Texts with strings of special tokens are cut at white space only.
@@ -37,47 +39,64 @@ class Encoder:
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        letters = [chr(c) for c in range(0xC0, 0x100) if _PLAIN.fullmatch(chr(c).lower())]
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.units = str.maketrans({c: split(c)[0][0] for c in letters})  # a letter as the units of its bytes
-        self._forget()
-
-    def _forget(self) -> None:
+        self.of_plain = Tokenizer.from_str(vocabulary)  # takes lower-case words and cuts at spaces only
+        self.of_plain.normalizer = None
+        self.of_plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.tokenizer.model.end_of_word_suffix
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.closes = np.fromiter(((self.tokenizer.id_to_token(k) or "").endswith(suffix) for k in range(size)), bool, size)
         self.known: dict[str, int] = {}
+        self.uses = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
 
+    def _forget(self) -> None:
+        """Keep the words that came in more than one slice since the last time, if they are half of the words at most."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > REMEMBERED // 2:
+            keep = keep[:0]
+        words = list(self.known)  # in the order of their rows
+        sizes = self.sizes[keep]
+        ends = np.cumsum(sizes)
+        self.flat = self.flat[np.arange(sizes.sum()) + np.repeat(self.starts[keep] - ends + sizes, sizes)]
+        self.starts, self.sizes, self.uses = ends - sizes, sizes, np.zeros(len(keep), np.int32)
+        self.known = {words[k]: row for row, k in enumerate(keep.tolist())}
+
+    def _plain_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of words of plain letters, and how many each has: the last one of a word closes it."""
+        joined = [" ".join(words[k : k + _JOINED]).lower() for k in range(0, len(words), _JOINED)]
+        encoded = self.of_plain.encode_batch_fast(joined, add_special_tokens=False)
+        flat = np.array([i for one in encoded for i in one.ids], np.uint32)
+        return flat, np.diff(np.flatnonzero(self.closes[flat]), prepend=-1)
+
     def _learn(self, words: list[str]) -> None:
-        tokenize, units, pieces = self.tokenizer.model.tokenize, self.units, [None] * len(words)
-        rest = []
-        for k, word in enumerate(words):
-            if word.isascii() and word.isalpha():  # a unit of such a letter is the letter
-                pieces[k] = [t.id for t in tokenize(word.lower())]
-            elif _PLAIN.fullmatch(word):
-                pieces[k] = [t.id for t in tokenize(word.lower().translate(units))]
-            else:
-                rest.append(k)
-        encoded = self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)
-        for k, one in zip(rest, encoded, strict=True):
-            pieces[k] = one.ids
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes.sum()))
+        plain, rest = [], []
+        for word in words:
+            (plain if word.isascii() and word.isalpha() or _PLAIN.fullmatch(word) else rest).append(word)
+        flat, sizes = self._plain_ids(plain)
+        encoded = [one.ids for one in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        sizes = np.concatenate([sizes, np.fromiter(map(len, encoded), np.int64, len(encoded))])
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, flat])
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int32)])
+        self.flat = np.concatenate([self.flat, flat, np.fromiter(chain.from_iterable(encoded), np.uint32)])
+        self.known.update(zip(plain + rest, range(len(self.known), len(self.known) + len(words)), strict=True))
 
     def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of the distinct words of a slice."""
         if len(self.known) + len(words) > REMEMBERED:
             self._forget()
-        known = self.known
-        new = [w for w in words if w not in known]
+        rows = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(rows < 0).tolist()
         if new:
-            self._learn(new)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            self._learn([words[k] for k in new])
+            rows[new] = [self.known[words[k]] for k in new]
+        self.uses[rows] += 1
+        return rows
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row and the offsets of each text; `end_id` closes every text. A null is empty."""
