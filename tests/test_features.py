@@ -143,6 +143,19 @@ def test_one_hot(spark):
     assert rows == {0: [1, 0, 0, 0], 3: [0, 0, 0, 1], -1: [0] * 4, 4: [0] * 4}
 
 
+def test_sparse_labels_are_the_dense_ones(spark):
+    """Nine million classes: a dense label alone would have 36 MB."""
+    frame = spark.createDataFrame([(k,) for k in (-1, 0, 2, 3, 4, None)], "target_index long")
+    for r in one_hot_labels(one_hot_labels(frame, 4).withColumnRenamed("label", "dense"), 4, sparse=True).collect():
+        cells = [0.0] * r["label"]["size"]
+        for place, value in zip(r["label"]["indices"], r["label"]["values"], strict=True):
+            cells[place] = value
+        assert cells == list(r["dense"])
+    many = spark.range(9_000_000 - 1000, 9_000_000 + 1000).withColumnRenamed("id", "target_index")
+    labels = one_hot_labels(many, 9_000_000, sparse=True).agg(F.sum(F.size("label.indices")), F.max("label.indices"))
+    assert labels.first()[:2] == (1000, [8_999_999])
+
+
 def skewed(spark):
     return spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id") % 500)).alias("token")
