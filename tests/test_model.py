@@ -11,6 +11,7 @@ from helpers import token_frame
 from weftline.config import TrainConfig, WindowConfig
 from weftline.functions.network import (
     adam_step,
+    best_rounded,
     forward,
     gather,
     initial_parameters,
@@ -515,6 +516,42 @@ def test_a_quarter_million_classes_in_tiles(spark, monkeypatch):
     assert [r["n"] for r in sizes] == [n_classes]
 
 
+def test_linear_scores_hold_no_wide_matrix(spark):
+    """The weights of one position stand for all; rounded scores and their first maximum are those of the wide layer."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(3000, 4)).astype(np.float32)
+    vectors[[2999, 700]] = vectors[41]  # ties: the first one counts
+    vocab = spark.createDataFrame([(f"w{k}", k, v.tolist()) for k, v in enumerate(vectors)], "token string, token_index long, vector array<float>")
+    config = WindowConfig(window_size=50, embedding_dim=4, positional=None)
+    parameters = linear_parameters(spark, vocab, config)
+    assert sum(value.nbytes for value in parameters.values()) < 100_000  # 4.8 MB for every position
+    wide = {"w0": np.tile(vectors.T.astype(np.float64), (50, 1)), "b0": np.zeros(3000)}
+    x = rng.normal(size=(60, 50, 4)).astype(np.float32)
+    x[0], x[1], x[2] = 0, vectors[41], 1e-9 * vectors[41]  # all classes tie, two copies tie, all scores round to nothing
+    x[3], x[4, 0, 0] = 1e25 * x[5], np.inf
+    x = x.reshape(60, -1)
+    with np.errstate(invalid="ignore", over="ignore"):
+        want = (x.astype(np.float64) @ wide["w0"]).round(6).argmax(axis=1)
+        for tile in (256, 700, 5000):
+            assert best_rounded(parameters, x.astype(np.float64), 6, tile).tolist() == want.tolist()
+            assert best_rounded(wide, x.astype(np.float64), 6, tile).tolist() == want.tolist()
+    rows = spark.createDataFrame([(k, f.tolist()) for k, f in enumerate(x)], "id long, features array<float>")
+    got = {r["id"]: r["prediction"] for r in classify(rows, parameters, config, digits=6).collect()}
+    assert got == dict(enumerate(want.tolist()))
+    scored = {r["id"]: r["scores"] for r in score(rows.where("id <> 4"), parameters, config).collect()}
+    np.testing.assert_allclose(scored[7], x[7].astype(np.float64) @ wide["w0"], rtol=1e-9, atol=1e-9)
+
+
+def test_a_gradient_over_many_classes_takes_few_rows_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(training, "FEATURE_CELLS", 3000)
+    sizes = []
+    monkeypatch.setattr(training, "pieces", lambda batches, rows: sizes.append(rows) or iter(()))
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", lambda self, task, schema: list(task([])) or self)
+    monkeypatch.setattr(training, "average_chunks", lambda rows, parts: rows)
+    training.mean_gradient(toy_samples(spark, 3), training.Model(initial_parameters(8, 2, 1500, 1), np.zeros((4, 4))), replace(CONFIG, vocab_size=1500))
+    assert sizes == [2]  # and not 3000 / 8
+
+
 def test_mean_gradient_is_that_of_all_samples_at_once(spark, monkeypatch):
     monkeypatch.setattr(training, "FEATURE_CELLS", 64)
     vocab, samples = vocabulary(spark), toy_samples(spark, 300).repartition(5)
