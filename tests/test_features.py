@@ -1,9 +1,14 @@
+import math
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import positional, token_frame, windows
 from weftline.config import WindowConfig
+from weftline.functions.digest import SCHEMA, digest_lists, digest_matrix
 from weftline.functions.positional import positional_table, positional_vector
 from weftline.operators.features import (
     add_positions,
@@ -216,3 +221,36 @@ def test_beyond_the_bound_no_vector_is_exchanged_for_an_occurrence(spark):
     # Where vectors meet their keys, rows are (segment, distinct index); arrays by position hold indices only.
     assert "array_distinct(" in plan and plan.index("array_distinct(") > plan.index("map_from_entries(")
     assert not [line for line in plan.splitlines() if "collect_list(struct(pos" in line and "vector" in line]
+
+
+def plain_digest(row):
+    micro = [math.floor(np.float64(np.float32(v)) * 1000000 + 0.5) for v in row]
+    return len(row), sum(micro), sum((k + 1) * m for k, m in enumerate(micro))
+
+
+def test_digests_hold_a_part_of_the_batch():
+    """Exact for small and large values and mixed sizes, with memory for some rows and not for the batch."""
+    rng = np.random.default_rng(2)
+    lists = [[], [0.5, -0.25], [1e5] * 3, rng.normal(size=1280).tolist(), (rng.normal(size=1280) * 1e6).tolist(), None, [3.0]]
+    found = digest_lists(pa.array(lists, pa.list_(pa.float32()))).to_pylist()
+    assert [tuple(r.values()) for r in found] == [plain_digest(row or []) for row in lists]
+    wide = pa.FixedSizeListArray.from_arrays(pa.array(rng.normal(size=2_560_000).astype(np.float32)), 1280).cast(pa.list_(pa.float32()))
+    tracemalloc.start()
+    digests = digest_lists(wide)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5_000_000  # 20 MB for the batch in doubles
+    assert tuple(digests[1999].as_py().values()) == plain_digest(wide[1999].as_py())
+
+
+def test_a_summary_is_that_of_the_features(spark):
+    tokens = token_frame(spark, [[f"t{(i * i + d) % 5}" for i in range(40)] for d in range(3)])
+    rows = [(f"t{k}", k, [k + 0.5, float(-k), 0.25, 1.0]) for k in range(4)]
+    vocab = spark.createDataFrame(rows, "token string, token_index long, vector array<float>")
+    config = WindowConfig(window_size=3, embedding_dim=4, vocab_size=4)
+    whole = {(r["doc_id"], r["window_no"]): r for r in training_samples(tokens, vocab, config).collect()}
+    summed = training_samples(tokens, vocab, config, (digest_matrix, SCHEMA)).collect()
+    assert len(summed) == len(whole) and "features" not in summed[0]
+    for r in summed:
+        same = whole[r["doc_id"], r["window_no"]]
+        assert tuple(r["summary"]) == plain_digest(same["features"]) and r["target_index"] == same["target_index"]
