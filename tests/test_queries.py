@@ -88,3 +88,10 @@ def test_files_to_prediction(spark, folder, tmp_path):
     rows = predict(bpe_tokens(texts, bpe), vocab, names, model, window).collect()
     assert len(rows) == 3
     assert all(r["token"] == (pieces[r["prediction"]] if r["prediction"] < 8 else "NULL") for r in rows)
+
+
+def test_groups_of_byte_pair_windows_are_dealt_before_they_are_sliced(spark, folder):
+    """The shuffle is below the step that makes windows, so it moves ids and no windows."""
+    plan = queries()["bpe_windows_text"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    above, found, below = plan.partition("Generate explode(CASE WHEN")
+    assert found and "Exchange" not in above and "Exchange hashpartitioning(doc_id" in below
