@@ -478,6 +478,17 @@ def test_random_split_is_seeded(spark):
     assert first.count() + rest.count() == 2000 and 0.75 < first.count() / 2000 < 0.85
 
 
+def test_random_split_sorts_partitions_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr("weftline.operators.split.SORT_BYTES", 10_000, raising=False)
+    rows = spark.range(0, 2000, 1, 1).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("doc.id"), F.array("id").alias("group"))
+    sides = random_split(rows)
+    sizes = [len(part) for side in sides for part in side.rdd.glom().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 400
+    assert sorted(r["group"][0] for side in sides for r in side.collect()) == list(range(2000))
+    monkeypatch.setattr("weftline.operators.split.SORT_BYTES", 1 << 20)
+    assert random_split(rows)[0].rdd.getNumPartitions() == 1
+
+
 def test_add_positions_may_be_off(spark):
     frame = spark.createDataFrame([([1.0] * 8,)], "features array<float>")
     config = WindowConfig(window_size=2, embedding_dim=4, positional=None)
