@@ -1,4 +1,5 @@
 import base64
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -88,3 +89,28 @@ def test_decoding_gathers_pieces_and_replaces_cut_characters():
     assert decode_lists(ids.slice(3), data).to_pylist() == ["bca"]
     with pytest.raises(ValueError):
         decode_lists(pa.array([[4]], pa.list_(pa.int32())), data)
+
+
+def test_ids_are_gathered_in_pieces():
+    """Many words of many ids: what is held beside the result doesn't grow with them."""
+    lists = pa.array([["long", "x"] * 500] * 400)
+    tracemalloc.start()
+    found = encode_lists(lists, lambda word: list(range(len(word) * 4)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == [[*range(16), *range(4)] * 500] * 400
+    assert peak < 60_000_000  # the result has 16 MB, codes and ends 5 MB
+
+
+def test_token_arrays_come_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        BpeVocabulary.installed().encoder(spark)
+        assert spark.conf.get(name) == str(4 << 20)
+        spark.conf.set(name, 12345)
+        BpeVocabulary.installed().decoder(spark)
+        assert spark.conf.get(name) == "12345"
+    finally:
+        spark.conf.set(name, before)

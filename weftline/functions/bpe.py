@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -10,11 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.session import share
+from weftline.session import bound_batches, share
 
 # Fixed value: the pattern that splits a text before the merges of the installed rank files.
 DEFAULT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Words whose ids are gathered at a time.
+GATHERED = 1 << 16
+
 
 def _parse_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, data.splitlines())}
@@ -62,18 +66,25 @@ def decode_lists(ids: pa.Array, data: bytes) -> pa.Array:
 
 
 def encode_lists(tokens: pa.Array, encode) -> pa.Array:
-    """list<string> to list<int>: each distinct word of the batch is encoded once."""
+    """list<string> to list<int>: each distinct word of the batch is encoded once, and ids are gathered for some words at a time."""
     distinct = tokens.flatten().dictionary_encode()
-    pieces = [np.asarray(encode(word), dtype=np.int32) for word in distinct.dictionary.to_pylist()]
-    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    flat = np.concatenate([*pieces, np.empty(0, np.int32)])
+    pieces, sizes = array("i"), np.empty(len(distinct.dictionary), np.int64)
+    for place, word in enumerate(distinct.dictionary):
+        ids = encode(word.as_py())
+        sizes[place] = len(ids)
+        pieces.extend(ids)
+    flat = np.frombuffer(pieces, np.int32) if pieces else np.empty(0, np.int32)
     starts = np.cumsum(sizes) - sizes
     codes = distinct.indices.to_numpy()
-    counts = sizes[codes]
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    ids = flat[np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], counts)]
+    ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+    out = np.empty(ends[-1], np.int32)
+    for low in range(0, len(codes), GATHERED):
+        part = codes[low : low + GATHERED]
+        begin, end = ends[low], ends[low + len(part)]
+        shift = starts[part] - ends[low : low + len(part)]
+        out[begin:end] = flat[np.arange(begin, end) + np.repeat(shift, sizes[part])]
     bounds = tokens.offsets.to_numpy()
-    return pa.ListArray.from_arrays(pa.array(ends[bounds - bounds[0]], pa.int32()), pa.array(ids, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(ends[bounds - bounds[0]], pa.int32()), pa.array(out, pa.int32()))
 
 
 class BpeVocabulary:
@@ -100,6 +111,7 @@ class BpeVocabulary:
 
     def encoder(self, spark: SparkSession):
         shared = share(spark, self.data)
+        bound_batches(spark)
         pattern = self.pattern
 
         @F.arrow_udf("array<int>")
@@ -110,6 +122,7 @@ class BpeVocabulary:
 
     def decoder(self, spark: SparkSession):
         shared = share(spark, self.data)
+        bound_batches(spark)
 
         @F.arrow_udf("string")
         def decode(ids: pa.Array) -> pa.Array:
