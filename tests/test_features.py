@@ -21,7 +21,7 @@ from weftline.operators.features import (
     token_vector,
     training_samples,
 )
-from weftline.operators.lookup import heavy_keys, index_tokens, lookup, token_places
+from weftline.operators.lookup import TokenPlaces, heavy_keys, index_tokens, lookup, token_places
 from weftline.operators.tokens import token_occurrences
 from weftline.operators.vocab import attach_vectors, last_row_wins, token_counts, vocab_by_id, vocab_index
 
@@ -254,3 +254,27 @@ def test_a_summary_is_that_of_the_features(spark):
     for r in summed:
         same = whole[r["doc_id"], r["window_no"]]
         assert tuple(r["summary"]) == plain_digest(same["features"]) and r["target_index"] == same["target_index"]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_token_places_equal_a_map(kind):
+    tokens = ["a", "b", "a", "ü😀", "", "ab"]
+    places = TokenPlaces(pa.array(tokens), np.arange(6))
+    assert places.of(pa.array(["x", "a", None, "", "ab", "b", "ü😀", "abc", "x"], kind).slice(1, 7)).tolist() == [2, -1, 4, 5, 1, 3, -1]
+    assert TokenPlaces(pa.array([], pa.string()), np.arange(0)).of(pa.array(["a", None], kind)).tolist() == [-1, -1]
+    assert TokenPlaces(pa.array([7, 5, 7], pa.int32()), np.arange(3)).of(pa.array([5, 7, 6, None], pa.int32())).tolist() == [1, 2, -1, -1]
+
+
+def test_token_places_with_equal_hashes(monkeypatch):
+    monkeypatch.setattr("weftline.operators.lookup._hashes", lambda words: np.zeros(len(words), np.uint64))
+    assert TokenPlaces(pa.array(["a", "b"]), np.arange(2)).of(pa.array(["b", "a", "c"])).tolist() == [1, 0, -1]
+    assert TokenPlaces(pa.array(["a"]), np.arange(1)).of(pa.array(["b", "a", "c"])).tolist() == [-1, 0, -1]
+
+
+def test_a_worker_makes_no_objects_of_a_vocabulary():
+    places = TokenPlaces(pa.array([f"token {i}" for i in range(200_000)]), np.arange(200_000))
+    tracemalloc.start()
+    assert places.of(pa.array(["token 7", "token 199999", "token"])).tolist() == [7, 199_999, -1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
