@@ -272,3 +272,52 @@ def test_signatures_rule_pairs_out_in_batches():
     one = rng.integers(0, 1 << 16, method.hashes).astype(np.uint16)
     others = np.stack([np.where(rng.random(method.hashes) < share, one, one ^ 1) for share in (1.0, 0.95, 0.85, 0.5, 0.1)])
     assert neardup._plausible(one, others, method.least_matches()).tolist() == [True, True, True, False, False]
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 15])
+def test_rows_are_picked_by_marks_before_the_join(spark, monkeypatch, capsys, bits):
+    """With keys too large to broadcast, the join moves few rows without a key, and the same rows come out."""
+    monkeypatch.setattr(neardup, "MARK_BITS", bits)
+    rows = spark.range(-30_000, 30_000).selectExpr("id AS doc_id", "CAST(id % 7 AS string) AS place")
+    rows = rows.union(spark.sql("SELECT CAST(null AS bigint), 'x'")).union(rows.filter("doc_id = 5"))
+    keys = materialize(spark.range(-30_000, 30_000).filter("pmod(id, 50) = 5 OR id = -29999").toDF("doc_id"), "test-keys")
+    plain = neardup._picked(rows, keys, "doc_id").collect()
+    monkeypatch.setattr(neardup, "BROADCAST_BYTES", 0)
+    picked = neardup._picked(rows, keys, "doc_id")
+    assert picked.columns == ["doc_id", "place"]
+    assert sorted(picked.collect()) == sorted(plain) and len(plain) == 1202
+    capsys.readouterr()
+    picked.explain()
+    assert "bitmap_construct_agg" in capsys.readouterr().out
+
+
+def test_duplicates_write_little_of_texts_without_any(spark):
+    """Scratch tables of texts that share no bucket hold their bands, not their signatures."""
+    from pathlib import Path
+
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{w}" for w in rng.integers(10_000, 99_999, 300))) for k in range(400)]
+    table = materialize(spark.createDataFrame(rows, "doc_id long, text string"), "test-documents")
+    folder = Path(spark.conf.get("spark.checkpoint.dir")) / "weftline"
+    before = set(folder.iterdir())
+    assert near_duplicates(table).filter("kept").count() == 400
+    written = sum(f.stat().st_size for d in set(folder.iterdir()) - before for f in d.glob("*.parquet"))
+    assert written < 0.6 * sum(len(text) for _, text in rows)
+
+
+@pytest.mark.parametrize("broadcast", [0, 16 << 20])
+def test_near_duplicates_shuffled_and_broadcast(spark, monkeypatch, broadcast):
+    """Repeated ids with one or several texts, null ids and families of texts, with and without broadcasts."""
+    rng, rows = np.random.default_rng(8), []
+    for k in range(90):
+        words = [f"w{(k // 6) * 100 + j}" for j in range(60)]
+        for _ in range(int(rng.integers(0, 3))):
+            words[int(rng.integers(60))] = f"x{rng.integers(50)}"
+        rows.append((k, " ".join(words)))
+    want = plain_groups(rows, 85)
+    extra = [rows[9], rows[9], (None, rows[9][1])]
+    monkeypatch.setattr(neardup, "BROADCAST_BYTES", broadcast)
+    found = near_duplicates(spark.createDataFrame(rows + extra, "doc_id long, text string").repartition(4)).collect()
+    assert len(found) == 93
+    for r in found:
+        assert r.doc_id is None or (r.n_shingles, r.component_id) == want[r.doc_id]

@@ -28,6 +28,8 @@ MORE_PIVOTS = 16
 PIVOT_BLOCK, MEMBER_BLOCK = 256, 2048
 #: Blocks that the others of one node are dealt to when pairs are compared.
 NODE_BLOCKS = 1024
+#: Most bits of the marks by which rows are left out before a join shuffles the others; bits of one row of marks (Spark's bitmaps).
+MARK_BITS, _MAP_BITS = 1 << 27, 1 << 15
 _CHUNK = 1 << 15
 
 
@@ -91,14 +93,17 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return mix(np.array([one, two + U64(len(shingles))])).astype(">u8").tobytes()
 
 
-def min_hashes(shingles: np.ndarray, add: np.ndarray, multiply: np.ndarray) -> np.ndarray:
+def min_hashes(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    """The signature of a set: 16 bits of the least value of each hash function."""
+    add = (numbers(hashes, 7) >> U64(32)).astype(np.uint32)
+    multiply = (numbers(hashes, 8) >> U64(32)).astype(np.uint32) | np.uint32(1)
     small = (shingles >> U64(32)).astype(np.uint32)
     step = max(1, _CHUNK * 4 // len(add))
     out = np.full(len(add), 0xFFFFFFFF, np.uint32)
     for low in range(0, len(small), step):
         values = (small[None, low : low + step] ^ add[:, None]) * multiply[:, None]
         np.minimum(out, values.min(axis=1), out=out)
-    return out
+    return out & np.uint32(0xFFFF)
 
 
 def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -106,35 +111,50 @@ def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
     return left.join(F.broadcast(right) if fits_broadcast(table_bytes(right), BROADCAST_BYTES) else right, on, how)
 
 
+def _picked(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows whose key is in a written table of distinct keys.
+
+    Keys of measured size are broadcast. Otherwise only their marks are, at places in a bitmap of bounded size, and the join
+    moves no rows but those at a marked place.
+    """
+    if fits_broadcast(table_bytes(keys), BROADCAST_BYTES):
+        return rows.join(F.broadcast(keys), [on])
+    bits = min(MARK_BITS, max(_MAP_BITS, 1 << (64 * keys.count()).bit_length()))
+    place, number, marks = fresh(rows, "place"), fresh(rows, "number"), fresh(rows, "marks")
+    at = F.pmod(F.xxhash64(on), F.lit(bits)).cast("long")
+    marked = keys.select(at.alias(place)).groupBy(F.shiftright(place, 15).alias(number))
+    marked = marked.agg(F.bitmap_construct_agg(F.col(place) % _MAP_BITS).alias(marks))
+    byte = F.substring(marks, (F.shiftright(F.col(place) % _MAP_BITS, 3) + 1).cast("int"), F.lit(1))
+    seen = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col(place) % 8).cast("int")) == 1
+    likely = rows.withColumn(place, at).withColumn(number, F.shiftright(place, 15)).join(F.broadcast(marked), [number]).filter(seen)
+    return likely.select(*rows.columns).join(keys, [on])
+
+
 def _sketches(documents: DataFrame, method: NearDuplicates) -> DataFrame:
     given = share(documents.sparkSession, method)
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("signature", pa.binary()),
-        ("bands", pa.list_(pa.int64())),
+        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())),
     ])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         method = given.value
         rows = method.rows()
         n_bands = method.hashes // rows
-        add = (numbers(method.hashes, 7) >> U64(32)).astype(np.uint32)
-        multiply = (numbers(method.hashes, 8) >> U64(32)).astype(np.uint32) | np.uint32(1)
         weights, seeds = numbers(rows, 9) | U64(1), numbers(n_bands, 10)
         for batch in text_slices(batches, "text"):
-            nodes, signatures, bands, sizes = [], [], [], []
+            nodes, bands, sizes = [], [], []
             for shingles in shingle_sets(batch.column(1), method.words):
                 sizes.append(len(shingles))
                 if not len(shingles):
-                    nodes.append(None), signatures.append(None), bands.append(None)
+                    nodes.append(None), bands.append(None)
                     continue
-                values = min_hashes(shingles, add, multiply) & np.uint32(0xFFFF)
+                values = min_hashes(shingles, method.hashes)
                 grouped = values[: n_bands * rows].reshape(n_bands, rows).astype(U64)
                 nodes.append(set_digest(shingles))
-                signatures.append(values.astype("<u2").tobytes())
                 bands.append(mix((grouped * weights).sum(axis=1, dtype=U64) ^ seeds).astype(np.int64))
-            yield record_batch(schema, batch.column(0), sizes, nodes, signatures, bands)
+            yield record_batch(schema, batch.column(0), sizes, nodes, bands)
 
-    kind = "doc_id long, n_shingles long, node binary, signature binary, bands array<long>"
+    kind = "doc_id long, n_shingles long, node binary, bands array<long>"
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(task, kind)
 
 
@@ -142,27 +162,34 @@ def _shared_buckets(classes: DataFrame) -> DataFrame:
     """bucket, band, node of the buckets that hold at least two classes."""
     members = classes.select(F.posexplode("bands").alias("band", "bucket"), "node")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    return materialize(_joined(members, materialize(shared, "shared-buckets"), ["bucket"]), "bucket-members")
+    return materialize(_picked(members, materialize(shared, "shared-buckets"), "bucket"), "bucket-members")
 
 
 class _Verifier:
-    """Checks pairs of classes: first on signatures, then on whole shingle sets."""
+    """Checks pairs of classes: first on signatures, then on whole shingle sets.
+
+    Both are made again from the texts of the classes that share a bucket; only their bands are kept and moved for all.
+    """
 
     def __init__(self, documents: DataFrame, classes: DataFrame, members: DataFrame, method: NearDuplicates):
         self.method = method
         needed = materialize(members.select("node").distinct(), "needed-nodes")
-        self.signatures = materialize(_joined(classes, needed, ["node"]).select("node", "doc_id", "signature"), "signatures")
+        ids = materialize(_joined(classes.select("node", "doc_id"), needed, ["node"]).select("doc_id").distinct(), "needed-documents")
         given = share(documents.sparkSession, method)
-        schema = pa.schema([("node", pa.binary()), ("shingles", pa.binary())])
+        schema = pa.schema([("node", pa.binary()), ("signature", pa.binary()), ("shingles", pa.binary())])
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            method = given.value
             for batch in text_slices(batches, "text"):
-                sets = [s for s in shingle_sets(batch.column(0), given.value.words) if len(s)]
-                yield record_batch(schema, [set_digest(s) for s in sets], [s.astype("<u8").tobytes() for s in sets])
+                sets = [s for s in shingle_sets(batch.column(0), method.words) if len(s)]
+                signatures = [min_hashes(s, method.hashes).astype("<u2").tobytes() for s in sets]
+                yield record_batch(schema, [set_digest(s) for s in sets], signatures, [s.astype("<u8").tobytes() for s in sets])
 
-        ids = materialize(self.signatures.select("doc_id").distinct(), "needed-documents")
-        texts = _joined(documents.select(F.col("doc_id").cast("long"), "text"), ids, ["doc_id"])
-        self.sets = materialize(texts.select("text").mapInArrow(task, "node binary, shingles binary"), "shingle-sets")
+        texts = _picked(documents.select(F.col("doc_id").cast("long"), "text"), ids, "doc_id")
+        made = materialize(texts.select("text").mapInArrow(task, "node binary, signature binary, shingles binary"), "shingle-sets")
+        self.sets = made.select("node", "shingles")
+        # Rows that share a doc_id may make a node more than once.
+        self.signatures = materialize(made.groupBy("node").agg(F.first("signature").alias("signature")), "signatures")
 
     def plausible(self, members: DataFrame, pivots: DataFrame) -> DataFrame:
         """one, other: the pairs of a pivot and a later member of its block with another root that the signatures don't rule out.
@@ -210,7 +237,7 @@ class _Verifier:
         rows = members.select(*keys, F.lit(False).alias("pivot"), "node", "root").union(
             pivots.select(*keys, F.lit(True).alias("pivot"), "node", "root")
         )
-        signed = _joined(rows, self.signatures.select("node", "signature"), ["node"])
+        signed = _joined(rows, self.signatures, ["node"])
         signed = signed.select(*keys, "pivot", "node", "root", "signature")
         dealt = signed.repartition(shuffle_partitions(signed.sparkSession), "bucket", "mine", "theirs")
         return dealt.sortWithinPartitions("bucket", "mine", "theirs").mapInArrow(task, "one binary, other binary")
@@ -222,7 +249,7 @@ class _Verifier:
         def test(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
             return _plausible(one, np.stack(others), rule)
 
-        return _compared(materialize(pairs, "pairs"), self.signatures.select("node", "signature"), "signature", "<u2", test)
+        return _compared(materialize(pairs, "pairs"), self.signatures, "signature", "<u2", test)
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs (one, other) at or above the threshold, each by its whole sets, and each once."""
@@ -382,8 +409,7 @@ def near_duplicates(documents: DataFrame, method: NearDuplicates = NearDuplicate
     sketches = materialize(_sketches(documents, method), "sketches")
     known = sketches.filter("node IS NOT NULL AND doc_id IS NOT NULL")
     classes = materialize(
-        known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")),
-        "classes",
+        known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "classes"
     )
     members = _shared_buckets(classes)
     owner = classes.select("node", F.col("doc_id").alias("component_id"))
