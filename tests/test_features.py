@@ -14,6 +14,7 @@ from weftline.operators.features import (
     add_positions,
     embed_windows,
     embedding_matrix,
+    first_vectors,
     gather_features,
     index_samples,
     one_hot_labels,
@@ -278,3 +279,23 @@ def test_a_worker_makes_no_objects_of_a_vocabulary():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 1_000_000
+
+
+@pytest.mark.parametrize("first", [0, 1, 3, 6])
+def test_first_vectors_are_gathered_and_the_others_joined(spark, monkeypatch, first):
+    """Whatever number of vectors the bound allows for, the rows are the same; those of a whole matrix meet no join."""
+    tokens, vocab = token_frame(spark, [*lists(), ["none"] * 9, ["t5", "t0", "t4"] * 4]), vocabulary(spark)
+    want = sorted(map(str, embed_windows(tokens, vocab, CONFIG).collect()))
+    limit = 0 if not first else 4 * CONFIG.embedding_dim * (first + 1)  # bytes of the matrix with its zero row
+    matrix, whole = first_vectors(vocab, CONFIG, limit)
+    assert len(matrix) == first + 1 and whole == (first == 6)
+    monkeypatch.setattr("weftline.operators.features.FEATURE_CELLS", 60)
+    frame = embed_windows(tokens, vocab, CONFIG, limit)
+    assert sorted(map(str, frame.collect())) == want
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert ("map_from_entries(" in plan) == (first < 6) and ("MapInArrow" in plan) == (first > 0)
+
+
+def test_a_repeated_index_is_left_to_the_join(spark):
+    vocab = vocabulary(spark, [("t9", 5, [1.0, 2.0, 3.0])])
+    assert first_vectors(vocab, CONFIG)[0].shape == (1, 3) and not first_vectors(vocab, CONFIG)[1]
