@@ -299,3 +299,13 @@ def test_first_vectors_are_gathered_and_the_others_joined(spark, monkeypatch, fi
 def test_a_repeated_index_is_left_to_the_join(spark):
     vocab = vocabulary(spark, [("t9", 5, [1.0, 2.0, 3.0])])
     assert first_vectors(vocab, CONFIG)[0].shape == (1, 3) and not first_vectors(vocab, CONFIG)[1]
+
+
+def test_positions_are_added_to_gathered_vectors(spark):
+    """Beyond the bound for the table, within it for the bare vectors: rows with positions are those of the join."""
+    tokens, vocab = token_frame(spark, [[f"t{(i * i + d) % 9}" for i in range(150)] for d in range(3)]), vocabulary(spark)
+    limit = 4 * CONFIG.embedding_dim * 7
+    want = add_positions(embed_windows(tokens, vocab, CONFIG), CONFIG)
+    frame = add_positions(embed_windows(tokens, vocab, CONFIG, limit), CONFIG)
+    assert sorted(map(str, frame.collect())) == sorted(map(str, want.collect()))
+    assert "map_from_entries(" not in frame._jdf.queryExecution().optimizedPlan().toString()
