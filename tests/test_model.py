@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import token_frame
 from weftline.config import TrainConfig, WindowConfig
+from weftline.functions import expansion
 from weftline.functions.network import (
     adam_step,
     best_rounded,
@@ -576,3 +577,55 @@ def test_mean_gradient_is_that_of_all_samples_at_once(spark, monkeypatch):
     loss, gradients = loss_and_gradients(state, x, np.array([r["target_index"] for r in kept]))
     for name, value in {training.LOSS: loss, **gradients}.items():
         np.testing.assert_allclose(found[name], np.ravel(value), rtol=1e-9, atol=1e-12)
+
+
+def many_classes(units, classes, rows, seed):
+    rng = np.random.default_rng(seed)
+    state = {"w0": np.eye(units), "b0": np.zeros(units), "w1": rng.uniform(-1, 1, (units, classes)), "b1": rng.normal(size=classes)}
+    x = rng.normal(np.linspace(-0.1, 0.6, units), 0.15, (rows, units))
+    return state, x, rng.integers(0, classes, rows)
+
+
+@pytest.mark.parametrize("units", [1, 2, 3, 4])
+def test_an_expansion_gives_the_gradients_of_all_scores(monkeypatch, units):
+    monkeypatch.setattr(expansion, "SCORE_WORK", 1 << 20)  # also where all scores are less work
+    monkeypatch.setattr(expansion, "TERM_CELLS", 4000)
+    state, x, target = many_classes(units, 700, 900, units)
+    hidden = np.maximum(x, 0.0)
+    loss, gradients = loss_and_gradients(state, x, target)
+    found, back, w1, b1 = expansion.output_gradients(state["w1"], state["b1"], hidden, target)
+    assert abs(found - loss) < 1e-11
+    np.testing.assert_allclose(w1, gradients["w1"], rtol=0, atol=1e-13)
+    np.testing.assert_allclose(b1, gradients["b1"], rtol=0, atol=1e-13)
+    np.testing.assert_allclose(x.T @ (back * (hidden > 0)), gradients["w0"], rtol=0, atol=1e-12)
+
+
+def test_an_expansion_is_left_where_it_is_more_work():
+    state, x, target = many_classes(4, 700, 900, 0)
+    assert expansion.output_gradients(state["w1"], state["b1"], np.maximum(x, 0.0), target) is None
+    wide, x, target = many_classes(20, 3000, 3000, 0)
+    assert expansion.output_gradients(wide["w1"], wide["b1"], np.maximum(x, 0.0), target) is None
+    assert expansion.output_gradients(state["w1"] * np.nan, state["b1"], np.abs(x[:, :4]), target % 700) is None
+
+
+def test_a_gradient_over_many_classes_takes_no_matrix_of_scores(spark, monkeypatch):
+    """3,000 samples, 9,000 classes: fewer scores than rows x classes are taken, and the gradient is that of all."""
+    state, _, _ = many_classes(2, 9000, 1, 5)
+    state["w0"], state["b0"] = np.random.default_rng(1).normal(0, 0.3, (8, 2)), np.full(2, 0.2)
+    vocab, samples = vocabulary(spark), toy_samples(spark, 3000).repartition(2)
+    matrix, config = embedding_matrix(vocab, CONFIG), replace(CONFIG, vocab_size=9000)
+    kept = samples.collect()
+    positions = np.array(positional_vector(spark, 2, 4, "standard"), np.float32)
+    x = (gather(matrix, np.array([r["input_index"] for r in kept])) + positions).astype(np.float64)
+    loss, gradients = loss_and_gradients(state, x, np.array([r["target_index"] for r in kept]))
+
+    def refuse(*args):
+        raise AssertionError("all scores were taken")
+
+    monkeypatch.setattr(training, "loss_and_gradients", refuse)
+    frame = training.mean_gradient(samples, training.Model(state, matrix), config).orderBy("name", "chunk")
+    found = {}
+    for r in frame.collect():
+        found.setdefault(r["name"], []).extend(r["cells"])
+    for name, value in {training.LOSS: np.array([loss]), **gradients}.items():
+        np.testing.assert_allclose(found[name], np.ravel(value), rtol=0, atol=1e-11)
